@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.sampling import fold
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -32,14 +34,32 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), limit=4096).withColumnRenamed("id", "doc_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.toxicity import apply, train_lexicon
+
+    docs = read(spark, sf_dir, "documents")
+    lexicon = train_lexicon(docs, read(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
+    out = apply(docs, lexicon, id_col="doc_id")
+    return out.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.packing import best_fit_packing
 
     return best_fit_packing(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096).withColumnRenamed("id", "doc_id")
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.langid import identify_language, train_language_model
+
+    docs = read(spark, sf_dir, "documents")
+    model = train_language_model(docs, fold(F.col("doc_id"), 4) != 2)
+    out = identify_language(docs, model)
+    return out.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 4) == 2).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_sentencepiece, op5_token_counts, op9_best_fit_packing)}
+    return {f.__name__: f for f in (op4_sentencepiece, op5_token_counts, op6_toxicity, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
