@@ -20,6 +20,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.search import exact_top_k
+
+    return exact_top_k(read(spark, sf_dir, "embeddings"), k=5, query_where="vec_id % 50 = 0")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: n_pieces, ids_crc32 (unsigned, little-endian uint32 ids), round_trip (decoding gives the text)."""
     from tessera.llm.pieces import encode_pieces
@@ -43,6 +49,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.vectors import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "embeddings"), least=0.95).withColumnRenamed("id", "vec_id")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.packing import best_fit_packing
 
@@ -59,7 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_sentencepiece, op5_token_counts, op6_toxicity, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_exact_top_k, op4_sentencepiece, op5_token_counts, op6_toxicity, op8_embedding_near_dedup, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
