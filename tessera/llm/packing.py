@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,8 +16,12 @@ from pyspark.sql import functions as F
 
 from tessera.cluster import cut, ship
 
-_SPACE = re.compile(r"[\t-\r ]+")
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z]+|[0-9]|[^ A-Za-z0-9]+")
+# Up to U+024F every text is in NFC, but for one letter Python's lower case is the tokenizer's, and its letters, numbers
+# and spaces can be listed; no two alternatives start alike, so the commonest comes first.
+_BEYOND = re.compile("[^\0-\u012f\u0131-\u024f]")
+_SPACE = re.compile("[\t-\r \x85\xa0]+")
+_LETTERS, _NUMBERS = "a-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼-¾"
+_LATIN = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'s|'t|'re|'ve|'m|'ll|'d|[^ {_LETTERS}{_NUMBERS}]+")
 KEEP_CHARS = 40
 
 
@@ -34,21 +39,30 @@ class WordTokens(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        if len(self) > self.cap:
-            self.clear()
-        new = list(words - self.keys())
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, "<u4").tobytes()
+    def learn(self, new: list[str]) -> None:
+        """Encodes distinct new words many at a time: a text of words apart gives each word's ids, told apart by word_ids."""
+        texts = [" ".join(new[i : i + 400]) for i in range(0, len(new), 400)]
+        for i, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            part = new[400 * i : 400 * (i + 1)]
+            ids, at = array("I", e.ids).tobytes(), e.word_ids
+            ends = [k for k in range(1, len(at)) if at[k] != at[k - 1]]
+            if len(ends) + 1 == len(part):
+                for w, lo, hi in zip(part, [0, *ends], [*ends, len(at)], strict=True):
+                    self[w] = ids[4 * lo : 4 * hi]
+            else:  # a word that the tokenizer splits once more, or drops
+                for w in part:
+                    self[w] = self.whole(w)
 
     def split(self, text: str) -> list[str]:
-        if text.isascii():
-            return _ASCII.findall(_SPACE.sub(" ", text).lower())
+        if _BEYOND.search(text) is None:
+            return _LATIN.findall(_SPACE.sub(" ", text).lower())
         return self.words(self.tokenizer.normalizer.normalize_str(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(s in t for s in self.special) else self.split(t) for t in texts]
-        self.learn(set().union(*(x for x in split if x)))
+        if len(self) > self.cap:
+            self.clear()
+        self.learn(list({w for x in split if x for w in x if w not in self}))
         out = [self.whole(t) if x is None else b"".join(map(self.__getitem__, x)) for x, t in zip(split, texts, strict=True)]
         for w in [w for x in split if x for w in x if len(w) > KEEP_CHARS]:
             self.pop(w, None)
@@ -63,7 +77,7 @@ def word_tokens(path: str, cap: int) -> WordTokens:
     return WordTokens(path, cap)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, cache_words: int = 200_000) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, cache_words: int = 500_000) -> DataFrame:
     """Pieces of at most ``capacity`` ids: (id, piece, start, length, ids_crc32). A document's ids end with end_id.
 
     Null and empty texts are one piece of end_id alone. The tokenizer is one that lower-cases and splits into words
