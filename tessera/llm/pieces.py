@@ -14,7 +14,7 @@ are when merged alone, which leaves one path for each prefix, and it is the libr
 from __future__ import annotations
 
 import re
-import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -91,28 +91,35 @@ class Forward:
             self.best.append(best)
             last.append(piece)
             return
+        joins = self.joins
         for j in range(low, i):
             p = word[j:i]
-            if p in pieces and self.fits(last[j], p):
-                last.append(p)
-                return
+            if p in pieces:
+                ok = joins.get((last[j], p))
+                if self.fits(last[j], p) if ok is None else ok:
+                    last.append(p)
+                    return
         last.append(word[i - 1])
 
     def encode(self, word: str) -> list[int]:
         """Ids of one marked word; fastest if words come sorted."""
-        shared, most = 0, min(len(word), len(self.word))
-        while shared < most and word[shared] == self.word[shared]:
-            shared += 1
-        del self.last[shared + 1 :], self.best[shared + 1 :]
+        before, step, last, get = self.word, self.step, self.last, self.pieces.get
+        shared, most = 0, min(len(word), len(before))
+        if before[:most] == word[:most]:
+            shared = most
+        else:
+            while word[shared] == before[shared]:
+                shared += 1
+        del last[shared + 1 :], self.best[shared + 1 :]
         for i in range(shared + 1, len(word) + 1):
-            self.step(word, i)
+            step(word, i)
         self.word = word
         out: list[int] = []
         i = len(word)
         while i:
-            p = self.last[i]
+            p = last[i]
             i -= len(p)
-            if (k := self.pieces.get(p)) is not None:
+            if (k := get(p)) is not None:
                 out.append(k)
             elif self.byte_ids is not None:
                 out.extend(self.byte_ids[b] for b in reversed(p.encode()))
@@ -149,31 +156,35 @@ def tables(path: str) -> tuple[dict[str, int], dict[str, float], list[int], list
 
 
 class WordIds(dict):
-    """Worker cache: marked word (without its first mark) -> its ids as little-endian uint32 bytes."""
+    """Worker cache: marked word (without its first mark) -> its ids as little-endian uint32 bytes.
+
+    Decoding joins what each id stands for, so a text decodes to itself if its words do; that is tried once for each
+    word when it is learnt, and ``lossy`` holds the words that fail.
+    """
 
     def __init__(self, path: str, cap: int):
-        pieces, ranks, byte_ids, _ = tables(path)
+        pieces, ranks, byte_ids, self.decoded = tables(path)
         ranks = {p: r for p, r in ranks.items() if len(p) > 1}
-        self.forward, self.cap = Forward(pieces, ranks=ranks, byte_ids=byte_ids), cap
+        self.forward, self.cap, self.lossy = Forward(pieces, ranks=ranks, byte_ids=byte_ids), cap, set()
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, split: list[list[str]]) -> None:
         """Encodes the words that are new here in trie order."""
         if len(self) > self.cap:
             self.clear()
-        for w in sorted(words - self.keys()):
-            self[w] = np.array(self.forward.encode(MARK + w.replace(" ", MARK)), "<u4").tobytes()
-
-    def forget(self) -> None:
-        for w in [w for w in self if len(w) > KEEP_CHARS]:
-            del self[w]
-
+            self.lossy.clear()
+        encode, lossy, decoded = self.forward.encode, self.lossy, self.decoded
+        for w in sorted({w for words in split for w in words if w not in self}):
+            ids = encode(MARK + w.replace(" ", MARK) if " " in w else MARK + w)
+            self[w] = array("I", ids).tobytes()
+            if b"".join(map(decoded.__getitem__, ids)) != b" " + w.encode():
+                lossy.add(w)
 
 @lru_cache(2)
 def word_ids(path: str, cap: int) -> WordIds:
     return WordIds(path, cap)
 
 
-def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 150_000) -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 500_000) -> DataFrame:
     """One row per document: (id, ids binary of little-endian uint32, decodes boolean).
 
     ids are the model's, without begin or end; decodes tells whether they decode to exactly the text, which fails only
@@ -183,16 +194,15 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, decoded = word_ids(model, cache_words), tables(model)[3]
+        cache = word_ids(model, cache_words)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2500):
+                part = batch.slice(at, 2500)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 split = [marked_words(t) for t in texts]
-                cache.learn(set().union(*split))
+                cache.learn(split)
                 ids = [b"".join(map(cache.__getitem__, words)) for words in split]
-                cache.forget()
-                back = [decode_ids(x, decoded) == t.encode() for x, t in zip(ids, texts, strict=True)]
+                back = [MARK not in t and (not cache.lossy or cache.lossy.isdisjoint(words)) for t, words in zip(texts, split, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(back)], names=["id", "ids", "decodes"])
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -287,7 +297,3 @@ def token_counts(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_co
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return plain.mapInArrow(run, f"id {plain.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean")
-
-
-def crc(ids: bytes) -> int:
-    return zlib.crc32(ids)
