@@ -26,6 +26,12 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(read(spark, sf_dir, "embeddings"), k=5, query_where="vec_id % 50 = 0")
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.shingles import jaccard_join
+
+    return jaccard_join(read(spark, sf_dir, "documents"), percent=85, width=4).withColumnRenamed("id", "doc_id")
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: n_pieces, ids_crc32 (unsigned, little-endian uint32 ids), round_trip (decoding gives the text)."""
     from tessera.llm.pieces import encode_pieces
@@ -71,7 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_top_k, op4_sentencepiece, op5_token_counts, op6_toxicity, op8_embedding_near_dedup, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_exact_top_k, op3_ngram_jaccard_join, op4_sentencepiece, op5_token_counts, op6_toxicity, op8_embedding_near_dedup, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,19 +54,26 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)[:n]
 
 
+@lru_cache(8)
+def _bases(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    base = int(rng.integers(1, 2**61)) * 8 + 5
+    return byte_table(seed + 1), powers(base, size), powers(pow(base, -1, 2**64), size)
+
+
 class Rolling:
     """Hashes of any substring of one byte buffer: T[b] * B**i prefix sums modulo 2**64."""
 
     def __init__(self, data: np.ndarray, seed: int):
-        rng = np.random.default_rng(seed)
-        base = int(rng.integers(1, 2**61)) * 8 + 5
         n = len(data)
-        self.inv = powers(pow(base, -1, 2**64), n + 1)
+        table, power, self.inv = _bases(seed, 1 << max(16, n.bit_length()))
         self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(byte_table(seed + 1)[data] * powers(base, n), out=self.prefix[1:])
+        np.cumsum(table[data] * power[:n], out=self.prefix[1:])
 
     def fixed(self, k: int) -> np.ndarray:
         """For every start, the raw hash of the next k bytes."""
+        if k >= len(self.prefix):
+            return np.zeros(0, np.uint64)
         return (self.prefix[k:] - self.prefix[:-k]) * self.inv[: len(self.prefix) - k]
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
