@@ -26,6 +26,13 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(read(spark, sf_dir, "embeddings"), k=5, query_where="vec_id % 50 = 0")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.repeats import remove_repeats
+
+    out = remove_repeats(read(spark, sf_dir, "documents"), length=200, keep_first=False, whole_characters=False, with_text=False)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.shingles import jaccard_join
 
@@ -77,7 +84,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_top_k, op3_ngram_jaccard_join, op4_sentencepiece, op5_token_counts, op6_toxicity, op8_embedding_near_dedup, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_exact_top_k, op2_suffix_array_dedup, op3_ngram_jaccard_join, op4_sentencepiece, op5_token_counts, op6_toxicity, op8_embedding_near_dedup, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
