@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,9 +18,8 @@ from tessera.cluster import cut, ship
 # Up to U+024F every text is in NFC, but for one letter Python's lower case is the tokenizer's, and its letters, numbers
 # and spaces can be listed; no two alternatives start alike, so the commonest comes first.
 _BEYOND = re.compile("[^\0-\u012f\u0131-\u024f]")
-_SPACE = re.compile("[\t-\r \x85\xa0]+")
 _LETTERS, _NUMBERS = "a-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼-¾"
-_LATIN = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'s|'t|'re|'ve|'m|'ll|'d|[^ {_LETTERS}{_NUMBERS}]+")
+_LATIN = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'s|'t|'re|'ve|'m|'ll|'d|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
 KEEP_CHARS = 40
 
 
@@ -34,28 +32,32 @@ class WordTokens(dict):
 
         self.tokenizer, self.cap = Tokenizer.from_file(path), cap
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^ \p{L}\p{N}]+").findall
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, new: list[str]) -> None:
-        """Encodes distinct new words many at a time: a text of words apart gives each word's ids, told apart by word_ids."""
+        """Encodes distinct new words many at a time: the piece that ends a word is marked as such in the vocabulary."""
         texts = [" ".join(new[i : i + 400]) for i in range(0, len(new), 400)]
         for i, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             part = new[400 * i : 400 * (i + 1)]
-            ids, at = array("I", e.ids).tobytes(), e.word_ids
-            ends = [k for k in range(1, len(at)) if at[k] != at[k - 1]]
-            if len(ends) + 1 == len(part):
-                for w, lo, hi in zip(part, [0, *ends], [*ends, len(at)], strict=True):
-                    self[w] = ids[4 * lo : 4 * hi]
+            ids = np.array(e.ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            if len(ends) == len(part):
+                flat, lo = ids.tobytes(), 0
+                for w, hi in zip(part, ends, strict=True):
+                    self[w] = flat[lo:hi]
+                    lo = hi
             else:  # a word that the tokenizer splits once more, or drops
                 for w in part:
                     self[w] = self.whole(w)
 
     def split(self, text: str) -> list[str]:
         if _BEYOND.search(text) is None:
-            return _LATIN.findall(_SPACE.sub(" ", text).lower())
+            return _LATIN.findall(text.lower())
         return self.words(self.tokenizer.normalizer.normalize_str(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
