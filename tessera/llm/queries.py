@@ -62,6 +62,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: n_lines, n_removed, n_near (near copies at their first place), removed (their numbers from 0, after commas)."""
+    from tessera.llm.lines import dedup_lines
+
+    out = dedup_lines(read(spark, sf_dir, "documents"), threshold=2, least_chars=40, with_text=False)
+    numbers = F.array_join(F.col("removed").cast("array<string>"), ",")
+    return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", "n_near", numbers.alias("removed"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.vectors import near_duplicates
 
@@ -84,7 +93,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_top_k, op2_suffix_array_dedup, op3_ngram_jaccard_join, op4_sentencepiece, op5_token_counts, op6_toxicity, op8_embedding_near_dedup, op9_best_fit_packing, op10_language_id)}
+    return {f.__name__: f for f in (op1_exact_top_k, op2_suffix_array_dedup, op3_ngram_jaccard_join, op4_sentencepiece, op5_token_counts, op6_toxicity, op7_line_dedup, op8_embedding_near_dedup, op9_best_fit_packing, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

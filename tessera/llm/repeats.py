@@ -406,8 +406,8 @@ def covered(found: np.ndarray, size: int, length: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, *, length: int = 200, k: int = 64, keep_first: bool = True, whole_characters: bool = True, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
-    """One row per document: (id, n_bytes, n_removed, spans, kept_sha256, kept).
+def remove_repeats(docs: DataFrame, *, length: int = 200, k: int = 64, keep_first: bool = True, whole_characters: bool = True, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: (id, n_bytes, n_removed, spans, kept_sha256, kept), and the columns in ``keep`` as they are.
 
     Removes bytes covered by a string of ``length`` bytes that starts elsewhere too, in the same or another text: with
     keep_first only where an earlier start exists (texts in order of id), else everywhere. Strings are judged on the
@@ -418,15 +418,17 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, k: int = 64, keep_firs
     """
     spark = docs.sparkSession
     ship(spark)
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(f"keep__{c}") for c in keep])
     found, groups = repeated_windows(plain.where("id is not null"), length=length, k=k)
-    names = "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary"
+    extra = [f for f in plain.schema if f.name.startswith("keep__")]
+    fields = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in extra)
+    names = "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary" + fields
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             ids = part.column(0).fill_null(-1).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(doc_bucket(ids, groups)), part.column(0), part.column(1)], names=["bucket", "id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(doc_bucket(ids, groups)), *part.columns], names=["bucket", *part.schema.names])
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = unpack(right.column("rows"), MARK)
@@ -450,10 +452,12 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, k: int = 64, keep_firs
             for col, x in zip(out, row, strict=True):
                 col.append(x)
         types = (pa.int64(), pa.int64(), pa.int64(), span, pa.string(), pa.binary())
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["id", "n_bytes", "n_removed", "spans", "kept_sha256", "kept"])
+        columns = [pa.array(c, t) for c, t in zip(out, types, strict=True)] + [left.column(f.name) for f in extra]
+        return pa.Table.from_arrays(columns, names=["id", "n_bytes", "n_removed", "spans", "kept_sha256", "kept", *(f.name for f in extra)])
 
-    texts = plain.mapInArrow(pack_texts, "bucket int, id long, text string")
-    return texts.groupBy("bucket").cogroup(found.select(F.col("bucket").alias("group"), "rows").groupBy("group")).applyInArrow(finish, names)
+    texts = plain.mapInArrow(pack_texts, "bucket int, id long, text string" + fields)
+    out = texts.groupBy("bucket").cogroup(found.select(F.col("bucket").alias("group"), "rows").groupBy("group")).applyInArrow(finish, names)
+    return out.withColumnsRenamed({f"keep__{c}": c for c in keep})
 
 
 def _within_characters(text: np.ndarray, start: int, end: int) -> tuple[int, int]:
