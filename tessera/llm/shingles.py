@@ -10,7 +10,8 @@ shingle. Two kinds of skipping keep the index lists cheap:
   are linked to the same leader share its answer. Only sets that are left outside the answer are compared with the
   list's other sets, and only across components, so a group of near copies costs about its size, not its square.
 
-Verification counts exact overlaps, with sets meeting in the group of the first list that brought them together.
+Candidates meet in the group of the first list that brought them together. Counts of shingles by cells of the hash space,
+a byte for about four shingles, bound each pair's overlap first; what they leave is verified by exact overlaps.
 """
 
 from __future__ import annotations
@@ -86,8 +87,27 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def cell_counts(s: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each of 2**k cells of the hash space, about four a cell, at most 255."""
+    bits = max(0, int(len(s) // 4).bit_length() - 1)
+    if not bits:
+        return bytes([min(255, len(s))])
+    return np.minimum(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """An upper bound of the overlap of two sets from their cell counts; a full cell is no bound."""
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    a[a == 255] = b[b == 255] = 1 << 40
+    while len(a) > len(b):
+        a = a.reshape(-1, 2).sum(axis=1)
+    while len(b) > len(a):
+        b = b.reshape(-1, 2).sum(axis=1)
+    return int(np.minimum(a, b).sum())
+
+
 def profile(docs: DataFrame, width: int, heavy_share: int) -> DataFrame:
-    """Rows of kind 0: (id, n, s1, s2), the set's size and identity; of kind 1: (s1 = shingle, n = its count in a batch).
+    """Rows that aren't heavy: (id, n, s1, s2, cells), a set's size, identity and cell counts; heavy ones: (s1 = shingle, n = its count in a batch).
 
     A shingle that more than one in ``heavy_share`` documents hold is reported by some batch, since it is that frequent
     in at least one.
@@ -97,12 +117,13 @@ def profile(docs: DataFrame, width: int, heavy_share: int) -> DataFrame:
         for batch in batches:
             data, off = ragged(batch.column(1))
             every = []
-            sizes, s1, s2 = [], [], []
+            sizes, s1, s2, cells = [], [], [], []
             for i, j in chunks(off, CHUNK_BYTES):
                 for s in shingle_sets(data[off[i] : off[j]], off[i : j + 1] - off[i], width):
                     sizes.append(len(s))
                     s1.append(int(s.sum(dtype=np.uint64)))
                     s2.append(int(mix64(s ^ _STEPS[0]).sum(dtype=np.uint64)))
+                    cells.append(cell_counts(s))
                     every.append(s)
             flat = np.sort(np.concatenate(every)) if every else np.zeros(0, np.uint64)
             edge = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1], [True]])) if len(flat) else np.zeros(1, np.int64)
@@ -116,11 +137,12 @@ def profile(docs: DataFrame, width: int, heavy_share: int) -> DataFrame:
                     pa.array(signed(np.concatenate([np.array(s1, np.uint64), flat[edge[often]]]))),
                     pa.array(signed(np.concatenate([np.array(s2, np.uint64), np.zeros(k, np.uint64)]))),
                     pa.array([False] * len(sizes) + [True] * k),
+                    pa.array(cells + [None] * k, pa.binary()),
                 ],
-                names=["id", "n", "s1", "s2", "heavy"],
+                names=["id", "n", "s1", "s2", "heavy", "cells"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, s1 long, s2 long, heavy boolean")
+    return docs.mapInArrow(run, "id long, n long, s1 long, s2 long, heavy boolean, cells binary")
 
 
 def in_order(s: np.ndarray, heavy: np.ndarray, count: np.ndarray, most: int) -> np.ndarray:
@@ -189,7 +211,8 @@ def jaccard_join(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col:
     order = np.argsort(token)
     shared = spark.sparkContext.broadcast((token[order], heavy["n"].to_numpy(np.int64)[order]))
     classes = cut(sets.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep")))
-    edges = _links(plain, classes, shared, percent, width, longest_list, leaders, partitions(spark))
+    cells = found.where("not heavy").select("id", "n", "cells").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    edges = _links(plain, classes, cells, shared, percent, width, longest_list, leaders, partitions(spark))
     joined = connected_components(edges)
     named = classes.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))
     linked = sets.join(named, ["s1", "s2", "n"]).select("id", F.col("n").alias("n_shingles"), "component_id")
@@ -197,7 +220,7 @@ def jaccard_join(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col:
     return linked.unionByName(alone)
 
 
-def _links(plain: DataFrame, classes: DataFrame, shared, percent: int, width: int, longest: int, leaders: int, parts: int) -> DataFrame:
+def _links(plain: DataFrame, classes: DataFrame, cells: DataFrame, shared, percent: int, width: int, longest: int, leaders: int, parts: int) -> DataFrame:
     spark = plain.sparkSession
     n_classes = classes.count()
     buckets = max(parts, n_classes // 4000)
@@ -217,7 +240,7 @@ def _links(plain: DataFrame, classes: DataFrame, shared, percent: int, width: in
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["id", "n", "prefix"])
 
     prefixes = plain.mapInArrow(index, "id long, n long, prefix binary")
-    prefixes = prefixes.join(classes.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    prefixes = prefixes.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Postings of a batch by bucket of their token."""
@@ -256,7 +279,7 @@ def _links(plain: DataFrame, classes: DataFrame, shared, percent: int, width: in
     heads = long.groupBy("token").agg(*firsts).select("token", F.explode(F.array(*[f"l{i}" for i in range(leaders)])).alias("l")).select("token", F.col("l.rep").alias("lead"), F.col("l.n").alias("m")).distinct()
     fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     star = long.join(heads, "token").where((F.col("rep") != F.col("lead")) & fits(F.col("n"), F.col("m"))).select(F.least("rep", "lead").alias("x"), F.greatest("rep", "lead").alias("y"), "token")
-    first = cut(_verify(plain, short.unionByName(star), percent, width))
+    first = cut(_verify(plain, _bounded(short.unionByName(star), cells, percent), percent, width))
     release(spark)
     if not long.limit(1).count():
         return first
@@ -268,15 +291,39 @@ def _links(plain: DataFrame, classes: DataFrame, shared, percent: int, width: in
     largest = open_lists.groupBy("token", "c").count().groupBy("token").agg(F.max(F.struct("count", F.negate("c").alias("c"))).alias("m")).select("token", F.negate(F.col("m.c")).alias("main"))
     outside = open_lists.join(largest, "token").where("c <> main").select("token", F.col("rep").alias("o"), F.col("n").alias("m"), F.col("c").alias("oc"))
     across = open_lists.join(outside, "token").where((F.col("c") != F.col("oc")) & fits(F.col("n"), F.col("m"))).select(F.least("rep", "o").alias("x"), F.greatest("rep", "o").alias("y"), "token")
-    return first.unionByName(cut(_verify(plain, across, percent, width)))
+    return first.unionByName(cut(_verify(plain, _bounded(across, cells, percent), percent, width)))
 
 
-def _verify(plain: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
-    """(a, b) of the pairs (x, y, token) that are linked. A group holds a list's pairs, split by a hash of x past 256."""
+def _grouped(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((x, y, token, part) of distinct pairs, (list, slice, id) of the sets that each group of them needs).
+
+    A pair belongs to the first list that brought it together; lists of many pairs are split by a hash of x.
+    """
     once = pairs.groupBy("x", "y").agg(F.min("token").alias("token"))
     sizes = once.groupBy("token").count().select("token", F.ceil(F.col("count") / 4096).cast("int").alias("parts"))
-    once = cut(once.join(sizes, "token").select("token", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), "x", "y"))
-    wanted = once.select("token", "part", F.explode(F.array("x", "y")).alias("id")).distinct()
+    once = cut(once.join(sizes, "token").select("x", "y", "token", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part")))
+    return once, once.select(F.col("token").alias("list"), F.col("part").alias("slice"), F.explode(F.array("x", "y")).alias("id")).distinct()
+
+
+def _bounded(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose cell counts leave enough overlap: (x, y, token)."""
+    once, wanted = _grouped(pairs)
+    members = wanted.join(cells, "id").select("list", "slice", "id", "n", "cells")
+
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        held = {i: (n, np.frombuffer(c, np.uint8)) for i, n, c in zip(right["id"], right["n"], right["cells"], strict=True)}
+        keep = []
+        for x, y in zip(left["x"], left["y"], strict=True):
+            (n, a), (m, b) = held[x], held[y]
+            keep.append((100 + percent) * overlap_bound(a, b) >= percent * (n + m))
+        return left.loc[keep, ["x", "y", "token"]]
+
+    return cut(once.groupBy("token", "part").cogroup(members.groupBy("list", "slice")).applyInPandas(run, "x long, y long, token long"))
+
+
+def _verify(plain: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
+    """(a, b) of the pairs (x, y, token) that are linked, by their exact overlap."""
+    once, wanted = _grouped(pairs)
     needed = wanted.select("id").distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +333,8 @@ def _verify(plain: DataFrame, pairs: DataFrame, percent: int, width: int) -> Dat
                 out = [s.tobytes() for s in shingle_sets(data[off[i] : off[j]], off[i : j + 1] - off[i], width)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(out, pa.binary())], names=["id", "s"])
 
-    built = plain.join(needed, "id", "left_semi").mapInArrow(sets, "id long, s binary").dropDuplicates(["id"])
-    members = wanted.join(built, "id").select(F.col("token").alias("list"), F.col("part").alias("slice"), "id", "s")
+    built = plain.join(needed, "id", "left_semi").mapInArrow(sets, "id long, s binary")
+    members = wanted.join(built, "id")
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         held = {i: np.frombuffer(s, np.uint64) for i, s in zip(right["id"], right["s"], strict=True)}
@@ -305,5 +352,3 @@ def _verify(plain: DataFrame, pairs: DataFrame, percent: int, width: int) -> Dat
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     return once.groupBy("token", "part").cogroup(members.groupBy("list", "slice")).applyInPandas(run, "a long, b long")
-
-
