@@ -1,0 +1,244 @@
+"""More queries: levels, normalised tables, exports, blocks, size fields."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tessera import catalog as base
+from tessera.catalog import CELL, ELEM, MESH, SAMPLE, SHAPE, chain, query, rounded
+from tessera.operators import levels, quality, sizefield, tables, topology
+from tessera.sources import fixtures as fx
+
+LENGTH = "short AS (SELECT h.eid, round(min(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)), 9) length FROM half h JOIN node a ON a.id = na JOIN node b ON b.id = nb GROUP BY h.eid)"
+RANK = "rnk AS (SELECT eid, length, row_number() OVER (ORDER BY length, eid) - 1 r, count(*) OVER () n FROM short)"
+
+
+def lengths(spark, sf_dir) -> DataFrame:
+    found = levels.shortest_side(base.mesh_half(spark, sf_dir), fx.nodes(spark, sf_dir))
+    return found.select("eid", F.round("length", 9).alias("length"))
+
+
+@query(chain(*MESH, LENGTH) + "SELECT eid, round(length, 6) length FROM short")
+def face_shortest_side(spark, sf_dir):
+    return rounded(lengths(spark, sf_dir))
+
+
+@query(chain(*MESH, LENGTH, RANK) + "SELECT eid, least(4, r * 5 // n)::INT AS level FROM rnk")
+def quantile_levels(spark, sf_dir):
+    return levels.quantile_levels(lengths(spark, sf_dir), 4)
+
+
+_LADDER = "CASE " + " ".join(f"WHEN {2.0 ** (k - 3)} <= dt * (1 + 1e-12) THEN {k}" for k in (3, 2, 1)) + " ELSE 0 END"
+
+
+@query(chain(*MESH, LENGTH) + f"SELECT eid, round(dt, 6) dt, {_LADDER} AS level FROM (SELECT eid, greatest(0.125, least(1, length / max(length) OVER ())) dt FROM short)")
+def linear_levels(spark, sf_dir):
+    steps = levels.relative_steps(lengths(spark, sf_dir), 3, "linear")
+    return rounded(steps.join(levels.step_levels(steps, 3), "eid"))
+
+
+@query(chain(*MESH, LENGTH, RANK) + f"""SELECT eid, round(dt, 6) dt, {_LADDER} AS level FROM (SELECT eid, 0.125 * pow(8, greatest(0, least(1, (ln(length) - ln(lo)) / (ln(hi) - ln(lo))))) dt FROM short,
+  (SELECT min(length) FILTER (r = floor(0.05 * (n - 1))) lo, min(length) FILTER (r = floor(0.95 * (n - 1))) hi FROM rnk))""")
+def log_levels(spark, sf_dir):
+    steps = levels.relative_steps(lengths(spark, sf_dir), 3, "log")
+    return rounded(steps.join(levels.step_levels(steps, 3), "eid"))
+
+
+_PAIR = "pair AS (SELECT e0 eid, e1 other FROM edge WHERE uses = 2 UNION ALL SELECT e1, e0 FROM edge WHERE uses = 2)"
+_ROUND = "s{1} AS (SELECT a.eid, least(a.level, coalesce(min(b.level) + 1, a.level)) AS level FROM s{0} a LEFT JOIN pair USING (eid) LEFT JOIN s{0} b ON b.eid = other GROUP BY a.eid, a.level)"
+
+
+@query(chain(*MESH, LENGTH, RANK, _PAIR, "s0 AS (SELECT eid, least(4, r * 5 // n)::INT AS level FROM rnk)", *[_ROUND.format(i, i + 1) for i in range(4)]) + "SELECT eid, level FROM s4")
+def smoothed_levels(spark, sf_dir):
+    return levels.smoothed(levels.quantile_levels(lengths(spark, sf_dir), 4), topology.adjacency(base.mesh_half(spark, sf_dir)), 4)
+
+
+_LINES = "line AS (SELECT lo, hi, uses, e0, e1, row_number() OVER (ORDER BY lo, hi) ln FROM edge)"
+_NORMAL = """folded AS (SELECT least(na, nb) lo, greatest(na, nb) hi, arg_min(na, eid * 4 + k) va, arg_min(nb, eid * 4 + k) vb, min(eid) a, arg_max(eid, eid * 4 + k) b, count(*) n FROM half GROUP BY 1, 2),
+normal AS (SELECT ln, va + 1 v1, vb + 1 v2, a + 1 face_left, CASE WHEN n = 2 AND a <> b THEN b + 1 ELSE 0 END face_right, ((va * 7 % 13) + (vb * 7 % 13)) / 2.0 z_crest FROM folded JOIN line USING (lo, hi))"""
+
+
+def nodes_z(spark, sf_dir) -> DataFrame:
+    return fx.nodes(spark, sf_dir).withColumn("z", (F.col("id") * 7 % 13).cast("double"))
+
+
+def normal_edges(spark, sf_dir) -> DataFrame:
+    return tables.normalised_edges(base.mesh_half(spark, sf_dir), nodes_z(spark, sf_dir))
+
+
+@query(chain(*MESH[:4], _LINES, _NORMAL) + "SELECT ln, v1, v2, face_left, face_right, round(z_crest, 6)::DOUBLE z_crest FROM normal")
+def normalised_edges(spark, sf_dir):
+    return rounded(normal_edges(spark, sf_dir))
+
+
+@query(chain(*MESH[:4], _LINES) + "SELECT eid, string_agg(ln::VARCHAR, ',' ORDER BY k) edge_ids FROM half JOIN line ON lo = least(na, nb) AND hi = greatest(na, nb) GROUP BY eid")
+def face_edge_ids(spark, sf_dir):
+    half = base.mesh_half(spark, sf_dir)
+    found = tables.face_edges(half, topology.line_ids(half))
+    return found.select("eid", F.array_join(F.transform("edge_ids", lambda x: x.cast("string")), ",").alias("edge_ids"))
+
+
+@query(chain(*MESH, _LINES) + "SELECT eid + 1 cn, CASE WHEN uses = 2 AND e0 <> e1 THEN 0 ELSE 1 END id, ln, na AS start, nb AS \"end\", n.id node, x, y FROM (SELECT *, unnest([na, nb]) v FROM half) h JOIN line ON lo = least(na, nb) AND hi = greatest(na, nb) JOIN node n ON n.id = v")
+def export_edge_rows(spark, sf_dir):
+    half = base.mesh_half(spark, sf_dir)
+    return tables.edge_rows(half, fx.nodes(spark, sf_dir), topology.line_ids(half))
+
+
+@query("SELECT l_orderkey::BIGINT face, l_linenumber::INT code, count(*) * 4.0::DOUBLE area FROM lineitem WHERE l_linenumber <= 6 GROUP BY 1, 2")
+def land_use_areas(spark, sf_dir):
+    return tables.code_areas(fx.pixels(spark, sf_dir), [1, 2, 3, 4, 5, 6], 4.0)
+
+
+@query("SELECT face, code FROM (SELECT l_orderkey::BIGINT face, l_linenumber::INT code, row_number() OVER (PARTITION BY l_orderkey ORDER BY count(*) DESC, l_linenumber) i FROM lineitem WHERE l_linenumber <= 6 GROUP BY l_orderkey, l_linenumber) WHERE i = 1")
+def land_use_majority(spark, sf_dir):
+    return tables.majority(tables.code_areas(fx.pixels(spark, sf_dir), [1, 2, 3, 4, 5, 6], 4.0))
+
+
+@query("SELECT l_orderkey::BIGINT face, " + ", ".join(f"(4.0 * count(*) FILTER (l_linenumber = {c}))::DOUBLE c{c}" for c in range(1, 7)) + " FROM lineitem WHERE l_linenumber <= 6 GROUP BY 1")
+def land_use_wide(spark, sf_dir):
+    return tables.wide_areas(tables.code_areas(fx.pixels(spark, sf_dir), [1, 2, 3, 4, 5, 6], 4.0), [1, 2, 3, 4, 5, 6])
+
+
+@query("SELECT l_orderkey::BIGINT face, l_linenumber::INT code, count(*) * 4.0::DOUBLE area FROM lineitem WHERE l_linenumber <= 6 GROUP BY 1, 2 HAVING count(*) > 1")
+def land_use_sparse(spark, sf_dir):
+    return tables.sparse_areas(land_use_wide(spark, sf_dir), [1, 2, 3, 4, 5, 6], 4.0)
+
+
+_CENTRE = "centre AS (SELECT eid, avg(x) cx, avg(y) cy FROM half JOIN node ON id = na GROUP BY eid)"
+
+
+@query(chain(*MESH, _CENTRE) + """SELECT eid, k, round(CASE WHEN b IS NULL THEN 1 ELSE b / (a + b) END, 6)::DOUBLE w_self, round(CASE WHEN b IS NULL THEN 0 ELSE a / (a + b) END, 6)::DOUBLE w_adj, round(1 / (a + 1), 6) w_face
+  FROM (SELECT h.eid, k, sqrt((c.cx - (p.x + q.x) / 2) ** 2 + (c.cy - (p.y + q.y) / 2) ** 2) a, sqrt((o.cx - (p.x + q.x) / 2) ** 2 + (o.cy - (p.y + q.y) / 2) ** 2) b
+    FROM half h JOIN edge ON lo = least(na, nb) AND hi = greatest(na, nb) JOIN node p ON p.id = na JOIN node q ON q.id = nb JOIN centre c ON c.eid = h.eid
+    LEFT JOIN centre o ON uses = 2 AND o.eid = CASE h.eid WHEN e0 THEN e1 ELSE e0 END)""")
+def inverse_distance_weights(spark, sf_dir):
+    half, nodes = base.mesh_half(spark, sf_dir), fx.nodes(spark, sf_dir)
+    centres = quality.centroids(quality.corners(fx.elements(spark, sf_dir), nodes))
+    return rounded(tables.side_weights(half, nodes, centres))
+
+
+_FROUDE = """strc AS (SELECT p_partkey * 17 % 30000 + 1 ln, p_partkey % 8 kind, (p_partkey % 5) * 0.3::DOUBLE fr FROM part WHERE p_partkey % 8 <> 3),
+cpl AS (SELECT DISTINCT s_suppkey * 101 % 30000 + 1 ln FROM supplier)"""
+
+
+@query(chain(*MESH[:4], _LINES, _NORMAL, _FROUDE) + """SELECT e.ln, round(coalesce(v, CASE WHEN NOT coalesce(closed, false) AND c.ln IS NULL AND face_right = 0 THEN 0.2 ELSE 0 END), 6)::DOUBLE fr FROM normal e
+  LEFT JOIN (SELECT ln, bool_or(kind IN (1, 2, 4, 5, 6)) closed, max(least(1, x)) FILTER (kind NOT IN (1, 2, 4, 5, 6) AND x > 0) v FROM (SELECT *, CASE WHEN kind = 7 AND fr <= 0 THEN 0.2 ELSE fr END x FROM strc) GROUP BY ln) s ON s.ln = e.ln
+  LEFT JOIN cpl c ON c.ln = e.ln""")
+def boundary_froude(spark, sf_dir):
+    key = F.col("p_partkey")
+    special = fx.table(spark, sf_dir, "part").where(key % 8 != 3).select((key * 17 % 30000 + 1).alias("ln"), (key % 8).alias("kind"), (key % 5 * 0.3).alias("fr"))
+    couple = fx.table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 101 % 30000 + 1).alias("ln"))
+    return rounded(tables.boundary_froude(normal_edges(spark, sf_dir), special, couple, 0.2))
+
+
+# Blocks of whole cell rows, each exported by itself with its own cell and node numbers.
+_BLOCKS = """bf AS (SELECT eid, (eid // 2) // 2500 + 1 block, row_number() OVER (PARTITION BY (eid // 2) // 2500 ORDER BY eid) cn FROM elem),
+bh AS (SELECT block, cn, least(na, nb) * 100000 + greatest(na, nb) ln, na AS start, nb AS stop, unnest([na, nb]) node FROM half JOIN bf USING (eid)),
+mx AS (SELECT block, coalesce(sum(m) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT off FROM (SELECT block, max(cn) m FROM bf GROUP BY block))"""
+
+
+def block_exports(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    half = base.mesh_half(spark, sf_dir)
+    block = F.floor(F.floor(F.col("eid") / 2) / 2500) + 1
+    from pyspark.sql import Window
+
+    faces = fx.elements(spark, sf_dir).select("eid", block.alias("block"))
+    faces = faces.withColumn("cn", F.row_number().over(Window.partitionBy("block").orderBy("eid")).cast("long"))
+    rows = half.join(faces, "eid").select("block", "cn", (F.least("na", "nb") * 100000 + F.greatest("na", "nb")).alias("ln"), F.col("na").alias("start"), F.col("nb").alias("end"), F.explode(F.array("na", "nb")).alias("node"))
+    return faces, rows.join(fx.nodes(spark, sf_dir).withColumnRenamed("id", "node"), "node")
+
+
+@query(chain(*MESH[:3], _BLOCKS) + "SELECT block, cn + off cn FROM bf JOIN mx USING (block)")
+def merged_block_faces(spark, sf_dir):
+    return tables.merged_blocks(*block_exports(spark, sf_dir))[0]
+
+
+@query(chain(*MESH, _BLOCKS, """nid AS (SELECT node, row_number() OVER (ORDER BY min((block, cn, ln, node))) nid FROM bh GROUP BY node),
+lid AS (SELECT ln, row_number() OVER (ORDER BY min((block, cn, ln, node))) gln, count(DISTINCT (block, cn)) cells FROM bh GROUP BY ln)""") + """SELECT cn + off cn, gln ln, a.nid node, b.nid AS start, c.nid AS "end", x, y, CASE cells WHEN 2 THEN 0 ELSE 1 END id
+  FROM bh JOIN mx USING (block) JOIN lid USING (ln) JOIN nid a ON a.node = bh.node JOIN nid b ON b.node = bh.start JOIN nid c ON c.node = bh.stop JOIN node n ON n.id = bh.node""")
+def merged_block_edges(spark, sf_dir):
+    return tables.merged_blocks(*block_exports(spark, sf_dir))[1]
+
+
+_REGION = "blk AS (SELECT f face, n_regionkey + 1 block FROM cell JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey)"
+
+
+@query(chain(*SHAPE, SAMPLE, base.MOMENT, _REGION) + "SELECT block::INT block, count(*) faces, round(sum(area), 4) area, round(min(area), 4) smallest, round(sum(rmse * area) / sum(area), 4) rmse FROM fit JOIN blk USING (face) JOIN quality ON eid = 2 * face GROUP BY block")
+def block_summaries(spark, sf_dir):
+    fit = base.terrain_of(spark, sf_dir)[0].select("face", "rmse")
+    area = base.mesh_quality_of(spark, sf_dir).where("eid % 2 = 0").select((F.col("eid") / 2).cast("long").alias("face"), "area")
+    return rounded(tables.block_summary(fit.join(area, "face").join(fx.blocks(spark, sf_dir), "face")), four=("area", "smallest", "rmse"))
+
+
+@query(chain(CELL, _REGION, "w AS (SELECT block, (f * 37 % 1001) v, (f % 9 + 1)::DOUBLE w FROM cell JOIN blk ON face = f)") + "SELECT block::INT block, min(v)::DOUBLE median FROM (SELECT block, v, sum(w) OVER (PARTITION BY block ORDER BY v) run, sum(w) OVER (PARTITION BY block) total FROM w) WHERE run >= total / 2 GROUP BY block")
+def block_weighted_median(spark, sf_dir):
+    t = fx.blocks(spark, sf_dir).select("block", (F.col("face") * 37 % 1001).cast("double").alias("v"), (F.col("face") % 9 + 1).cast("double").alias("w"))
+    return levels.weighted_median(t, "v", "w", "block")
+
+
+_GRID = "grid AS (SELECT r iy, c ix, (20 + f * 31 % 97)::DOUBLE \"value\", (5 + f * 13 % 11)::DOUBLE floor, (f % 4)::INT attempts FROM cell)"
+_WANT = "want AS (SELECT (l_orderkey - l_orderkey % 50) // 50 iy, l_orderkey % 50 ix, (l_quantity + l_linenumber)::DOUBLE size FROM lineitem)"
+
+
+def wanted(spark, sf_dir) -> DataFrame:
+    key = F.col("l_orderkey")
+    return fx.table(spark, sf_dir, "lineitem").select(((key - key % 50) / 50).cast("long").alias("iy"), (key % 50).cast("long").alias("ix"), (F.col("l_quantity") + F.col("l_linenumber")).cast("double").alias("size"))
+
+
+_BEST = "best AS (SELECT iy, ix, {0}(size) s FROM want GROUP BY 1, 2), bth AS (SELECT g.*, least(greatest(s, floor), 80) s2, s IS NOT NULL hit FROM grid g LEFT JOIN best USING (iy, ix))"
+
+
+@query(chain(CELL, _GRID, _WANT, _BEST.format("min")) + "SELECT iy, ix, CASE WHEN hit AND s2 < \"value\" - 1e-9 THEN s2 ELSE \"value\" END \"value\", floor, (attempts + CASE WHEN hit AND s2 < \"value\" - 1e-9 THEN 1 ELSE 0 END)::INT attempts FROM bth")
+def size_field_min(spark, sf_dir):
+    return sizefield.applied(fx.grid(spark, sf_dir), wanted(spark, sf_dir), 80.0)
+
+
+@query(chain(CELL, _GRID, _WANT, _BEST.format("max")) + "SELECT iy, ix, CASE WHEN hit AND s2 > \"value\" + 1e-9 THEN s2 ELSE \"value\" END \"value\", floor, attempts FROM bth")
+def size_field_max(spark, sf_dir):
+    return sizefield.applied(fx.grid(spark, sf_dir), wanted(spark, sf_dir), 80.0, larger=True)
+
+
+@query(chain(CELL, _GRID, _WANT, _BEST.format("min")) + "SELECT iy, ix, \"value\", CASE WHEN hit THEN least(floor, greatest(s, 6)) ELSE floor END floor, attempts FROM (SELECT g.*, s, s IS NOT NULL hit FROM grid g LEFT JOIN best USING (iy, ix))")
+def size_field_lower_floor(spark, sf_dir):
+    return sizefield.lowered_floor(fx.grid(spark, sf_dir), wanted(spark, sf_dir), 6.0)
+
+
+@query(chain(CELL, _GRID, "p AS (SELECT iy, ix FROM grid WHERE (iy * 50 + ix) % 97 = 0)", "hit AS (SELECT DISTINCT g.iy, g.ix FROM grid g JOIN p ON g.iy BETWEEN p.iy - 2 AND p.iy + 2 AND g.ix BETWEEN p.ix - 2 AND p.ix + 2 WHERE (g.iy - p.iy) ** 2 + (g.ix - p.ix) ** 2 <= 4)") + "SELECT g.iy, g.ix, CASE WHEN h.iy IS NULL THEN greatest(\"value\", floor) ELSE greatest(\"value\", floor, 60) END \"value\", CASE WHEN h.iy IS NULL THEN floor ELSE greatest(floor, 60) END floor, attempts FROM grid g LEFT JOIN hit h ON h.iy = g.iy AND h.ix = g.ix")
+def size_field_raise_floor(spark, sf_dir):
+    field = fx.grid(spark, sf_dir)
+    return sizefield.raised_floor(field, field.where("(iy * 50 + ix) % 97 = 0"), 60.0, 2)
+
+
+
+
+def _stencil(i: int) -> str:
+    sent = " UNION ALL ".join(f"SELECT iy + {dy} iy, ix + {dx} ix, \"value\" + 4 v FROM sm{i}" for dy, dx in ((0, 1), (0, -1), (1, 0), (-1, 0)))
+    return f"sm{i + 1} AS (SELECT a.iy, a.ix, greatest(a.floor, least(a.\"value\", coalesce(m, a.\"value\"))) \"value\", a.floor, a.attempts FROM sm{i} a LEFT JOIN (SELECT iy, ix, min(v) m FROM ({sent}) GROUP BY 1, 2) USING (iy, ix))"
+
+
+@query(chain(CELL, _GRID.replace("grid AS", "sm0 AS"), *[_stencil(i) for i in range(5)]) + "SELECT * FROM sm5")
+def size_field_smooth(spark, sf_dir):
+    return sizefield.smoothed(fx.grid(spark, sf_dir), 4.0, 5)
+
+
+@query(chain(CELL, _GRID) + "SELECT min(\"value\") least, median(\"value\") median, max(\"value\") most, round(avg((\"value\" <= floor + 1e-9)::INT), 6) at_floor FROM grid")
+def size_field_stats(spark, sf_dir):
+    return rounded(sizefield.stats(fx.grid(spark, sf_dir)))
+
+
+@query(chain(CELL, _GRID, _WANT) + "SELECT iy, ix, size, \"value\", \"value\" <= floor + 1e-9 at_floor, attempts < 3 AND NOT \"value\" <= floor + 1e-9 refinable FROM want JOIN grid USING (iy, ix)")
+def size_field_lookup(spark, sf_dir):
+    return sizefield.looked_up(fx.grid(spark, sf_dir), wanted(spark, sf_dir), 3)
+
+
+@query(chain(CELL, ELEM, "node0 AS (SELECT DISTINCT unnest([n0, n1, n2]) id FROM elem)") + "SELECT id, least(greatest(round_even((40 * (id % 51) + id * 7919 % 17 - 8) / 24.0, 0), 0), 63)::BIGINT ix FROM node0")
+def grid_index(spark, sf_dir):
+    return fx.nodes(spark, sf_dir).select("id", sizefield.nearest(F.col("x"), 0.0, 24.0, 64).alias("ix"))
+
+
+def _load_rest() -> None:
+    from tessera import catalog_spatial  # noqa: F401
+
+
+_load_rest()
