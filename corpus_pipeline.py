@@ -35,7 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines that come earlier, exactly or within two edits; documents of nothing but such lines go."""
-    return with_text(dedup_lines(docs, threshold=2, least_chars=40), "n_removed > 0")
+    return with_text(dedup_lines(docs, threshold=2, least_bytes=40), "n_removed > 0")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Line dedup (operator 7): a segment-partition edit join of lines, in DataFrame operations only.
 
-A line of l characters is cut into threshold + 1 even segments. Two lines within ``threshold`` edits share a segment: an
+A line of l bytes is cut into threshold + 1 even segments. Two lines within ``threshold`` byte edits share a segment: an
 unedited segment of the shorter one occurs in the longer one, near the same place. So each distinct line is indexed by
 its segments under (length, which segment, segment), and the longer line of a pair probes, for each length it may be
-matched with, only the substrings whose place leaves enough edits on both sides. Candidates are verified with the banded
-edit distance. Keys are built from plain substring and hash expressions, so they stay in generated code.
+matched with, only the substrings whose place leaves enough edits on both sides. An edit changes the counts of letters
+by two at most, so candidates whose counts of a few letters differ more never leave the join; the rest are verified with
+the banded edit distance. Keys are plain slices of bytes and hashes, so they stay in generated code.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.cluster import cut, release
+from tessera.cluster import cut, drop_cut, release
 
 
 def segments(length: Column, threshold: int) -> list[tuple[Column, Column]]:
@@ -36,7 +37,7 @@ def index_keys(line: Column, length: Column, threshold: int) -> list[Column]:
 
 
 def probe_keys(line: Column, length: Column, threshold: int) -> list[Column]:
-    """Keys of the substrings that can match a line shorter by 0 to threshold characters."""
+    """Keys of the substrings that can match a line shorter by 0 to threshold bytes."""
     out = []
     for d in range(threshold + 1):
         other = length - d
@@ -47,6 +48,29 @@ def probe_keys(line: Column, length: Column, threshold: int) -> list[Column]:
     return out
 
 
+#: Letters counted by letter_counts; any would do.
+COUNTED = "entira"
+
+
+def letter_counts(line: Column) -> Column:
+    """Counts of some letters modulo 256, a byte each."""
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(COUNTED):
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft((n % 256).cast("long"), 8 * i))
+    return out
+
+
+def counts_near(a: Column, b: Column, threshold: int) -> Column:
+    """Whether letter counts differ by 2 * threshold at most, round the 256."""
+    total = F.lit(0)
+    for i in range(len(COUNTED)):
+        byte = lambda x: F.shiftright(x, 8 * i).bitwiseAND(F.lit(255))  # noqa: B023, E731
+        d = F.abs(byte(a) - byte(b))
+        total = total + F.least(d, 256 - d)
+    return total <= 2 * threshold
+
+
 def exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, ln, line): lines that aren't blank, numbered from 0 within their text."""
     lines = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n", -1)).alias("ln", "line"))
@@ -57,51 +81,58 @@ def hashed(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h"), F.xxhash64(F.lit(77), line).alias("g")]
 
 
-def removed_lines(docs: DataFrame, *, threshold: int = 2, least_chars: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, *, threshold: int = 2, least_bytes: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ln, near) of the lines to remove: exact copies (near false) and near copies of an earlier line.
 
     Lines are ordered by (id, ln). A line goes if the same line comes earlier, or if the first place of a line within
-    ``threshold`` edits is earlier than its own first place (then all its copies go). Lines of fewer than least_chars
-    characters have exact copies only; blank lines stay. Lines are told apart by 128 bits of hash; candidates are
+    ``threshold`` edits of UTF-8 bytes is earlier than its own first place (then all its copies go). Lines of fewer than
+    least_bytes bytes have exact copies only; blank lines stay. Lines are told apart by 128 bits of hash; candidates are
     verified on their text. A row with a null id keeps its lines; a repeated row is at the same place as itself, so both
     keep what the first keeps.
     """
-    if least_chars < 2 * (threshold + 1):
-        raise ValueError("lines must be long enough for segments of two characters")
+    if least_bytes < 2 * (threshold + 1):
+        raise ValueError("lines must be long enough for segments of two bytes")
+    spark = docs.sparkSession
     every = exploded(docs, id_col, text_col)
-    line, length = F.col("line"), F.char_length("line")
-    keys = F.when(length >= least_chars, F.array(*index_keys(line, length, threshold), *probe_keys(line, length, threshold)))
-    placed = every.select(*hashed(line), F.struct("id", "ln").alias("place"), keys.alias("keys"))
-    distinct = cut(placed.groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first("keys").alias("keys")))
+    line, length = F.col("b"), F.col("size")
+    raw = every.withColumn("b", F.col("line").cast("binary")).withColumn("size", F.octet_length("line"))
+    keys = F.when(length >= least_bytes, F.array(*index_keys(line, length, threshold), *probe_keys(line, length, threshold)))
+    letters = F.when(length >= least_bytes, letter_counts(F.col("line")))
+    placed = raw.select(*hashed(F.col("line")), F.struct("id", "ln").alias("place"), keys.alias("keys"), letters.alias("letters"))
+    found = cut(placed.groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("letters").alias("letters")))
+    release(spark)
     n_index = threshold + 1
-    long = distinct.where("keys is not null")
-    indexed = long.select(F.explode(F.slice("keys", 1, n_index)).alias("key"), F.col("h").alias("xh"), F.col("g").alias("xg"))
-    probing = long.select(F.explode(F.array_distinct(F.slice("keys", n_index + 1, 1000))).alias("key"), "h", "g")
-    pairs = cut(probing.join(indexed, "key").where("h <> xh or g <> xg").select("h", "g", "xh", "xg").distinct())
-    release(docs.sparkSession)
-    wanted = pairs.select("h", "g").unionByName(pairs.select(F.col("xh").alias("h"), F.col("xg").alias("g"))).distinct()
-    texts = cut(every.select(*hashed(line), "line").join(wanted, ["h", "g"], "left_semi").dropDuplicates(["h", "g"]))
-    release(docs.sparkSession)
-    known = texts.join(distinct.select("h", "g", "place"), ["h", "g"])
-    mine = known.select("h", "g", F.col("line").alias("l1"), F.col("place").alias("p1"))
-    other = known.select(F.col("h").alias("xh"), F.col("g").alias("xg"), F.col("line").alias("l2"), F.col("place").alias("p2"))
-    met = pairs.join(mine, ["h", "g"]).join(other, ["xh", "xg"])
-    linked = met.where(F.levenshtein("l1", "l2", threshold) >= 0)
+    long = found.where("keys is not null")
+    indexed = long.select(F.explode(F.slice("keys", 1, n_index)).alias("key"), F.col("h").alias("xh"), F.col("letters").alias("xl"))
+    probing = long.select(F.explode(F.array_distinct(F.slice("keys", n_index + 1, 1000))).alias("key"), "h", F.col("letters").alias("l"))
+    # lines of one h are told apart again by g where their texts meet
+    met = probing.join(indexed, (probing["key"] == indexed["key"]) & (F.col("h") != F.col("xh")) & counts_near(F.col("l"), F.col("xl"), threshold))
+    pairs = cut(met.select("h", "xh").distinct())
+    distinct = cut(found.select("h", "g", "place", "n"))
+    drop_cut(found)
+    release(spark)
+    wanted = pairs.select("h").unionByName(pairs.select(F.col("xh").alias("h"))).distinct()
+    texts = cut(every.select(*hashed(F.col("line")), F.col("line").cast("binary").alias("b")).join(wanted, "h", "left_semi").dropDuplicates(["h", "g"]))
+    release(spark)
+    known = texts.join(distinct.select("h", "g", "place"), ["h", "g"]).withColumn("b", F.decode("b", "ISO-8859-1"))
+    mine = known.select("h", "g", F.col("b").alias("l1"), F.col("place").alias("p1"))
+    other = known.select(F.col("h").alias("xh"), F.col("g").alias("xg"), F.col("b").alias("l2"), F.col("place").alias("p2"))
+    linked = pairs.join(mine, "h").join(other, "xh").where(F.levenshtein("l1", "l2", threshold) >= 0)
     later = linked.select(F.when(F.col("p1") > F.col("p2"), F.struct("h", "g")).otherwise(F.struct(F.col("xh").alias("h"), F.col("xg").alias("g"))).alias("x")).select("x.h", "x.g").distinct().withColumn("near", F.lit(True))
     # only lines that occur again, or are near copies, meet their places once more
-    doomed = distinct.select("h", "g", "place", "n").join(later, ["h", "g"], "left").where("n > 1 or near").select("h", "g", "place", F.coalesce("near", F.lit(False)).alias("near"))
-    places = every.select("id", "ln", *hashed(line))
+    doomed = distinct.join(later, ["h", "g"], "left").where("n > 1 or near").select("h", "g", "place", F.coalesce("near", F.lit(False)).alias("near"))
+    places = every.select("id", "ln", *hashed(F.col("line")))
     return places.join(doomed, ["h", "g"]).where(F.col("near") | (F.struct("id", "ln") > F.col("place"))).select("id", "ln", (F.col("near") & (F.struct("id", "ln") == F.col("place"))).alias("near")).distinct()
 
 
-def dedup_lines(docs: DataFrame, *, threshold: int = 2, least_chars: int = 40, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, threshold: int = 2, least_bytes: int = 40, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """The rows of docs with n_lines, n_removed, n_near and removed (line numbers from 0); text without those lines.
 
     Copies count as near only at their first place. A null text has no lines; nothing is removed from it or from rows
     with a null id. Without with_text the result has id, n_lines, n_removed, n_near and removed only, and texts aren't
     shuffled. Columns of docs named like the new ones are replaced.
     """
-    gone = removed_lines(docs, threshold=threshold, least_chars=least_chars, id_col=id_col, text_col=text_col)
+    gone = removed_lines(docs, threshold=threshold, least_bytes=least_bytes, id_col=id_col, text_col=text_col)
     gone = gone.groupBy(F.col("id").alias("gone_id__")).agg(F.sort_array(F.collect_list("ln")).alias("removed"), F.sum(F.col("near").cast("long")).alias("n_near"))
     n_lines = F.coalesce(F.size(F.split(F.col(text_col).cast("string"), "\n", -1)), F.lit(0))
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(n_lines).cast("long")

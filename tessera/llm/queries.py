@@ -66,7 +66,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: n_lines, n_removed, n_near (near copies at their first place), removed (their numbers from 0, after commas)."""
     from tessera.llm.lines import dedup_lines
 
-    out = dedup_lines(read(spark, sf_dir, "documents"), threshold=2, least_chars=40, with_text=False)
+    out = dedup_lines(read(spark, sf_dir, "documents"), threshold=2, least_bytes=40, with_text=False)
     numbers = F.array_join(F.col("removed").cast("array<string>"), ",")
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", "n_near", numbers.alias("removed"))
 
