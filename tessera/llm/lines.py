@@ -97,32 +97,35 @@ def removed_lines(docs: DataFrame, *, threshold: int = 2, least_bytes: int = 40,
     line, length = F.col("b"), F.col("size")
     raw = every.withColumn("b", F.col("line").cast("binary")).withColumn("size", F.octet_length("line"))
     keys = F.when(length >= least_bytes, F.array(*index_keys(line, length, threshold), *probe_keys(line, length, threshold)))
-    letters = F.when(length >= least_bytes, letter_counts(F.col("line")))
-    placed = raw.select(*hashed(F.col("line")), F.struct("id", "ln").alias("place"), keys.alias("keys"), letters.alias("letters"))
-    found = cut(placed.groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first("keys").alias("keys"), F.first("letters").alias("letters")))
+    placed = raw.select(*hashed(F.col("line")), F.struct("id", "ln").alias("place"), keys.alias("keys"))
+    found = cut(placed.groupBy("h", "g").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first("keys").alias("keys")))
     release(spark)
     n_index = threshold + 1
     long = found.where("keys is not null")
-    indexed = long.select(F.explode(F.slice("keys", 1, n_index)).alias("key"), F.col("h").alias("xh"), F.col("letters").alias("xl"))
-    probing = long.select(F.explode(F.array_distinct(F.slice("keys", n_index + 1, 1000))).alias("key"), "h", F.col("letters").alias("l"))
-    # lines of one h are told apart again by g where their texts meet
-    met = probing.join(indexed, (probing["key"] == indexed["key"]) & (F.col("h") != F.col("xh")) & counts_near(F.col("l"), F.col("xl"), threshold))
-    pairs = cut(met.select("h", "xh").distinct())
+    indexed = long.select(F.explode(F.slice("keys", 1, n_index)).alias("key"), F.col("h").alias("xh"))
+    probing = long.select(F.explode(F.array_distinct(F.slice("keys", n_index + 1, 1000))).alias("pkey"), "h")
+    # both sides of the join shrink to what can meet, without a row for each pair; lines of one h are told apart by g later
+    hits = cut(probing.join(indexed, (F.col("pkey") == F.col("key")) & (F.col("h") != F.col("xh")), "left_semi"))
+    targets = cut(indexed.join(hits.select(F.col("pkey").alias("key")).distinct(), "key", "left_semi"))
     distinct = cut(found.select("h", "g", "place", "n"))
     drop_cut(found)
     release(spark)
-    wanted = pairs.select("h").unionByName(pairs.select(F.col("xh").alias("h"))).distinct()
-    texts = cut(every.select(*hashed(F.col("line")), F.col("line").cast("binary").alias("b")).join(wanted, "h", "left_semi").dropDuplicates(["h", "g"]))
+    wanted = hits.select("h").unionByName(targets.select(F.col("xh").alias("h"))).distinct()
+    texts = cut(every.select(*hashed(F.col("line")), "line").join(wanted.hint("merge"), "h", "left_semi").dropDuplicates(["h", "g"]))
     release(spark)
-    known = texts.join(distinct.select("h", "g", "place"), ["h", "g"]).withColumn("b", F.decode("b", "ISO-8859-1"))
-    mine = known.select("h", "g", F.col("b").alias("l1"), F.col("place").alias("p1"))
-    other = known.select(F.col("h").alias("xh"), F.col("g").alias("xg"), F.col("b").alias("l2"), F.col("place").alias("p2"))
-    linked = pairs.join(mine, "h").join(other, "xh").where(F.levenshtein("l1", "l2", threshold) >= 0)
-    later = linked.select(F.when(F.col("p1") > F.col("p2"), F.struct("h", "g")).otherwise(F.struct(F.col("xh").alias("h"), F.col("xg").alias("g"))).alias("x")).select("x.h", "x.g").distinct().withColumn("near", F.lit(True))
+    known = texts.join(distinct.select("h", "g", "place"), ["h", "g"])
+    known = cut(known.select("h", "g", "place", letter_counts(F.col("line")).alias("letters"), F.decode(F.col("line").cast("binary"), "ISO-8859-1").alias("chars")))
+    probe = hits.join(known, "h")
+    index = targets.join(known.select(*[F.col(c).alias(f"x{c}") for c in known.columns]), "xh")
+    meet = (F.col("pkey") == F.col("key")) & (F.col("h") != F.col("xh")) & counts_near(F.col("letters"), F.col("xletters"), threshold)
+    linked = F.levenshtein("chars", "xchars", threshold) >= 0
+    later = probe.join(index, meet & (F.col("place") > F.col("xplace")) & linked, "left_semi").select("h", "g")
+    earlier = index.join(probe, meet & (F.col("xplace") > F.col("place")) & linked, "left_semi").select(F.col("xh").alias("h"), F.col("xg").alias("g"))
+    later = later.unionByName(earlier).distinct().withColumn("near", F.lit(True))
     # only lines that occur again, or are near copies, meet their places once more
     doomed = distinct.join(later, ["h", "g"], "left").where("n > 1 or near").select("h", "g", "place", F.coalesce("near", F.lit(False)).alias("near"))
     places = every.select("id", "ln", *hashed(F.col("line")))
-    return places.join(doomed, ["h", "g"]).where(F.col("near") | (F.struct("id", "ln") > F.col("place"))).select("id", "ln", (F.col("near") & (F.struct("id", "ln") == F.col("place"))).alias("near")).distinct()
+    return places.join(doomed.hint("merge"), ["h", "g"]).where(F.col("near") | (F.struct("id", "ln") > F.col("place"))).select("id", "ln", (F.col("near") & (F.struct("id", "ln") == F.col("place"))).alias("near")).distinct()
 
 
 def dedup_lines(docs: DataFrame, *, threshold: int = 2, least_bytes: int = 40, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:

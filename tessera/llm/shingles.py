@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import cut, partitions, release, ship
@@ -191,7 +191,7 @@ def list_pairs(token: np.ndarray, rep: np.ndarray, size: np.ndarray, pos: np.nda
     return (cat(xs, np.int64), cat(ys, np.int64), cat(ts, np.uint64)), in_long
 
 
-def jaccard_join(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text", longest_list: int = 32, leaders: int = 8, heavy_share: int = 1000, most_heavy: int = 1_000_000) -> DataFrame:
+def jaccard_join(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text", longest_list: int = 32, leaders: int = 4, heavy_share: int = 1000, most_heavy: int = 1_000_000) -> DataFrame:
     """One row per document: (id, n_shingles, component_id), linking sets of Jaccard >= percent / 100.
 
     Words are [^ \\t-\\r]+ of the whole text with A-Z in lower case. A document of fewer words than ``width`` is one
@@ -268,29 +268,36 @@ def _links(plain: DataFrame, classes: DataFrame, cells: DataFrame, shared, perce
         (x, y, t), in_long = list_pairs(token, rep, size, pos, percent, longest)
         pairs = pd.DataFrame({"x": np.minimum(x, y), "y": np.maximum(x, y), "token": signed(t), "size": np.zeros(len(x), np.int64)})
         pairs = pairs.drop_duplicates(["x", "y"])
-        # postings of long lists go on as they are, marked by y = -1 and their size
-        rest = pd.DataFrame({"x": rep[in_long], "y": np.full(int(in_long.sum()), -1, np.int64), "token": signed(token[in_long]), "size": size[in_long] + 1})
+        # postings of long lists go on as they are: their size is positive, and y is their position
+        rest = pd.DataFrame({"x": rep[in_long], "y": pos[in_long], "token": signed(token[in_long]), "size": size[in_long]})
         return pd.concat([pairs, rest])
 
     met = cut(prefixes.select("id", "n", "prefix").mapInArrow(deal, "bucket int, token binary, rep binary, size binary, pos binary").groupBy("bucket").applyInPandas(meet, fields))
     short = met.where("size = 0").select("x", "y", "token")
-    long = met.where("size > 0").select(F.col("x").alias("rep"), (F.col("size") - 1).alias("n"), "token")
-    firsts = [F.min(F.struct(F.xxhash64(F.lit(i), "rep").alias("h"), "rep", "n")).alias(f"l{i}") for i in range(leaders)]
-    heads = long.groupBy("token").agg(*firsts).select("token", F.explode(F.array(*[f"l{i}" for i in range(leaders)])).alias("l")).select("token", F.col("l.rep").alias("lead"), F.col("l.n").alias("m")).distinct()
-    fits = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    star = long.join(heads, "token").where((F.col("rep") != F.col("lead")) & fits(F.col("n"), F.col("m"))).select(F.least("rep", "lead").alias("x"), F.greatest("rep", "lead").alias("y"), "token")
+    long = met.where("size > 0").select(F.col("x").alias("rep"), F.col("size").alias("n"), F.col("y").alias("pos"), "token")
+    # leaders are the sets with the fewest rarer shingles: copies with the fewest edits
+    firsts = [F.min(F.struct("pos", F.xxhash64(F.lit(i), "rep").alias("h"), "rep", "n")).alias(f"l{i}") for i in range(leaders)]
+    heads = long.groupBy("token").agg(*firsts).select("token", F.explode(F.array(*[f"l{i}" for i in range(leaders)])).alias("l")).select("token", F.col("l.rep").alias("o"), F.col("l.n").alias("m"), F.col("l.pos").alias("opos")).distinct()
+
+    def may_link() -> Column:
+        """Whether what is left after two positions can overlap enough, for sets n and m."""
+        need = F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+        return (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("opos")) >= need) & (F.col("rep") != F.col("o"))
+
+    one_list = long.groupBy("rep").agg(F.min_by(F.struct("n", "pos", "token"), F.struct("pos", "token")).alias("s")).select("rep", "s.n", "s.pos", "s.token")
+    star = one_list.join(heads, "token").where(may_link()).select(F.least("rep", "o").alias("x"), F.greatest("rep", "o").alias("y"), "token")
     first = cut(_verify(plain, _bounded(short.unionByName(star), cells, percent), percent, width))
     release(spark)
     if not long.limit(1).count():
         return first
     # answers of the leaders: a list of one component is done; else its sets outside the largest one meet the others
     answer = connected_components(first)
-    known = cut(long.join(answer.withColumnRenamed("id", "rep"), "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("c")))
+    known = cut(long.join(answer.withColumnRenamed("id", "rep"), "rep", "left").select("token", "rep", "n", "pos", F.coalesce("component", "rep").alias("c")))
     split = known.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
     open_lists = known.join(split, "token", "left_semi")
     largest = open_lists.groupBy("token", "c").count().groupBy("token").agg(F.max(F.struct("count", F.negate("c").alias("c"))).alias("m")).select("token", F.negate(F.col("m.c")).alias("main"))
-    outside = open_lists.join(largest, "token").where("c <> main").select("token", F.col("rep").alias("o"), F.col("n").alias("m"), F.col("c").alias("oc"))
-    across = open_lists.join(outside, "token").where((F.col("c") != F.col("oc")) & fits(F.col("n"), F.col("m"))).select(F.least("rep", "o").alias("x"), F.greatest("rep", "o").alias("y"), "token")
+    outside = open_lists.join(largest, "token").where("c <> main").select("token", F.col("rep").alias("o"), F.col("n").alias("m"), F.col("pos").alias("opos"), F.col("c").alias("oc"))
+    across = open_lists.join(outside, "token").where((F.col("c") != F.col("oc")) & may_link()).select(F.least("rep", "o").alias("x"), F.greatest("rep", "o").alias("y"), "token")
     return first.unionByName(cut(_verify(plain, _bounded(across, cells, percent), percent, width)))
 
 
