@@ -181,6 +181,8 @@ def unpack(col: pa.ChunkedArray, dtype: np.dtype) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), dtype)
 
 
+#: Least counts, in a batch and in all, of an anchor that may be heavy.
+HEAVY_LEAST = (8, 64)
 MARKS, ANCHORS, HEAVY, EDGES, TEXTS, WINDOWS = range(6)
 PACKED = "kind int, bucket int, rows binary"
 
@@ -236,7 +238,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
         raise ValueError("needs 8 <= k <= length <= k + 255")
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n_docs = max(1, plain.count())
+    n_docs, least = max(1, plain.count()), HEAVY_LEAST
     groups = max(partitions(spark), -(-n_docs // docs_per_bucket))
     buckets = max(partitions(spark), n_docs // 2000)
 
@@ -248,7 +250,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
             rows = np.concatenate(every) if every else np.zeros(0, ANCHOR)
             kept, copies = settle(rows, ("a", "c"))
             held, count = np.unique(kept["a"], return_counts=True)
-            often = count >= max(8, part.num_rows / heavy_share)
+            often = count >= max(least[0], part.num_rows / heavy_share)
             heavy = np.stack([held[often], count[often].astype(np.uint64)], axis=1)
             out = deal(MARKS, marks(copies, 1), doc_bucket(copies["id"], groups))
             out += deal(ANCHORS, kept, (mix64(kept["a"]) % np.uint64(buckets)).astype(np.int32))
@@ -262,7 +264,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
             yield pa.RecordBatch.from_arrays([pa.array(signed(rows[:, 0].copy())), pa.array(rows[:, 1].astype(np.int64))], names=["a", "n"])
 
     # at most heavy_share * (anchors of a mean document) of them, 8 bytes each
-    heavy = first.where(f"kind = {HEAVY}").mapInArrow(heavy_rows, "a long, n long").groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= max(64, n_docs // heavy_share)).select("a").toPandas()
+    heavy = first.where(f"kind = {HEAVY}").mapInArrow(heavy_rows, "a long, n long").groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= max(least[1], n_docs // heavy_share)).select("a").toPandas()
     shared = spark.sparkContext.broadcast(np.sort(heavy["a"].to_numpy(np.int64).view(np.uint64)))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
