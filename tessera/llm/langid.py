@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import ship
+from tessera.llm.memory import tidied, trim
 from tessera.llm.text import chunks, ragged
 
 UNDETERMINED = "und"
@@ -151,7 +152,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], *, bits: i
     return model
 
 
-def train_language_model(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1200, languages: int = 200, bits: int = 15, reject_rate: float = 0.001) -> Model:
+def train_language_model(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800, languages: int = 200, bits: int = 15, reject_rate: float = 0.001) -> Model:
     """Fits on about per_language texts of each of the most frequent ``languages`` among rows where ``learn`` holds.
 
     The sample is drawn by a hash of the id at a rate set from each language's count, so it is bounded by
@@ -165,6 +166,7 @@ def train_language_model(docs: DataFrame, learn: Column, *, id_col: str = "doc_i
     rates = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
     sample = usable.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 20)) < rates[F.col("lang")] * (1 << 20))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = ragged(batch.column(0))
@@ -175,8 +177,13 @@ def train_language_model(docs: DataFrame, learn: Column, *, id_col: str = "doc_i
     most = int(1.5 * per_language * len(counts))
     got = sample.select("text", "lang").mapInArrow(run, "lang string, idx binary, share binary").limit(most).collect()
     got.sort(key=lambda r: (r.lang, bytes(r.idx), bytes(r.share)))
-    rows = [(np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32).astype(np.float64)) for r in got]
-    return fit(rows, [r.lang for r in got], bits=bits, reject_rate=reject_rate)
+    rows = [(np.frombuffer(r.idx, np.int32), np.frombuffer(r.share, np.float32)) for r in got]
+    labels = [r.lang for r in got]
+    del got
+    model = fit(rows, labels, bits=bits, reject_rate=reject_rate)
+    del rows
+    trim()
+    return model
 
 
 def identify_language(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -190,6 +197,7 @@ def identify_language(docs: DataFrame, model: Model, *, id_col: str = "doc_id",
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         plain = np.zeros(256, np.float64)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import cut, ship
+from tessera.llm.memory import tidied
 
 # Up to U+024F every text is in NFC, but for one letter Python's lower case is the tokenizer's, and its letters, numbers
 # and spaces can be listed; no two alternatives start alike, so the commonest comes first.
@@ -79,7 +80,7 @@ def word_tokens(path: str, cap: int) -> WordTokens:
     return WordTokens(path, cap)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, cache_words: int = 500_000) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, cache_words: int = 250_000) -> DataFrame:
     """Pieces of at most ``capacity`` ids: (id, piece, start, length, ids_crc32). A document's ids end with end_id.
 
     Null and empty texts are one piece of end_id alone. The tokenizer is one that lower-cases and splits into words
@@ -88,6 +89,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
     ship(docs.sparkSession)
     tail = np.array([end_id], "<u4").tobytes()
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = word_tokens(tokenizer, cache_words)
         for batch in batches:
@@ -162,6 +164,7 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = 4096, per_task: int = 60_0
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
 
     def packer(last: bool, level: int):
+        @tidied
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(["hash__", *names], kind="stable", ignore_index=True)
             length = rows["length"].to_numpy()

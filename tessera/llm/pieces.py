@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import ship
+from tessera.llm.memory import tidied
 from tessera.llm.sampling import fold
 
 MARK = "▁"
@@ -184,7 +185,7 @@ def word_ids(path: str, cap: int) -> WordIds:
     return WordIds(path, cap)
 
 
-def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 500_000) -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 300_000) -> DataFrame:
     """One row per document: (id, ids binary of little-endian uint32, decodes boolean).
 
     ids are the model's, without begin or end; decodes tells whether they decode to exactly the text, which fails only
@@ -193,6 +194,7 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
     """
     ship(docs.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = word_ids(model, cache_words)
         for batch in batches:
@@ -217,6 +219,7 @@ def decode_pieces(encoded: DataFrame, model: str, *, id_col: str = "id", ids_col
     """Texts of encode_pieces' ids: (id, text); null ids give null. Bytes that aren't UTF-8 become U+FFFD."""
     ship(encoded.sparkSession)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoded = tables(model)[3]
         for batch in batches:
@@ -259,6 +262,7 @@ def frequent_lengths(docs: DataFrame, model: str, *, id_col: str, text_col: str,
     bytes, 6 MB at the default.
     """
 
+    @tidied
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter[str] = Counter()
@@ -284,6 +288,7 @@ def token_counts(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_co
     ship(spark)
     packed = spark.sparkContext.broadcast(frequent_lengths(docs, model, id_col=id_col, text_col=text_col, size=table_size, sample_docs=sample_docs))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_lengths(model, packed.value, cache_words)
         look = table.__getitem__

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import cut, drop_cut, partitions, release, ship
+from tessera.llm.memory import tidied
 from tessera.llm.text import Rolling, chunks, mix64, ragged, signed
 
 CHUNK_BYTES = 2_000_000
@@ -242,6 +243,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
     groups = max(partitions(spark), -(-n_docs // docs_per_bucket))
     buckets = max(partitions(spark), n_docs // 2000)
 
+    @tidied
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             data, off = ragged(part.column(1))
@@ -258,6 +260,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
 
     first = cut(plain.mapInArrow(scan, PACKED))
 
+    @tidied
     def heavy_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             rows = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint64).reshape(-1, 2)
@@ -267,6 +270,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
     heavy = first.where(f"kind = {HEAVY}").mapInArrow(heavy_rows, "a long, n long").groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= max(least[1], n_docs // heavy_share)).select("a").toPandas()
     shared = spark.sparkContext.broadcast(np.sort(heavy["a"].to_numpy(np.int64).view(np.uint64)))
 
+    @tidied
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Anchors in their buckets; those of heavy anchors go by their context."""
         hot = shared.value
@@ -282,6 +286,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
                 out += [(ANCHORS, b, rows[~is_hot].tobytes())] + deal(ANCHORS, rows[is_hot], (mix64(rows["a"][is_hot] ^ rows["c"][is_hot]) % np.uint64(buckets)).astype(np.int32))
             yield batch(out)
 
+    @tidied
     def group(table: pa.Table) -> pa.Table:
         kept, copies = settle(unpack(table.column("rows"), ANCHOR), ("a", "c"))
         held, at, count = np.unique(kept["a"], return_inverse=True, return_counts=True)
@@ -293,6 +298,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
     grouped = cut(first.where(f"kind = {ANCHORS}").mapInArrow(spread, PACKED).groupBy("bucket").applyInArrow(group, PACKED))
     release(spark)
 
+    @tidied
     def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             ids = part.column(0).to_numpy()
@@ -301,6 +307,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
     texts = plain.mapInArrow(pack_texts, "bucket int, id long, text string")
     hot_buckets = buckets
 
+    @tidied
     def contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         """Bytes around each edge; windows of heavy anchors by hash instead."""
         edges = np.unique(unpack(right.column("rows"), ANCHOR))
@@ -341,6 +348,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
     around = cut(texts.groupBy("bucket").cogroup(edges.groupBy("group")).applyInArrow(_guard(contexts), PACKED))
     release(spark)
 
+    @tidied
     def compare(table: pa.Table) -> pa.Table:
         rows, left, right = [], [], []
         for packed in table.column("rows").to_pylist():
@@ -359,6 +367,7 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
         found = match_contexts(np.concatenate(rows), np.concatenate(left), np.concatenate(right), length)
         return pa.Table.from_batches([batch(deal(MARKS, found, doc_bucket(found["id"], groups)))])
 
+    @tidied
     def equal_windows(table: pa.Table) -> pa.Table:
         kept, copies = settle(unpack(table.column("rows"), WINDOW), ("h", "g"))
         found = np.concatenate([window_marks(kept[kept["multi"] > 0], 0), window_marks(copies, 1)])
@@ -427,11 +436,13 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, k: int = 64, keep_firs
     names = "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary" + fields
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
+    @tidied
     def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             ids = part.column(0).fill_null(-1).to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(doc_bucket(ids, groups)), *part.columns], names=["bucket", *part.schema.names])
 
+    @tidied
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = unpack(right.column("rows"), MARK)
         rows = rows[rows["later"] > 0] if keep_first else rows

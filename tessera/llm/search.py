@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import cut, ship
+from tessera.llm.memory import tidied
 
 LEAF = 128
 
@@ -130,6 +131,7 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
     spark = vectors.sparkSession
     ship(spark)
 
+    @tidied
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, vs = vector_matrix(batch.column(1))
@@ -142,6 +144,7 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
     shards = max(1, -(-sizes.n // shard_rows))
     blocks = max(1, -(-(sizes.q or 0) // block_rows))
 
+    @tidied
     def packer(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
         return pd.DataFrame({"part": rows["part"].iloc[:1], "dim": rows["dim"].iloc[:1], "ids": [rows["id"].to_numpy(np.int64).tobytes()], "vs": [b"".join(rows["v"])]})
@@ -155,6 +158,7 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
     found = "block int, dim int, query_id long, vec_id long, score double"
 
     def search(start: bool):
+        @tidied
         def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out = []
             grown = []
@@ -183,6 +187,7 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
         # a k-th score is known only for queries that already have k results
         kth = first.groupBy("block", "dim", "query_id").agg(F.min("score").alias("s"), F.count("*").alias("n")).select("block", "dim", "query_id", F.when(F.col("n") >= k, F.col("s")).alias("s"))
 
+        @tidied
         def bounds(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             out = []
             known = dict(zip(right["query_id"], right["s"], strict=True))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.cluster import cut, partitions, release, ship
 from tessera.llm.components import connected_components
+from tessera.llm.memory import tidied
 from tessera.llm.text import Rolling, chunks, mix64, ragged, signed
 
 CHUNK_BYTES = 2_000_000
@@ -113,6 +114,7 @@ def profile(docs: DataFrame, width: int, heavy_share: int) -> DataFrame:
     in at least one.
     """
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = ragged(batch.column(1))
@@ -225,6 +227,7 @@ def _links(plain: DataFrame, classes: DataFrame, cells: DataFrame, shared, perce
     n_classes = classes.count()
     buckets = max(parts, n_classes // 4000)
 
+    @tidied
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, count = shared.value
         for batch in batches:
@@ -242,6 +245,7 @@ def _links(plain: DataFrame, classes: DataFrame, cells: DataFrame, shared, perce
     prefixes = plain.mapInArrow(index, "id long, n long, prefix binary")
     prefixes = prefixes.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
 
+    @tidied
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Postings of a batch by bucket of their token."""
         for batch in batches:
@@ -261,6 +265,7 @@ def _links(plain: DataFrame, classes: DataFrame, cells: DataFrame, shared, perce
 
     fields = "x long, y long, token long, size long"
 
+    @tidied
     def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         token, rep, size, pos = (np.frombuffer(b"".join(rows[c]), t) for c, t in (("token", np.uint64), ("rep", np.int64), ("size", np.int32), ("pos", np.int32)))
         order = np.lexsort((rep, size, token))
@@ -317,6 +322,7 @@ def _bounded(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     once, wanted = _grouped(pairs)
     members = wanted.join(cells, "id").select("list", "slice", "id", "n", "cells")
 
+    @tidied
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         held = {i: (n, np.frombuffer(c, np.uint8)) for i, n, c in zip(right["id"], right["n"], right["cells"], strict=True)}
         keep = []
@@ -333,6 +339,7 @@ def _verify(plain: DataFrame, pairs: DataFrame, percent: int, width: int) -> Dat
     once, wanted = _grouped(pairs)
     needed = wanted.select("id").distinct()
 
+    @tidied
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = ragged(batch.column(1))
@@ -343,6 +350,7 @@ def _verify(plain: DataFrame, pairs: DataFrame, percent: int, width: int) -> Dat
     built = plain.join(needed, "id", "left_semi").mapInArrow(sets, "id long, s binary")
     members = wanted.join(built, "id")
 
+    @tidied
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         held = {i: np.frombuffer(s, np.uint64) for i, s in zip(right["id"], right["s"], strict=True)}
         a, b = [], []

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import ship
+from tessera.llm.memory import tidied
 
 # Letters that look like Latin ones, digits and signs written for letters.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
@@ -127,6 +128,7 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, learn: Column, *, id_col:
     sample = known.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 20)) < rate * (1 << 20)).limit(5 * per_class)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id").select("y", "text")
 
+    @tidied
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -152,6 +154,7 @@ def train_lexicon(docs: DataFrame, labels: DataFrame, learn: Column, *, id_col:
 def exceptions(rows: DataFrame, lexicon: Lexicon, *, least_docs: int = 3, most: int = 5000) -> dict[str, float]:
     """Phrases of a term and one neighbour that clean texts hold more often than toxic ones: pattern -> 0."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = lexicon.matcher()
         for batch in batches:
@@ -180,6 +183,7 @@ def apply(docs: DataFrame, lexicon: Lexicon, *, id_col: str = "id", text_col: st
     ship(spark)
     shared = spark.sparkContext.broadcast(lexicon)
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = shared.value
         matcher = lexicon.matcher()

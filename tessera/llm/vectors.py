@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.cluster import cut, ship
 from tessera.llm.components import connected_components, local_labels
+from tessera.llm.memory import tidied
 from tessera.llm.search import vector_matrix
 
 
@@ -113,6 +114,7 @@ def near_duplicates(vectors: DataFrame, *, least: float = 0.95, id_col: str = "v
     spark = vectors.sparkSession
     ship(spark)
 
+    @tidied
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, vs = vector_matrix(batch.column(1))
@@ -156,6 +158,7 @@ def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists
     shared = spark.sparkContext.broadcast(model)
     reach = float(np.sqrt(2 - 2 * least))
 
+    @tidied
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
@@ -165,6 +168,7 @@ def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists
             home, codes, error = model.encode(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)], names=["rep", "weight", "v", "list", "codes", "error"])
 
+    @tidied
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
@@ -182,6 +186,7 @@ def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists
     data = indexed.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks")
     asked = groups.select("rep", "weight", "v").mapInArrow(probe, "list int, ids binary, vs binary").join(sizes, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
+    @tidied
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         model = shared.value
         if not len(left) or not len(right):
