@@ -33,7 +33,8 @@ def applied(field: DataFrame, wanted: DataFrame, ceiling: float, larger: bool =
     """
     pick = F.max("size") if larger else F.min("size")
     best = wanted.groupBy("iy", "ix").agg(pick.alias("size"))
-    t = field.join(best, ["iy", "ix"], "left").withColumn("size", F.least(F.greatest("size", "floor"), F.lit(ceiling)))
+    clamped = F.when(F.col("size").isNotNull(), F.least(F.greatest("size", "floor"), F.lit(ceiling)))  # greatest skips nulls
+    t = field.join(best, ["iy", "ix"], "left").withColumn("size", clamped)
     change = F.col("size").isNotNull() & ((F.col("size") > F.col("value") + 1e-9) if larger else (F.col("size") < F.col("value") - 1e-9))
     tries = F.col("attempts") + F.when(change & F.lit(count and not larger), 1).otherwise(0)
     return t.select("iy", "ix", F.when(change, F.col("size")).otherwise(F.col("value")).alias("value"), "floor", tries.cast("int").alias("attempts"))

@@ -111,20 +111,21 @@ def union_measure(rects: list[tuple[float, float, float, float]], poly: list[tup
         ts = sorted(t for t in cuts if 0 <= t <= 1)
         for s, t in zip(ts[:-1], ts[1:], strict=True):
             m = (s + t) / 2
-            x, y = a[0] + m * (b[0] - a[0]), a[1] + m * (b[1] - a[1])
+            # just inside the side, so that an edge lying on it is told by what it borders
+            x, y = a[0] + m * (b[0] - a[0]) - 1e-9 * (b[1] - a[1]), a[1] + m * (b[1] - a[1]) + 1e-9 * (b[0] - a[0])
             if full[np.searchsorted(xs, x), np.searchsorted(ys, y)]:
                 length += (t - s) * float(np.hypot(b[0] - a[0], b[1] - a[1]))
     return area, length
 
 
 def inside_length(a: tuple[float, float], b: tuple[float, float], poly: list[tuple[float, float]]) -> float:
-    """How much of a segment lies inside a convex counter-clockwise polygon."""
+    """How much of a segment lies inside a convex counter-clockwise polygon; on a side is outside."""
     lo, hi = 0.0, 1.0
     for i in range(len(poly)):
         (px, py), (qx, qy) = poly[i], poly[(i + 1) % len(poly)]
         s = (qx - px) * (a[1] - py) - (qy - py) * (a[0] - px)
         t = (qx - px) * (b[1] - py) - (qy - py) * (b[0] - px)
-        if s < 0 and t < 0:
+        if s <= 0 and t <= 0:
             return 0.0
         if s * t < 0:
             u = s / (s - t)
