@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import catalog as base
-from tessera.catalog import CELL, ELEM, MESH, SAMPLE, SHAPE, chain, query, rounded
+from tessera.catalog import CELL, MESH, SAMPLE, SHAPE, chain, query, rounded
 from tessera.operators import levels, quality, sizefield, tables, topology
 from tessera.sources import fixtures as fx
 
@@ -232,7 +232,7 @@ def size_field_lookup(spark, sf_dir):
     return sizefield.looked_up(fx.grid(spark, sf_dir), wanted(spark, sf_dir), 3)
 
 
-@query(chain(CELL, ELEM, "node0 AS (SELECT DISTINCT unnest([n0, n1, n2]) id FROM elem)") + "SELECT id, least(greatest(round_even((40 * (id % 51) + id * 7919 % 17 - 8) / 24.0, 0), 0), 63)::BIGINT ix FROM node0")
+@query(chain(*MESH) + "SELECT id, least(greatest(round_even(x / 24.0, 0), 0), 63)::BIGINT ix FROM node")
 def grid_index(spark, sf_dir):
     return fx.nodes(spark, sf_dir).select("id", sizefield.nearest(F.col("x"), 0.0, 24.0, 64).alias("ix"))
 
