@@ -74,6 +74,17 @@ def test_lexicon_folds_and_excepts(spark):
     assert fold_text("A1b 2C!") == " aib c " and fold_text("") == "  "
 
 
+def test_lexicon_does_not_depend_on_partitions(spark):
+    rng = random.Random(8)
+    text = lambda end: " ".join([*(f"word{rng.randrange(300)}" for _ in range(20)), end])
+    ends = ["scumbag"] * 140 + ["utter scumbag"] * 60 + ["calm"] * 400 + ["utter scumbag"] * 3 + ["jolly scumbag"] * 30
+    docs = spark.createDataFrame([(i, text(e)) for i, e in enumerate(ends)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 200)) for i in range(len(ends))], "doc_id long, toxic int")
+    one, many = (train_lexicon(d, labels, F.lit(True), least_odds=4.0) for d in (docs.coalesce(1), docs.repartitionByRange(6, "doc_id")))
+    assert one.weights == many.weights
+    assert " utter scumbag " not in many.weights and many.weights[" jolly scumbag "] == 0
+
+
 def test_toxicity_of_odd_rows(spark):
     lexicon = learnt(spark)[2]
     assert apply(corpus.crowded(corpus.table(spark)), lexicon, id_col="doc_id").count() == len(corpus.rows())
