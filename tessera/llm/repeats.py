@@ -141,6 +141,41 @@ def anchors(data: np.ndarray, off: np.ndarray, ids: np.ndarray, length: int, k:
     return out
 
 
+def sliced_anchors(data: np.ndarray, off: np.ndarray, ids: np.ndarray, length: int, k: int, size: int = CHUNK_BYTES) -> Iterator[np.ndarray]:
+    """anchors() of some texts; a single text longer than ``size`` in slices, so that places fit their 24 bits.
+
+    A slice starts with the windows of the last anchor before, which the end of that slice may have cut short.
+    """
+    n = len(data)
+    if n <= size or len(off) > 2:
+        yield anchors(data, off, ids, length, k)
+        return
+    at = 0
+    while True:
+        end = min(n, at + size)
+        rows = anchors(data[at:end], np.array([0, end - at]), ids, length, k)
+        rows["pos"] += np.uint32(at)
+        if end == n:
+            yield rows
+            return
+        yield rows[:-1]
+        at = int(rows["pos"][-1]) - int(rows["dhi"][-1])
+
+
+def joined(found: np.ndarray) -> np.ndarray:
+    """Marks of one kind with those whose windows adjoin or overlap as one."""
+    if len(found) < 2:
+        return found
+    found = found[np.lexsort((found["lo"], found["id"]))]
+    group = np.concatenate([[True], found["id"][1:] != found["id"][:-1]])
+    hi = found["hi"].astype(np.int64)
+    far = np.maximum.accumulate(hi + (np.cumsum(group) << 33)) - (np.cumsum(group) << 33)  # within an id
+    new = np.flatnonzero(group | np.concatenate([[True], found["lo"][1:] > far[:-1] + 1]))
+    out = found[new]
+    out["hi"] = np.maximum.reduceat(hi, new)
+    return out
+
+
 def settle(rows: np.ndarray, keys: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     """(one row of each key with the smallest (id, pos), multi set where there are more; the other rows)."""
     order = np.lexsort((rows["pos"], rows["id"], *(rows[k] for k in reversed(keys))))
@@ -248,13 +283,18 @@ def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col:
         for part in batches:
             data, off = ragged(part.column(1))
             ids = part.column(0).to_numpy()
-            every = [anchors(data[off[i] : off[j]], off[i : j + 1] - off[i], ids[i:j], length, k) for i, j in _pieces(off)]
-            rows = np.concatenate(every) if every else np.zeros(0, ANCHOR)
-            kept, copies = settle(rows, ("a", "c"))
+            every, again = [np.zeros(0, ANCHOR)], []
+            for i, j in chunks(off, CHUNK_BYTES):
+                for rows in sliced_anchors(data[off[i] : off[j]], off[i : j + 1] - off[i], ids[i:j], length, k):
+                    kept, copies = settle(rows, ("a", "c"))
+                    every.append(kept)
+                    again.append(joined(marks(copies, 1)))
+            kept, copies = settle(np.concatenate(every), ("a", "c"))
+            again = np.concatenate([*again, marks(copies, 1)])
             held, count = np.unique(kept["a"], return_counts=True)
             often = count >= max(least[0], part.num_rows / heavy_share)
             heavy = np.stack([held[often], count[often].astype(np.uint64)], axis=1)
-            out = deal(MARKS, marks(copies, 1), doc_bucket(copies["id"], groups))
+            out = deal(MARKS, again, doc_bucket(again["id"], groups))
             out += deal(ANCHORS, kept, (mix64(kept["a"]) % np.uint64(buckets)).astype(np.int32))
             yield batch(out + ([(HEAVY, 0, heavy.tobytes())] if len(heavy) else []))
 
@@ -401,14 +441,6 @@ def window_marks(rows: np.ndarray, later: int) -> np.ndarray:
     return out
 
 
-def _pieces(off: np.ndarray) -> Iterator[tuple[int, int]]:
-    """As chunks(), for anchors, whose places must fit 24 bits; longer texts aren't supported."""
-    for i, j in chunks(off, CHUNK_BYTES):
-        if off[j] - off[i] >= 1 << 24:
-            raise ValueError("a text of 16 MB or more")
-        yield i, j
-
-
 def covered(found: np.ndarray, size: int, length: int) -> np.ndarray:
     """Which bytes of a text of a given size its marked windows cover."""
     step = np.zeros(size + 1, np.int32)
@@ -425,7 +457,7 @@ def remove_repeats(docs: DataFrame, *, length: int = 200, k: int = 64, keep_firs
     input and never cross texts. spans are the maximal removed runs (start, end); kept is what remains, as bytes (null
     unless with_text). whole_characters leaves in the bytes of characters that a span would cut. A null text is empty.
     A row with a null id stays as it is and matches nothing. Ids are long and stand for one text each; a repeated row is
-    a copy of itself at the same place. Texts of 16 MB or more are refused.
+    a copy of itself at the same place.
     """
     spark = docs.sparkSession
     ship(spark)

@@ -114,6 +114,28 @@ def test_repeats_odd_rows(spark):
         repeated_windows(spark.createDataFrame([], "id long, text string"), length=10, k=64)
 
 
+def test_slices_of_a_long_text_have_its_anchors():
+    rng = np.random.default_rng(3)
+    data = np.concatenate([rng.integers(97, 123, 9000), np.full(3000, 120), np.tile(rng.integers(97, 123, 70), 60), rng.integers(97, 100, 4000)]).astype(np.uint8)
+    off, ids = np.array([0, len(data)]), np.array([5])
+    whole = repeats.anchors(data, off, ids, 200, 64)
+    for size in (700, 1001, 5000, len(data)):
+        assert np.array_equal(np.concatenate(list(repeats.sliced_anchors(data, off, ids, 200, 64, size))), whole)
+
+
+def test_repeats_of_texts_over_16_mib(spark):
+    rng = np.random.default_rng(4)
+    noise = rng.integers(97, 123, (1 << 24) + 700_000).astype(np.uint8).tobytes().decode()
+    passage, at = noise[1000:1500], (1 << 24) + 300_000
+    rows = [(1, noise[:at] + passage + noise[at:]), (2, "x" * ((1 << 24) + 5)), (3, "say " + noise[at + 1000 : at + 1400]), (4, "nothing here")]
+    for keep_first in (True, False):
+        out = {r.id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep_first=keep_first, with_text=False).collect()}
+        spans = {i: [(s.start, s.end) for s in r.spans] for i, r in out.items()}
+        first, last = ([], []) if keep_first else ([(1000, 1500)], [(at + 1500, at + 1900)])
+        assert spans[3] == [(4, 404)] and spans[4] == [] and spans[2] == [(int(keep_first), (1 << 24) + 5)]
+        assert spans[1] == first + [(at, at + 500)] + last
+
+
 def test_longest_previous_factor_by_suffix_order():
     data = b"abracadabra abracadabra"
     n = len(data)
