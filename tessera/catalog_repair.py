@@ -41,8 +41,7 @@ def merge_candidates(spark, sf_dir):
 
 @query(None)
 def greedy_merges(spark, sf_dir):
-    block = fx.elements(spark, sf_dir).select("eid", F.floor(F.col("eid") / 4000).alias("block"))
-    return rounded(repair.greedy_merges(candidates(spark, sf_dir), block), four=("area", "small_area"))
+    return rounded(repair.greedy_merges(candidates(spark, sf_dir)), four=("area", "small_area"))
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts::TIMESTAMP) AS start, user_id face, round(sum(value), 6) total, max(value) peak, count(*) n FROM events GROUP BY ALL")

@@ -1,7 +1,7 @@
 """Mesh repair: merging, splitting, bisecting and collapsing elements under area and shape limits.
 
-Scoring is relational; choosing which candidates to apply is greedy and order-dependent, so it runs in one kernel for
-each block of a mesh.
+Scoring is relational; choosing which candidates to apply is greedy and order-dependent, so it runs in kernels that hold
+whole groups of linked candidates.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.cluster import ship
+from tessera.cluster import cut, partitions, ship
 from tessera.functions import geometry as g
+from tessera.llm.components import connected_components
 from tessera.operators import topology
 
 
@@ -53,13 +54,17 @@ def merge_candidates(elem: DataFrame, half: DataFrame, geom: DataFrame, constrai
     return quads.withColumns({"jacobian": F.least(*g.corner_jacobians(ring)), "area": g.signed_area(ring)}).where(F.col("jacobian") > least_jacobian).select("small", "other", "small_area", "area", "jacobian", "q0", "q1", "q2", "q3")
 
 
-def greedy_merges(candidates: DataFrame, block: DataFrame) -> DataFrame:
+def greedy_merges(candidates: DataFrame, *, per_task: int = 20_000) -> DataFrame:
     """The candidates applied: smallest triangle first, each with its best free partner (largest jacobian, then number).
 
-    block (eid, block) says which kernel a pair belongs to; pairs across blocks are left alone.
+    block is the smallest number among the triangles that candidates link to a pair's own. Choices in one block don't
+    touch another, so kernels of about ``per_task`` pairs in whole blocks give what one pass over the whole mesh would.
     """
     ship(candidates.sparkSession)
-    both = candidates.join(block.select(F.col("eid").alias("small"), "block"), "small").join(block.select(F.col("eid").alias("other"), F.col("block").alias("b2")), "other").where("block = b2").drop("b2")
+    held = cut(candidates)
+    both = held.join(connected_components(held, "small", "other").select(F.col("id").alias("small"), F.col("component").alias("block")), "small")
+    tasks = max(partitions(held.sparkSession), held.count() // per_task)
+    both = both.select("other", "small", *[c for c in both.columns if c not in ("other", "small")])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["small_area", "small", "jacobian", "other"], ascending=[True, True, False, True], ignore_index=True)
@@ -72,7 +77,7 @@ def greedy_merges(candidates: DataFrame, block: DataFrame) -> DataFrame:
         return pdf.iloc[keep]
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema)
-    return both.groupBy("block").applyInPandas(run, fields)
+    return both.groupBy(F.pmod(F.xxhash64("block"), F.lit(tasks))).applyInPandas(run, fields)
 
 
 def area_of(points: np.ndarray, tri: Iterable[int]) -> float:

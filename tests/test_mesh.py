@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera import catalog_repair
 from tessera.operators import levels, ordering, quality, raster, repair, spatial, special, tables, terrain, topology
 from tessera.sources import container
 
@@ -183,3 +184,16 @@ def test_the_rest_works_without_the_corpus_operators():
 
     code = "import sys; sys.modules['tessera.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert 'mesh_summary' in e.queries() and not any(n.startswith('op') for n in e.queries()); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_greedy_merges_equal_a_global_pass(spark):
+    sf = "/root/testdata/sf0.01"
+    pairs = catalog_repair.candidates(spark, sf).toPandas().sort_values(["small_area", "small", "jacobian", "other"], ascending=[True, True, False, True])
+    used, want = set(), set()
+    for a, b in zip(pairs["small"], pairs["other"], strict=True):
+        if a not in used and b not in used:
+            used |= {a, b}
+            want.add((a, b))
+    got = [(r.small, r.other) for r in catalog_repair.greedy_merges(spark, sf).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert any(a // 4000 != b // 4000 for a, b in got)
