@@ -157,28 +157,22 @@ def tables(path: str) -> tuple[dict[str, int], dict[str, float], list[int], list
 
 
 class WordIds(dict):
-    """Worker cache: marked word (without its first mark) -> its ids as little-endian uint32 bytes.
-
-    Decoding joins what each id stands for, so a text decodes to itself if its words do; that is tried once for each
-    word when it is learnt, and ``lossy`` holds the words that fail.
-    """
+    """Worker cache: marked word (without its first mark) -> its ids as little-endian uint32 bytes."""
 
     def __init__(self, path: str, cap: int):
-        pieces, ranks, byte_ids, self.decoded = tables(path)
+        pieces, ranks, byte_ids, _ = tables(path)
         ranks = {p: r for p, r in ranks.items() if len(p) > 1}
-        self.forward, self.cap, self.lossy = Forward(pieces, ranks=ranks, byte_ids=byte_ids), cap, set()
+        self.forward, self.cap = Forward(pieces, ranks=ranks, byte_ids=byte_ids), cap
 
     def learn(self, split: list[list[str]]) -> None:
         """Encodes the words that are new here in trie order."""
         if len(self) > self.cap:
             self.clear()
-            self.lossy.clear()
-        encode, lossy, decoded = self.forward.encode, self.lossy, self.decoded
+        encode = self.forward.encode
         for w in sorted({w for words in split for w in words if w not in self}):
             ids = encode(MARK + w.replace(" ", MARK) if " " in w else MARK + w)
             self[w] = array("I", ids).tobytes()
-            if b"".join(map(decoded.__getitem__, ids)) != b" " + w.encode():
-                lossy.add(w)
+
 
 @lru_cache(2)
 def word_ids(path: str, cap: int) -> WordIds:
@@ -188,15 +182,15 @@ def word_ids(path: str, cap: int) -> WordIds:
 def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", cache_words: int = 300_000) -> DataFrame:
     """One row per document: (id, ids binary of little-endian uint32, decodes boolean).
 
-    ids are the model's, without begin or end; decodes tells whether they decode to exactly the text, which fails only
-    for texts that hold the mark itself. Null and empty texts have no ids. Rows keep their number and ids (nulls and
-    repeats included); other columns are ignored.
+    ids are the model's, without begin or end; decodes tells whether they decode to exactly the text, which is tried for
+    each document and should fail only for texts that hold the mark itself. Null and empty texts have no ids. Rows keep
+    their number and ids (nulls and repeats included); other columns are ignored.
     """
     ship(docs.sparkSession)
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_ids(model, cache_words)
+        cache, decoded = word_ids(model, cache_words), meanings(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 2500):
                 part = batch.slice(at, 2500)
@@ -204,15 +198,26 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
                 split = [marked_words(t) for t in texts]
                 cache.learn(split)
                 ids = [b"".join(map(cache.__getitem__, words)) for words in split]
-                back = [MARK not in t and (not cache.lossy or cache.lossy.isdisjoint(words)) for t, words in zip(texts, split, strict=True)]
+                back = [x == t.encode() for x, t in zip(decode_ids(ids, decoded), texts, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(back)], names=["id", "ids", "decodes"])
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return plain.mapInArrow(run, f"id {plain.schema['id'].dataType.simpleString()}, ids binary, decodes boolean")
 
 
-def decode_ids(ids: bytes, decoded: list[bytes]) -> bytes:
-    return b"".join(map(decoded.__getitem__, np.frombuffer(ids, "<u4").tolist()))[1:]
+@lru_cache(2)
+def meanings(path: str) -> pa.Array:
+    """What each id decodes to."""
+    return pa.array(tables(path)[3], pa.large_binary())
+
+
+def decode_ids(ids: list[bytes], decoded: pa.Array) -> list[bytes]:
+    """The texts of some documents' ids, whose first space mark isn't theirs."""
+    found = decoded.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+    off = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1] if len(found) else np.zeros(1, np.int64)
+    data = memoryview(found.buffers()[2] or b"") if len(found) else memoryview(b"")
+    cut = off[np.cumsum([0, *(len(x) // 4 for x in ids)])].tolist()
+    return [bytes(data[a + 1 : b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
 def decode_pieces(encoded: DataFrame, model: str, *, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -221,9 +226,10 @@ def decode_pieces(encoded: DataFrame, model: str, *, id_col: str = "id", ids_col
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoded = tables(model)[3]
+        decoded = meanings(model)
         for batch in batches:
-            texts = [None if x is None else decode_ids(x, decoded).decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
+            ids = batch.column(1).to_pylist()
+            texts = [None if x is None else t.decode("utf-8", "replace") for x, t in zip(ids, decode_ids([x or b"" for x in ids], decoded), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     plain = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))

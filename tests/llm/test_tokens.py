@@ -139,3 +139,12 @@ def test_sum_of_squares_takes_the_smallest_growth():
 def test_a_mark_in_a_text_is_reported(spark):
     docs = spark.createDataFrame([(1, f"a{MARK}b")], "doc_id long, text string")
     assert not encode_pieces(docs, MODEL).collect()[0].decodes
+
+
+def test_round_trip_is_tried_on_whole_documents(spark, monkeypatch):
+    def lossy(text):
+        return marked_words(text)[:-1] if text.startswith("short") else marked_words(text)
+
+    monkeypatch.setattr("tessera.llm.pieces.marked_words", lossy)
+    docs = spark.createDataFrame([(1, "a whole text"), (2, "short of a word"), (3, ""), (4, None), (5, "naïve 🎉  two ")], "doc_id long, text string")
+    assert {r.id: r.decodes for r in encode_pieces(docs, MODEL).collect()} == {1: True, 2: False, 3: True, 4: True, 5: True}
