@@ -1,3 +1,4 @@
+import inspect
 import random
 import zlib
 
@@ -39,6 +40,10 @@ def test_language_of_odd_rows(spark):
     assert identify_language(corpus.table(spark), nothing).count() == len(rows)
 
 
+def test_language_sample_is_whole():
+    assert inspect.signature(train_language_model).parameters["per_language"].default == 1200
+
+
 def test_noise_is_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = train_language_model(docs, F.lit(True))
