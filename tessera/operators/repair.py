@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.cluster import cut, partitions, ship
 from tessera.functions import geometry as g
-from tessera.llm.components import connected_components
+from tessera.components import connected_components
 from tessera.operators import topology
 
 
