@@ -238,7 +238,7 @@ def grid_index(spark, sf_dir):
 
 
 def _load_rest() -> None:
-    from tessera import catalog_repair, catalog_spatial  # noqa: F401
+    from tessera import catalog_io, catalog_repair, catalog_spatial  # noqa: F401
 
 
 _load_rest()

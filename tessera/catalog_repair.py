@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera import catalog as base
 from tessera import catalog_more as more
 from tessera import catalog_spatial as spatial
-from tessera.catalog import GEOM, MESH, chain, query, rounded
+from tessera.catalog import GEOM, MESH, TOUCH, chain, query, rounded
 from tessera.operators import quality, repair, tables
 from tessera.sources import container
 from tessera.sources import fixtures as fx
@@ -28,20 +28,37 @@ def split_quads(spark, sf_dir):
     return rounded(repair.split_quads(spatial.geometry(spark, sf_dir), fx.elements(spark, sf_dir), 700.0))
 
 
+RULES = quality.Limits(min_area=950.0, quad_min_angle=40.0, quad_max_angle=140.0, quad_aspect=3.0, quad_jacobian=0.5)
+
+
 def candidates(spark, sf_dir):
     elem = fx.elements(spark, sf_dir)
     constrained = more.topology.edges(base.mesh_half(spark, sf_dir)).where("(lo + hi) % 11 = 0").select("lo", "hi")
-    return repair.merge_candidates(elem, base.mesh_half(spark, sf_dir), quality.corners(elem, fx.nodes(spark, sf_dir)), constrained, 800.0, 0.5)
+    return repair.merge_candidates(elem, base.mesh_half(spark, sf_dir), quality.corners(elem, fx.nodes(spark, sf_dir)), constrained, RULES)
+
+
+_AT = ", ".join(f"n{i}.x x{i}, n{i}.y y{i}" for i in range(4))
+_LEN = [f"sqrt((x{i} - x{(i + 1) % 4}) ** 2 + (y{i} - y{(i + 1) % 4}) ** 2)" for i in range(4)]
+_TURN = [f"degrees(atan2((x{(i + 1) % 4} - x{i}) * (y{i - 1 if i else 3} - y{i}) - (y{(i + 1) % 4} - y{i}) * (x{i - 1 if i else 3} - x{i}), (x{i - 1 if i else 3} - x{i}) * (x{(i + 1) % 4} - x{i}) + (y{i - 1 if i else 3} - y{i}) * (y{(i + 1) % 4} - y{i})))" for i in range(4)]
+_FULL = [f"CASE WHEN {t} < 0 THEN {t} + 360 ELSE {t} END" for t in _TURN]
+_JAC = [f"((x{i} - x{i - 1 if i else 3}) * (y{(i + 1) % 4} - y{i}) - (y{i} - y{i - 1 if i else 3}) * (x{(i + 1) % 4} - x{i})) / ({_LEN[i - 1 if i else 3]} * {_LEN[i]})" for i in range(4)]
+_CAND = f"""tri AS (SELECT eid, abs({_area(0, 1, 2)}) area FROM geom WHERE kind = 3), sm AS (SELECT * FROM tri WHERE area < 950 AND eid NOT IN (FROM touch)),
+qd AS (SELECT sm.eid small, o.eid other, sm.area small_area, list_extract([e.n2, e.n0, e.n1], h.k + 1) q0, h.na q1, list_extract(list_filter([o.n0, o.n1, o.n2], lambda n: n <> h.na AND n <> h.nb), 1) q2, h.nb q3
+  FROM sm JOIN half h USING (eid) JOIN elem e USING (eid) JOIN edge g ON g.lo = least(na, nb) AND g.hi = greatest(na, nb) AND uses = 2 JOIN elem o ON o.eid = CASE h.eid WHEN e0 THEN e1 ELSE e0 END AND o.kind = 3 WHERE (g.lo + g.hi) % 11 <> 0),
+qp AS (SELECT qd.*, {_AT} FROM qd JOIN node n0 ON n0.id = q0 JOIN node n1 ON n1.id = q1 JOIN node n2 ON n2.id = q2 JOIN node n3 ON n3.id = q3),
+cand AS (SELECT small, other, small_area, {_area(0, 1, 2, 3)} area, least({', '.join(_JAC)}) jacobian, q0, q1, q2, q3 FROM qp WHERE least({', '.join(_JAC)}) >= 0.5 AND {_area(0, 1, 2, 3)} >= 950 AND greatest({', '.join(_LEN)}) <= 3 * least({', '.join(_LEN)}) AND least({', '.join(_FULL)}) >= 40 AND greatest({', '.join(_FULL)}) <= 140)"""
 
 
-@query(None)
+@query(chain(*MESH, GEOM, TOUCH, _CAND) + "SELECT small, other, round(small_area, 4) small_area, round(area, 4) area, round(jacobian, 6) jacobian, q0, q1, q2, q3 FROM cand")
 def merge_candidates(spark, sf_dir):
     return rounded(candidates(spark, sf_dir), four=("area", "small_area"))
 
 
-@query(None)
+@query("WITH RECURSIVE " + chain(*MESH, GEOM, TOUCH, _CAND)[5:].rstrip() + """, ranked AS (SELECT *, row_number() OVER (ORDER BY small_area, small, jacobian DESC, other) k FROM cand),
+pick AS (SELECT 0::BIGINT k, []::BIGINT[] used, []::BIGINT[] kept UNION ALL SELECT p.k + 1, CASE WHEN list_contains(used, small) OR list_contains(used, other) THEN used ELSE list_concat(used, [small, other]) END, CASE WHEN list_contains(used, small) OR list_contains(used, other) THEN kept ELSE list_append(kept, r.k) END FROM pick p JOIN ranked r ON r.k = p.k + 1)
+SELECT small, other, round(small_area, 4) small_area, round(area, 4) area, round(jacobian, 6) jacobian, q0, q1, q2, q3 FROM ranked WHERE k IN (SELECT unnest(kept) FROM pick WHERE k = (SELECT max(k) FROM ranked))""")
 def greedy_merges(spark, sf_dir):
-    return rounded(repair.greedy_merges(candidates(spark, sf_dir)), four=("area", "small_area"))
+    return rounded(repair.greedy_merges(candidates(spark, sf_dir)).drop("block"), four=("area", "small_area"))
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts::TIMESTAMP) AS start, user_id face, round(sum(value), 6) total, max(value) peak, count(*) n FROM events GROUP BY ALL")

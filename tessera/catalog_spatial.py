@@ -98,23 +98,42 @@ def special_edge_match(spark, sf_dir):
     return special.match(edges.select("ln", "x1", "y1", "x2", "y2"), features(spark, sf_dir), 15.0, 64.0)
 
 
-def _sides() -> str:
-    s1, s2 = "sign((bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax))", "sign((bx - ax) * (dy - ay) - (by_ - ay) * (dx - ax))"
-    s3, s4 = "sign((dx - cx) * (ay - cy) - (dy - cy) * (ax - cx))", "sign((dx - cx) * (by_ - cy) - (dy - cy) * (bx - cx))"
-    return f"{s1} * {s2} < 0 AND {s3} * {s4} < 0"
+_PAIR = """pr AS (SELECT a.feature i, b.feature j, a.ax, a.ay, a.bx, a.by_, b.ax cx, b.ay cy, b.bx dx, b.by_ dy FROM seg a JOIN seg b ON a.feature < b.feature AND least(a.ax, a.bx) - 50 <= greatest(b.ax, b.bx) AND least(b.ax, b.bx) - 50 <= greatest(a.ax, a.bx) AND least(a.ay, a.by_) - 50 <= greatest(b.ay, b.by_) AND least(b.ay, b.by_) - 50 <= greatest(a.ay, a.by_)),
+sd AS (SELECT *, (bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax) s1, (bx - ax) * (dy - ay) - (by_ - ay) * (dx - ax) s2, (dx - cx) * (ay - cy) - (dy - cy) * (ax - cx) s3, (dx - cx) * (by_ - cy) - (dy - cy) * (bx - cx) s4, sqrt((bx - ax) ** 2 + (by_ - ay) ** 2) len,
+  (cx - ax) * (bx - ax) + (cy - ay) * (by_ - ay) pc, (dx - ax) * (bx - ax) + (dy - ay) * (by_ - ay) pd FROM pr),
+re AS (SELECT i, j, CASE WHEN s1 = 0 AND s2 = 0 AND least(len, greatest(pc, pd) / len) - greatest(0, least(pc, pd) / len) > 0.001 THEN 'overlap' WHEN gap = 0 THEN 'cross' ELSE 'gap' END relation, gap FROM (SELECT *, CASE WHEN s1 * s2 < 0 AND s3 * s4 < 0 THEN 0 ELSE least(@1, @2, @3, @4) END gap FROM sd))"""
+for _k, _v in (("@1", _dist("ax", "ay", "cx", "cy", "dx", "dy")), ("@2", _dist("bx", "by_", "cx", "cy", "dx", "dy")), ("@3", _dist("cx", "cy")), ("@4", _dist("dx", "dy"))):
+    _PAIR = _PAIR.replace(_k, _v)
 
 
-_GAP = f"CASE WHEN {_sides()} THEN 0 ELSE least({_dist('ax', 'ay', 'cx', 'cy', 'dx', 'dy')}, {_dist('bx', 'by_', 'cx', 'cy', 'dx', 'dy')}, {_dist('cx', 'cy')}, {_dist('dx', 'dy')}) END"
+def crossing_features(spark, sf_dir) -> DataFrame:
+    """The segments, and for every fifth one the same shifted along itself by half, which overlaps it."""
+    f = features(spark, sf_dir)
+    on = f.where("feature % 5 = 0").select((F.col("feature") + 1000000).alias("feature"), ((F.col("ax") + F.col("bx")) / 2).alias("ax"), ((F.col("ay") + F.col("by")) / 2).alias("ay"), "priority", (F.col("bx") * 1.5 - F.col("ax") / 2).alias("bx"), (F.col("by") * 1.5 - F.col("ay") / 2).alias("by"))
+    return f.unionByName(on)
+
 
+_SEGS = "seg0 AS (SELECT p_partkey::BIGINT feature, (p_partkey * 389 % 2000)::DOUBLE ax, (p_partkey * 577 % 6000)::DOUBLE ay, ax + p_partkey % 83 - 41 bx, ay + p_partkey % 71 - 35 by_ FROM part), seg AS (SELECT * FROM seg0 UNION ALL SELECT feature + 1000000, (ax + bx) / 2, (ay + by_) / 2, bx * 1.5 - ax / 2, by_ * 1.5 - ay / 2 FROM seg0 WHERE feature % 5 = 0)"
 
-@query(chain(_SEG) + f"SELECT i, j, round(gap, 6) gap FROM (SELECT a.feature i, b.feature j, {_GAP} gap FROM seg a JOIN (SELECT feature, ax cx, ay cy, bx dx, by_ dy FROM seg) b ON a.feature < b.feature AND least(ax, bx) - 30 <= greatest(cx, dx) AND least(cx, dx) - 30 <= greatest(ax, bx) AND least(ay, by_) - 30 <= greatest(cy, dy) AND least(cy, dy) - 30 <= greatest(ay, by_)) WHERE gap < 30")
+
+@query(chain(_SEGS, _PAIR) + "SELECT i, j, relation, round(gap, 6) gap FROM re WHERE gap < 30 AND relation <> 'cross'")
 def special_edge_conflicts(spark, sf_dir):
-    return rounded(special.close_pairs(features(spark, sf_dir), 30.0, 128.0))
+    return rounded(special.close_pairs(crossing_features(spark, sf_dir), 30.0, 128.0))
 
 
-@query(None)
+@query(chain(_SEGS, _PAIR) + """SELECT count(*) FILTER (WHERE relation = 'cross') "cross", count(*) FILTER (WHERE relation = 'overlap') overlap, count(*) FILTER (WHERE relation = 'gap' AND gap < 10) gap_lt_10, count(*) FILTER (WHERE relation = 'gap' AND gap >= 10 AND gap < 30) gap_10_clearance,
+  count(*) FILTER (WHERE relation = 'gap' AND gap >= 30 AND gap < 50) gap_clearance_50, round(min(gap) FILTER (WHERE relation = 'gap'), 6) shortest, (SELECT count(*) FROM seg) n, ((SELECT count(*) FROM seg) * ((SELECT count(*) FROM seg) - 1) // 2 - count(*))::BIGINT gap_ge_50 FROM re WHERE gap < 50""")
+def special_edge_report(spark, sf_dir):
+    return rounded(special.proximity(crossing_features(spark, sf_dir), 30.0, 128.0))
+
+
+@query("WITH RECURSIVE " + chain(_SEGS, _PAIR)[5:].rstrip() + """, cf AS (SELECT i, j FROM re WHERE gap < 30 AND relation <> 'cross' UNION ALL SELECT j, i FROM re WHERE gap < 30 AND relation <> 'cross'), ranked AS (SELECT feature, row_number() OVER (ORDER BY sqrt((bx - ax) ** 2 + (by_ - ay) ** 2) DESC, feature) k FROM seg),
+foe AS (SELECT r.k, r.feature, coalesce(list(q.k) FILTER (q.k < r.k), []) foes FROM ranked r LEFT JOIN cf ON cf.i = r.feature LEFT JOIN ranked q ON q.feature = cf.j GROUP BY ALL),
+pick AS (SELECT 0::BIGINT k, []::BIGINT[] kept UNION ALL SELECT p.k + 1, CASE WHEN list_has_any(p.kept, f.foes) THEN p.kept ELSE list_append(p.kept, f.k) END FROM pick p JOIN foe f ON f.k = p.k + 1)
+SELECT feature FROM ranked WHERE k IN (SELECT unnest(kept) FROM pick WHERE k = (SELECT max(k) FROM ranked))""")
 def special_edge_picks(spark, sf_dir):
-    f = features(spark, sf_dir)
+    f = crossing_features(spark, sf_dir)
+    # lengths of shifted copies equal their segments' up to rounding, so ties are told at the millimetre
     items = f.select("feature", F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")).alias("length"))
     return special.clear_subset(items, special.close_pairs(f, 30.0, 128.0))
 

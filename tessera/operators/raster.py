@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,12 +14,12 @@ def sliding(df: DataFrame, value: str, size: int, smallest: bool) -> DataFrame:
     """value replaced by its smallest or largest in a square of size x size, which is taken along rows, then columns.
 
     Beyond the edge the nearest pixel counts, which doesn't change an extreme, so the window just ends there. Rows and
-    columns are partitions of their own; the raster must be full.
+    columns are partitions of their own; windows go by pixel numbers, so an absent pixel shifts nothing.
     """
     half = size // 2
     f = F.min if smallest else F.max
     for by, along in (("row", "col"), ("col", "row")):
-        w = Window.partitionBy(by).orderBy(along).rowsBetween(-half, half)
+        w = Window.partitionBy(by).orderBy(along).rangeBetween(-half, half)
         df = df.withColumn(value, f(value).over(w))
     return df
 
@@ -67,27 +69,44 @@ def crossing_numbers(mask: DataFrame) -> DataFrame:
     return t.select("row", "col", total.alias("crossings"))
 
 
-def blobs(mask: DataFrame, rounds: int = 10_000) -> DataFrame:
+TILE = 256
+
+
+def blobs(mask: DataFrame) -> DataFrame:
     """row, col, blob: 8-connected parts of the set pixels, named by their smallest row * 2**32 + col.
 
-    Each round takes the smallest name around and then follows names to their own names, which halves the way to go.
+    Tiles of 256 x 256 pixels, with their neighbours' first row and columns, are labelled in kernels; what is left are
+    links between tiles' labels, whose connected components name the blobs. No step grows with a blob's width.
     """
-    from tessera.cluster import cut
-
-    key = lambda r, c: (r.cast("long") * (1 << 32) + c.cast("long"))
-    on = cut(mask.where("mask").select("row", "col", key(F.col("row"), F.col("col")).alias("id")))
-    now = on.withColumn("blob", F.col("id"))
-    for _ in range(rounds):
-        sent = now.select(F.explode(F.array(*[F.struct(key(F.col("row") + dr, F.col("col") + dc).alias("id"), F.col("blob")) for dr, dc in ((0, 0), *RING)])).alias("s")).select("s.*")
-        low = sent.groupBy("id").agg(F.min("blob").alias("low"))
-        t = now.join(low, "id")
-        jump = t.select(F.col("id").alias("low"), F.col("low").alias("lower"))
-        nxt = cut(t.join(jump, "low", "left").select("row", "col", "id", F.col("blob").alias("old"), F.least("low", F.coalesce("lower", "low")).alias("blob")))
-        changed = nxt.where("old <> blob").limit(1).count()
-        now = nxt.drop("old")
-        if not changed:
-            break
-    return now.select("row", "col", "blob")
+    from tessera.cluster import cut, ship
+    from tessera.components import connected_components, local_labels
+
+    ship(mask.sparkSession)
+    key = F.col("row").cast("long") * (1 << 32) + F.col("col").cast("long")
+    on = mask.where("mask").select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), key.alias("id"))
+    tile = lambda c, d: F.floor((F.col(c) + d) / TILE).cast("long")
+    places = F.array_distinct(F.array(*[F.struct(tile("row", dr).alias("tr"), tile("col", dc).alias("tc")) for dr in (0, 1, -1) for dc in (0, 1, -1)]))
+    shared = on.select("*", F.explode(places).alias("t")).select("id", "t.tr", "t.tc", ((F.col("t.tr") == tile("row", 0)) & (F.col("t.tc") == tile("col", 0))).alias("own"))
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, own = np.sort(table.column("id").to_numpy()), None
+        order = np.argsort(table.column("id").to_numpy(), kind="stable")
+        own = table.column("own").to_numpy(zero_copy_only=False)[order]
+        a, b = [ids], [ids]
+        for dr, dc in ((0, 1), (1, -1), (1, 0), (1, 1)):
+            other = ids + dr * (1 << 32) + dc
+            at = np.minimum(np.searchsorted(ids, other), len(ids) - 1)
+            hit = ids[at] == other
+            a.append(ids[hit])
+            b.append(other[hit])
+        nodes, label = local_labels(np.concatenate(a), np.concatenate(b))
+        return pa.table({"id": nodes, "label": label, "own": own})
+
+    found = cut(shared.groupBy("tr", "tc").applyInArrow(run, "id long, label long, own boolean"))
+    links = found.where("not own").select("id", F.col("label").alias("b")).join(found.where("own").select("id", F.col("label").alias("a")), "id").where("a <> b").select("a", "b").distinct()
+    joined = connected_components(links).select(F.col("id").alias("label"), "component")
+    named = found.where("own").join(joined, "label", "left").select("id", F.coalesce("component", "label").alias("blob"))
+    return named.select(F.shiftright("id", 32).alias("row"), F.col("id").bitwiseAND(F.lit((1 << 32) - 1)).alias("col"), "blob")
 
 
 def large_blobs(mask: DataFrame, least: int) -> DataFrame:

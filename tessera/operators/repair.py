@@ -1,4 +1,4 @@
-"""Mesh repair: merging, splitting, bisecting and collapsing elements under area and shape limits.
+"""Mesh repair as tables: splitting quads, scoring and choosing merges. What rewrites a mesh step by step is in patch.py.
 
 Scoring is relational; choosing which candidates to apply is greedy and order-dependent, so it runs in kernels that hold
 whole groups of linked candidates.
@@ -6,9 +6,6 @@ whole groups of linked candidates.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +14,7 @@ from tessera.cluster import cut, partitions, ship
 from tessera.functions import geometry as g
 from tessera.components import connected_components
 from tessera.operators import topology
+from tessera.operators.quality import Limits
 
 
 def split_quads(geom: DataFrame, elem: DataFrame, least_area: float) -> DataFrame:
@@ -33,25 +31,34 @@ def split_quads(geom: DataFrame, elem: DataFrame, least_area: float) -> DataFram
     return t.select("eid", F.explode(pieces).alias("s")).select("eid", "s.*")
 
 
-def merge_candidates(elem: DataFrame, half: DataFrame, geom: DataFrame, constrained: DataFrame, least_area: float, least_jacobian: float) -> DataFrame:
-    """Pairs of triangles that would make a convex quad: small, other, area, jacobian, q0..q3.
+def merge_candidates(elem: DataFrame, half: DataFrame, geom: DataFrame, constrained: DataFrame, rules: Limits, relaxed: bool = False) -> DataFrame:
+    """Pairs of triangles that would make a good quad: small, other, small_area, area, jacobian, q0..q3 counter-clockwise.
 
-    small is under least_area and other shares an unconstrained side (lo, hi not in constrained); q is counter-clockwise.
+    small is under the least area and doesn't touch the boundary, and other shares an unconstrained side (lo, hi not in
+    constrained). The quad must be convex and large enough and, unless relaxed, keep the rules of quads' shape.
     """
     tri = geom.where("kind = 3").withColumn("area", F.abs(g.signed_area([(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(3)]))).select("eid", "area")
     ids = elem.where("kind = 3").select("eid", "n0", "n1", "n2")
     sides = topology.neighbours(half).where("neighbour >= 0").withColumns({"lo": F.least("na", "nb"), "hi": F.greatest("na", "nb")}).join(constrained.select("lo", "hi"), ["lo", "hi"], "left_anti")
-    small = sides.join(tri.where(F.col("area") < least_area), "eid").join(ids, "eid")
-    apex = F.when((F.col("m0") != F.col("na")) & (F.col("m0") != F.col("nb")), F.col("m0")).when((F.col("m1") != F.col("na")) & (F.col("m1") != F.col("nb")), F.col("m1")).otherwise(F.col("m2"))
+    inner = tri.where(F.col("area") < rules.min_area).join(topology.boundary_touching(half).select("eid"), "eid", "left_anti")
+    small = sides.join(inner, "eid").join(ids, "eid")
+    off = lambda c: (F.col(c) != F.col("na")) & (F.col(c) != F.col("nb"))
+    apex = F.when(off("m0"), F.col("m0")).when(off("m1"), F.col("m1")).otherwise(F.col("m2"))
     across = ids.select(F.col("eid").alias("neighbour"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("n2").alias("m2"))
     mine = F.when(F.col("k") == 0, F.col("n2")).when(F.col("k") == 1, F.col("n0")).otherwise(F.col("n1"))
     quads = small.join(across, "neighbour").select(F.col("eid").alias("small"), F.col("neighbour").alias("other"), F.col("area").alias("small_area"), mine.alias("q0"), F.col("na").alias("q1"), apex.alias("q2"), F.col("nb").alias("q3"))
     at = elem.select("eid", F.posexplode(F.array("n0", "n1", "n2")).alias("i", "id")).join(geom, "eid")
-    place = at.select("id", F.when(F.col("i") == 0, F.col("x0")).when(F.col("i") == 1, F.col("x1")).otherwise(F.col("x2")).alias("x"), F.when(F.col("i") == 0, F.col("y0")).when(F.col("i") == 1, F.col("y1")).otherwise(F.col("y2")).alias("y")).dropDuplicates(["id"])
+    pick = lambda a: F.when(F.col("i") == 0, F.col(f"{a}0")).when(F.col("i") == 1, F.col(f"{a}1")).otherwise(F.col(f"{a}2")).alias(a)
+    place = at.select("id", pick("x"), pick("y")).dropDuplicates(["id"])
     for i in range(4):
         quads = quads.join(place.select(F.col("id").alias(f"q{i}"), F.col("x").alias(f"x{i}"), F.col("y").alias(f"y{i}")), f"q{i}")
     ring = [(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(4)]
-    return quads.withColumns({"jacobian": F.least(*g.corner_jacobians(ring)), "area": g.signed_area(ring)}).where(F.col("jacobian") > least_jacobian).select("small", "other", "small_area", "area", "jacobian", "q0", "q1", "q2", "q3")
+    sizes, angles = g.side_lengths(ring), g.interior_angles(ring)
+    t = quads.withColumns({"jacobian": F.least(*g.corner_jacobians(ring)), "area": g.signed_area(ring), "aspect": F.greatest(*sizes) / F.least(*sizes), "low": F.least(*angles), "high": F.greatest(*angles)})
+    good = (F.col("jacobian") > 0) & (F.col("area") >= rules.min_area)
+    if not relaxed:
+        good = good & (F.col("aspect") <= rules.quad_aspect) & (F.col("low") >= rules.quad_min_angle) & (F.col("high") <= rules.quad_max_angle) & (F.col("jacobian") >= rules.quad_jacobian)
+    return t.where(good).select("small", "other", "small_area", "area", "jacobian", "q0", "q1", "q2", "q3")
 
 
 def greedy_merges(candidates: DataFrame, *, per_task: int = 20_000) -> DataFrame:
@@ -78,85 +85,3 @@ def greedy_merges(candidates: DataFrame, *, per_task: int = 20_000) -> DataFrame
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema)
     return both.groupBy(F.pmod(F.xxhash64("block"), F.lit(tasks))).applyInPandas(run, fields)
-
-
-def area_of(points: np.ndarray, tri: Iterable[int]) -> float:
-    a, b, c = (points[i] for i in tri)
-    return 0.5 * ((b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0]))
-
-
-def bisect(points: np.ndarray, tris: list[tuple[int, int, int]], picked: list[int], constrained: set[tuple[int, int]], quad_sides: set[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int, int]], set[tuple[int, int]]]:
-    """Picked triangles cut at the middle of their longest side, together with the triangle across it.
-
-    Larger ones go first. A side of a quad is never cut, so no hanging node appears, and a triangle is cut once. A
-    constrained side becomes its two halves.
-    """
-    points, out, marks = [tuple(p) for p in points], list(tris), set(constrained)
-    owners: dict[tuple[int, int], list[int]] = {}
-    for t, tri in enumerate(tris):
-        for k in range(3):
-            owners.setdefault(tuple(sorted((tri[k], tri[(k + 1) % 3]))), []).append(t)
-    touched: set[int] = set()
-    arr = np.array(points, float)
-    for t in sorted(picked, key=lambda t: (-area_of(arr, tris[t]), t)):
-        a, b, c = tris[t]
-        side = max(((a, b), (b, c), (c, a)), key=lambda s: (float(np.hypot(*(arr[s[0]] - arr[s[1]]))), s))
-        key = tuple(sorted(side))
-        group = owners[key]
-        if key in quad_sides or touched & set(group):
-            continue
-        touched |= set(group)
-        mid = len(points)
-        points.append(((points[side[0]][0] + points[side[1]][0]) / 2, (points[side[0]][1] + points[side[1]][1]) / 2))
-        for o in group:
-            tri = tris[o]
-            k = next(i for i in range(3) if tuple(sorted((tri[i], tri[(i + 1) % 3]))) == key)
-            u, v, w = tri[k], tri[(k + 1) % 3], tri[(k + 2) % 3]
-            out[o] = (u, mid, w)
-            out.append((mid, v, w))
-        if key in marks:
-            marks.remove(key)
-            marks |= {tuple(sorted((key[0], mid))), tuple(sorted((mid, key[1])))}
-    return np.array(points, float), out, marks
-
-
-def collapse(points: np.ndarray, cells: list[tuple[int, ...]], pinned: set[int], least_area: float, most: int = 200) -> tuple[np.ndarray, list[tuple[int, ...]], int]:
-    """Shortest sides of undersized triangles collapsed while that helps: (points, cells, collapses).
-
-    Two ends become one: the pinned one, or their middle. A collapse is kept if no cell turns over and the cells around
-    have fewer undersized ones, or the same number and a larger smallest area. Pinned nodes (boundary, constraints) stay.
-    """
-    points, cells, done = np.array(points, float), list(cells), 0
-
-    def size(cell: tuple[int, ...], p: np.ndarray) -> float:
-        return 0.5 * sum(p[cell[i]][0] * p[cell[(i + 1) % len(cell)]][1] - p[cell[(i + 1) % len(cell)]][0] * p[cell[i]][1] for i in range(len(cell)))
-
-    tried: set[tuple[int, int]] = set()
-    while done < most:
-        small = sorted((size(c, points), i) for i, c in enumerate(cells) if len(c) == 3 and size(c, points) < least_area)
-        options = [(float(np.hypot(*(points[c[k]] - points[c[(k + 1) % 3]]))), tuple(sorted((c[k], c[(k + 1) % 3])))) for _, i in small for c in [cells[i]] for k in range(3)]
-        pick = None
-        for _, (u, v) in sorted(set(options)):
-            if (u, v) in tried or (u in pinned and v in pinned):
-                continue
-            target = points[u] if u in pinned else points[v] if v in pinned else (points[u] + points[v]) / 2
-            around = [c for c in cells if u in c or v in c]
-            moved = points.copy()
-            moved[u] = target
-            after = [tuple(dict.fromkeys(u if n == v else n for n in c)) for c in around]
-            after = [c for c in after if len(c) >= 3]
-            sizes, before = [size(c, moved) for c in after], [size(c, points) for c in around]
-            score = lambda s: (sum(x < least_area for x in s), -min(s, default=0.0))
-            if sizes and min(sizes) > 0 and score(sizes) < score(before):
-                pick = (u, v, target)
-                break
-            tried.add((u, v))
-        if pick is None:
-            return points, cells, done
-        u, v, target = pick
-        points[u] = target
-        cells = [c for c in (tuple(dict.fromkeys(u if n == v else n for n in c)) for c in cells) if len(c) >= 3]
-        pinned = {u if n == v else n for n in pinned}
-        tried.clear()
-        done += 1
-    return points, cells, done

@@ -23,40 +23,76 @@ RELATIVE = ("rel", "relative", "相対", "相対高さ", "height", "dz", "delta"
 CLOSEST = 0.72
 
 
-def kind_of(value: str | None) -> int | None:
-    """The kind's number, by number, name, synonym or nearest spelling; null for what is none of them."""
+class SpellingError(ValueError):
+    """A kind, height mode or bank that isn't known."""
+
+
+def parse_kind(value: str | None) -> int:
+    """The kind's number, by number, name, synonym or nearest spelling. Both kinds at once and unknown ones are errors."""
     raw = unicodedata.normalize("NFKC", str(value or "").strip())
     name = raw.upper()
     if not raw or name in ("BOTH", "3", "両方"):
-        return None
-    if name.isdigit():
-        return int(name) if int(name) in KINDS.values() else None
+        raise SpellingError(f"no kind: {value!r}")
     known = KINDS | {s: KINDS[k] for s, k in SYNONYMS.items()}
-    if name in known:
+    if name.isdigit():
+        if int(name) in KINDS.values():
+            return int(name)
+    elif name in known:
         return known[name]
-    near = difflib.get_close_matches(name, list(known), n=1, cutoff=CLOSEST)
-    return known[near[0]] if near else None
+    elif near := difflib.get_close_matches(name, list(known), n=1, cutoff=CLOSEST):
+        return known[near[0]]
+    raise SpellingError(f"unknown kind: {value!r}")
+
+
+def kind_of(value: str | None) -> int | None:
+    """As parse_kind, null for what is an error there."""
+    try:
+        return parse_kind(value)
+    except SpellingError:
+        return None
 
 
 def z_mode_of(value: str | None, default: str) -> str:
+    """absolute or relative; blank is the default, an unknown mode an error."""
     key = unicodedata.normalize("NFKC", str(value or "").strip()).lower()
-    for mode, words in (("absolute", ABSOLUTE), ("relative", RELATIVE)):
-        if key in words:
-            return mode
-    near = difflib.get_close_matches(key, [*ABSOLUTE, *RELATIVE], n=1, cutoff=CLOSEST) if key else []
-    return default if not near else "absolute" if near[0] in ABSOLUTE else "relative"
+    if not key:
+        return default
+    near = [key] if key in (*ABSOLUTE, *RELATIVE) else difflib.get_close_matches(key, [*ABSOLUTE, *RELATIVE], n=1, cutoff=CLOSEST)
+    if not near:
+        raise SpellingError(f"unknown height mode: {value!r}")
+    return "absolute" if near[0] in ABSOLUTE else "relative"
 
 
-def kinds(df: DataFrame, column: str, name: str = "kind") -> DataFrame:
-    """df with the number of the kind that a text column names. Each distinct spelling is resolved once."""
+def _spelled(df: DataFrame, column: str, name: str, of, type_: str) -> DataFrame:
+    """df with ``name``: what a text column's spelling stands for. Each distinct spelling is resolved once."""
     ship(df.sparkSession)
 
     def run(batches):
         for pdf in batches:
-            yield pdf.assign(number=pd.array([kind_of(v) for v in pdf["spelling"]], dtype="Int32"))
+            yield pdf.assign(found=pd.array([of(v) for v in pdf["spelling"]], dtype="Int32" if type_ == "int" else "object"))
+
+    seen = df.select(F.col(column).alias("spelling")).where("spelling is not null").distinct().mapInPandas(run, f"spelling string, found {type_}")
+    return df.join(seen.withColumnRenamed("found", name), F.col(column) == F.col("spelling"), "left").drop("spelling")
+
+
+def parsed_kinds(df: DataFrame, column: str, name: str = "kind") -> DataFrame:
+    """As kinds, but a spelling that no kind has is an error."""
+    return _spelled(df, column, name, parse_kind, "int")
+
 
-    seen = df.select(F.col(column).alias("spelling")).where("spelling is not null").distinct().mapInPandas(run, "spelling string, number int")
-    return df.join(seen.withColumnRenamed("number", name), F.col(column) == F.col("spelling"), "left").drop("spelling")
+def z_modes(df: DataFrame, column: str, default: str, name: str = "z_mode") -> DataFrame:
+    """df with absolute or relative for a text column; blank and null are the default, an unknown mode an error."""
+    return _spelled(df, column, "mode__", lambda v: z_mode_of(v, default), "string").withColumn(name, F.coalesce("mode__", F.lit(default))).drop("mode__")
+
+
+def kinds(df: DataFrame, column: str, name: str = "kind") -> DataFrame:
+    """df with the number of the kind that a text column names, null for what names none."""
+    return _spelled(df, column, name, kind_of, "int")
+
+
+def known_kinds(df: DataFrame, column: str, name: str = "kind") -> DataFrame:
+    """Rows whose kind is known and isn't NONE."""
+    return kinds(df, column, name).where(F.col(name).isNotNull() & (F.col(name) != KINDS["NONE"]))
 
 
 def number(text: Column) -> Column:
@@ -65,10 +101,16 @@ def number(text: Column) -> Column:
     return F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
 
 
+def whole_number(text: Column, default: int = 0) -> Column:
+    """The whole part of a finite number, or the default."""
+    return F.coalesce(number(text).cast("int"), F.lit(default))
+
+
 def bank(text: Column) -> Column:
-    """1 for left, 2 for right, else 0."""
+    """1 for the left bank, 2 for the right one; anything else is an error, null stays null."""
     side = F.upper(F.trim(text))
-    return F.when(side.isin("L", "LEFT", "1", "左"), 1).when(side.isin("R", "RIGHT", "2", "右"), 2).otherwise(0)
+    wrong = F.raise_error(F.concat(F.lit("unknown bank: "), text))
+    return F.when(side.isin("1", "L", "LEFT"), 1).when(side.isin("2", "R", "RIGHT"), 2).when(text.isNotNull(), wrong.cast("int"))
 
 
 def segments(lines: DataFrame) -> DataFrame:
@@ -101,14 +143,60 @@ def match(edges: DataFrame, features: DataFrame, tolerance: float, cell: float)
     return near.groupBy("ln").agg(best.alias("m")).select("ln", F.col("m.feature").alias("feature"))
 
 
-def close_pairs(features: DataFrame, clearance: float, cell: float) -> DataFrame:
-    """(i, j, gap) of segments less than clearance apart, i < j; gap 0 where they meet."""
-    one = near_cells(features, cell, clearance / 2)
+#: Collinear segments that share less than this only touch.
+LEAST_OVERLAP = 1e-3
+
+
+def relations(features: DataFrame, reach: float, cell: float) -> DataFrame:
+    """(i, j, relation, gap) of segments that meet or are less than reach apart, i < j.
+
+    relation is overlap where they share a stretch, cross where they share a point, else gap; gap is their distance.
+    """
+    one = near_cells(features, cell, reach / 2)
     two = one.select(F.col("feature").alias("j"), *[F.col(c).alias(f"o{c}") for c in ("ax", "ay", "bx", "by")], "gx", "gy")
-    pairs = one.withColumnRenamed("feature", "i").join(two, ["gx", "gy"]).where("i < j").dropDuplicates(["i", "j"])
     c = F.col
-    gap = g.segment_distance((c("ax"), c("ay")), (c("bx"), c("by")), (c("oax"), c("oay")), (c("obx"), c("oby")))
-    return pairs.select("i", "j", gap.alias("gap")).where(c("gap") < clearance)
+    a, b, p, q = (c("ax"), c("ay")), (c("bx"), c("by")), (c("oax"), c("oay")), (c("obx"), c("oby"))
+    near = one.withColumnRenamed("feature", "i").join(two, ["gx", "gy"]).where("i < j").withColumn("gap", g.segment_distance(a, b, p, q)).where(c("gap") < reach)
+    length = g.distance(a, b)
+    along = lambda x: ((x[0] - a[0]) * (b[0] - a[0]) + (x[1] - a[1]) * (b[1] - a[1])) / length
+    off = lambda x: F.abs(g.cross(b[0] - a[0], b[1] - a[1], x[0] - a[0], x[1] - a[1]))
+    shared = F.least(length, F.greatest(along(p), along(q))) - F.greatest(F.lit(0.0), F.least(along(p), along(q)))
+    overlap = (c("gap") == 0) & (off(p) == 0) & (off(q) == 0) & (shared > LEAST_OVERLAP)
+    relation = F.when(overlap, "overlap").when(c("gap") == 0, "cross").otherwise("gap")
+    return near.select("i", "j", relation.alias("relation"), "gap").dropDuplicates(["i", "j"])
+
+
+def close_pairs(features: DataFrame, clearance: float, cell: float) -> DataFrame:
+    """(i, j, relation, gap) of segments that overlap or are apart by less than clearance, i < j. Crossings are allowed."""
+    return relations(features, clearance, cell).where("relation <> 'cross'")
+
+
+def proximity(features: DataFrame, clearance: float, cell: float, far: float = 50.0) -> DataFrame:
+    """One row: how many pairs cross, overlap, and have gaps under 10, under clearance, under ``far`` and beyond; the shortest gap under ``far``."""
+    near = relations(features, max(clearance, far), cell)
+    gap = F.col("relation") == "gap"
+    count = lambda x: F.count_if(x)
+    t = near.agg(
+        count(F.col("relation") == "cross").alias("cross"), count(F.col("relation") == "overlap").alias("overlap"), count(gap & (F.col("gap") < 10)).alias("gap_lt_10"),
+        count(gap & (F.col("gap") >= 10) & (F.col("gap") < clearance)).alias("gap_10_clearance"), count(gap & (F.col("gap") >= max(10.0, clearance)) & (F.col("gap") < far)).alias("gap_clearance_50"),
+        F.min(F.when(gap, F.col("gap"))).alias("shortest"), count(gap & (F.col("gap") >= far)).alias("over__"), F.count("*").alias("all__"),
+    )
+    n = features.agg(F.count("*").alias("n"))
+    beyond = F.col("n") * (F.col("n") - 1) / 2 - F.col("all__") + F.col("over__")
+    return t.crossJoin(F.broadcast(n)).withColumn("gap_ge_50", beyond.cast("long")).drop("over__", "all__")
+
+
+def check_clearance(features: DataFrame, clearance: float, cell: float, shown: int = 12) -> None:
+    """An error that names the first conflicts, if segments overlap or are closer than clearance."""
+    found = close_pairs(features, clearance, cell).orderBy("i", "j").limit(shown).collect()
+    if found:
+        raise ValueError("special edges too close: " + ", ".join(f"{r.i}-{r.j} {r.relation} {r.gap:.2f}" for r in found))
+
+
+def as_breaklines(features: DataFrame) -> DataFrame:
+    """Features as lines of the layer special_edges: layer, name, kind, line, pts."""
+    pts = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("ax", "ay"), ("bx", "by"))])
+    return features.select(F.lit("special_edges").alias("layer"), F.concat_ws("_", F.lit("special"), "kind", F.col("feature").cast("string")).alias("name"), "kind", F.col("feature").alias("line"), pts.alias("pts"))
 
 
 def heights(matched: DataFrame) -> DataFrame:

@@ -85,19 +85,28 @@ def side_weights(half: DataFrame, nodes: DataFrame, centres: DataFrame) -> DataF
 
 
 def boundary_froude(edges: DataFrame, special: DataFrame, couple: DataFrame, default: float) -> DataFrame:
-    """ln, fr: special lines' numbers, then the default on open outer edges; at most 1.
+    """ln, fr: special lines' numbers, then the edge's own fr, then the default on open outer edges; at most 1.
 
-    Edges of a kind other than FROUDE or NONE, and coupled edges, are closed and never get the default. FROUDE lines
-    without a number get the default, or 0.35.
+    Of several special rows of one edge the last number (by ``seq`` if there is one, else by number) holds. Edges of a
+    kind other than FROUDE or NONE, and coupled edges, are closed and never get the default. FROUDE lines without a
+    number get the default, or 0.35.
     """
     fallback = default if default > 0 else DEFAULT_FROUDE
-    closed_kinds = [KINDS[k] for k in ("ROAD", "CULVERT", "Q", "W", "WALL")]
+    closed = F.col("kind").isin([KINDS[k] for k in ("ROAD", "CULVERT", "Q", "W", "WALL")])
     value = F.when((F.col("kind") == KINDS["FROUDE"]) & (F.col("fr") <= 0), fallback).otherwise(F.col("fr"))
-    known = special.groupBy("ln").agg(F.max(F.col("kind").isin(closed_kinds)).alias("closed"), F.max(F.when(~F.col("kind").isin(closed_kinds) & (value > 0), F.least(value, F.lit(1.0)))).alias("v"))
-    t = edges.select("ln", "face_right").join(known, "ln", "left").join(couple.select("ln", F.lit(True).alias("coupled")).distinct(), "ln", "left")
-    is_open = ~F.coalesce("closed", F.lit(False)) & F.col("coupled").isNull() & (F.col("face_right") == 0)
-    usual = F.when(is_open & F.lit(default > 0), min(default, 1.0)).otherwise(0.0)
-    return t.select("ln", F.coalesce("v", usual).alias("fr"))
+    given = F.when(~closed & (value > 0), F.struct(F.col("seq") if "seq" in special.columns else F.lit(0), F.least(value, F.lit(1.0)).alias("v")))
+    known = special.groupBy("ln").agg(F.max(closed).alias("closed"), F.max(given).alias("given"))
+    own = edges.select("ln", "face_right", (F.col("fr") if "fr" in edges.columns else F.lit(0.0)).alias("own"))
+    t = own.join(known, "ln", "left").join(couple.select("ln", F.lit(True).alias("coupled")).distinct(), "ln", "left")
+    set_ = F.coalesce(F.col("given.v"), F.col("own"), F.lit(0.0))
+    is_open = ~F.coalesce("closed", F.lit(False)) & F.col("coupled").isNull() & (F.col("face_right") == 0) & F.lit(default > 0)
+    return t.select("ln", F.when(is_open & (set_ <= 0), min(default, 1.0)).otherwise(set_).alias("fr"))
+
+
+def usual_froude(special_default: float | None, output_default: float | None) -> float:
+    """The default of special edges if positive, else that of the output, within 0 and 1."""
+    within = [min(1.0, max(0.0, x or 0.0)) for x in (special_default, output_default)]
+    return within[0] if within[0] > 0 else within[1]
 
 
 def merged_blocks(faces: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,8 +115,10 @@ def merged_blocks(faces: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFra
     faces: block, cn. rows: block, cn, ln, node, start, end, x, y (two for each block, cn, ln). cn go up by the largest
     cn of the blocks before; nodes at the same place to 4 decimals become one, numbered from 1 by their first row in
     (block, cn, ln, node) order; edges are numbered by their first row, and id is 0 where two cells meet, else 1. An edge
-    of more than two cells is an error.
+    of more than two cells is an error, and so are missing numbers and an edge of a cell without exactly two rows.
     """
+    missing = F.greatest(*[(F.col(c).isNull() | (F.isnan(c) if c in ("x", "y") else F.lit(False))).cast("int") for c in ("cn", "ln", "node", "start", "end", "x", "y")]) == 1
+    rows = rows.withColumn("cn", F.when(missing, F.raise_error(F.lit("an edge row without a number")).cast(rows.schema["cn"].dataType)).otherwise(F.col("cn")))
     most = faces.groupBy("block").agg(F.max("cn").alias("most"))
     offset = F.broadcast(most.withColumn("off", F.coalesce(F.sum("most").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("block", "off"))
     out_faces = faces.join(offset, "block").select("block", (F.col("cn") + F.col("off")).alias("cn"))
@@ -119,7 +130,9 @@ def merged_blocks(faces: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFra
     for name in ("node", "start", "end"):
         t = t.join(local.select("block", F.col("node").alias(name), F.col("nid").alias(f"g_{name}")), ["block", name])
     t = t.withColumn("lo", F.least("g_start", "g_end")).withColumn("hi", F.greatest("g_start", "g_end"))
-    lines = topology.dense_ids(t.groupBy("lo", "hi").agg(F.min(seq).alias("seq"), F.count_distinct("gcn").alias("cells")), ["seq"], "gln").select("lo", "hi", "gln", "cells")
+    pairs = t.groupBy("lo", "hi", "gcn").agg(F.min(seq).alias("seq"), F.count("*").alias("n"))
+    twos = F.when(F.col("n") != 2, F.raise_error(F.lit("an edge of a cell without exactly two rows")).cast("long")).otherwise(F.col("gcn"))
+    lines = topology.dense_ids(pairs.groupBy("lo", "hi").agg(F.min("seq").alias("seq"), F.count(twos).alias("cells")), ["seq"], "gln").select("lo", "hi", "gln", "cells")
     cells = F.when(F.col("cells") > 2, F.raise_error(F.lit("an edge of more than two cells"))).otherwise(F.when(F.col("cells") == 2, 0).otherwise(1))
     return out_faces, t.join(lines, ["lo", "hi"]).select(F.col("gcn").alias("cn"), F.col("gln").alias("ln"), F.col("g_node").alias("node"), F.col("g_start").alias("start"), F.col("g_end").alias("end"), "x", "y", cells.cast("int").alias("id"))
 

@@ -54,10 +54,10 @@ def elevation(samples: DataFrame, fit: DataFrame, method: str, key: str = "face"
 def slope_spread(gradients: DataFrame, flat: float, key: str = "face") -> DataFrame:
     """key, spread: circular standard deviation in degrees of gradients (gx, gy) steeper than flat, weighted by size.
 
-    0 with fewer than two steep gradients.
+    0 with fewer than two steep gradients; those that aren't finite don't count.
     """
     w, angle = F.hypot("gx", "gy"), F.atan2("gy", "gx")
-    steep = gradients.withColumn("w", w).withColumn("t", angle).withColumn("s", F.col("w") > flat)
+    steep = gradients.withColumn("w", w).withColumn("t", angle).withColumn("s", F.coalesce(~F.isnan("w") & (F.col("w") != float("inf")) & (F.col("w") > flat), F.lit(False)))
     only = lambda v: F.sum(F.when(F.col("s"), v))
     sums = steep.groupBy(key).agg(F.count_if("s").alias("n"), only(F.col("w")).alias("w"), only(F.col("w") * F.cos("t")).alias("c"), only(F.col("w") * F.sin("t")).alias("z"))
     r = F.greatest(F.lit(1e-12), F.least(F.lit(1.0), F.hypot("c", "z") / F.col("w")))

@@ -11,7 +11,7 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,34 +179,118 @@ def decode(data: bytes) -> dict:
     return out
 
 
-def packed(edges: DataFrame, nodes: DataFrame, faces: DataFrame) -> DataFrame:
-    """mesh, bytes: one container for each mesh, which is the column that all three tables have.
-
-    A container is one file and one task writes it; meshes are written in parallel. edges and nodes have their records'
-    columns; faces also have edge_ids and block.
+def _row_bytes(batch: pa.RecordBatch, dtype: np.dtype) -> list[bytes]:
+    """One record a row. A missing double is NaN; a missing whole number is an error."""
+    out = np.zeros(batch.num_rows, dtype)
+    for name in dtype.names:
+        col = batch.column(batch.schema.get_field_index(name))
+        if dtype[name].kind == "f":
+            out[name] = col.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)
+        elif col.null_count:
+            raise ContainerError(f"{name} is missing in a record")
+        else:
+            out[name] = col.cast(pa.int64()).to_numpy(zero_copy_only=False)
+    data, size = out.tobytes(), dtype.itemsize
+    return [data[i : i + size] for i in range(0, len(data), size)]
+
+
+def packed(edges: DataFrame, nodes: DataFrame, faces: DataFrame, attributes: dict[str, DataFrame] | None = None, *, epsg: int = 0, levels: tuple[int, int] | None = None) -> DataFrame:
+    """mesh, bytes: one container for each mesh, which is the column that all tables have.
+
+    A container is one file and one task writes it; meshes are written in parallel, and rows become records before they
+    are grouped. edges and nodes have their records' columns; faces also have edge_ids and block, and level if ``levels``
+    (the largest level, the code of its binning) is given. attributes: section -> rows with its records' columns.
     """
     ship(nodes.sparkSession)
+    attributes = attributes or {}
+    fields = "mesh long, part int, seq long, record binary, edge_ids array<int>, block int, level int"
+
+    def rows(df: DataFrame, section: str, dtype: np.dtype) -> DataFrame:
+        part = SECTIONS.index(section)
+        face = section == "face"
+        extra = [F.col("edge_ids").cast("array<int>"), F.col("block").cast("int"), (F.col("level").cast("int") if levels else F.lit(None).cast("int")).alias("level")] if face else [F.lit(None).cast("array<int>").alias("edge_ids"), F.lit(None).cast("int").alias("block"), F.lit(None).cast("int").alias("level")]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.num_rows
+                seq = batch.column(batch.schema.get_field_index(dtype.names[0])).cast(pa.int64())
+                held = {c: batch.column(batch.schema.get_field_index(c)) for c in ("mesh", "edge_ids", "block", "level")}
+                yield pa.RecordBatch.from_arrays([held["mesh"].cast(pa.int64()), pa.array(np.full(n, part, np.int32)), seq, pa.array(_row_bytes(batch, dtype), pa.binary()), held["edge_ids"], held["block"], held["level"]], names=["mesh", "part", "seq", "record", "edge_ids", "block", "level"])
+
+        names = [F.col(c) for c in dtype.names if c not in ("edge_ids", "block", "level")]
+        return df.select("mesh", *names, *extra).mapInArrow(run, fields)
+
+    every = rows(nodes, "node", NODE).unionByName(rows(edges, "edge", EDGE)).unionByName(rows(faces, "face", FACE))
+    for section, table in attributes.items():
+        every = every.unionByName(rows(table, section, COUNTED[section][0]))
+
+    def run(table: pa.Table) -> pa.Table:
+        part, seq = table.column("part").to_numpy(), table.column("seq").to_numpy()
+        tables, face = {}, np.zeros(0, np.int64)
+        for section in SECTIONS:
+            mine = np.flatnonzero(part == SECTIONS.index(section))
+            mine = mine[np.argsort(seq[mine], kind="stable")]
+            dtype = {"node": NODE, "edge": EDGE, "face": FACE}.get(section) or COUNTED[section][0]
+            tables[section] = np.frombuffer(b"".join(table.column("record").take(pa.array(mine)).to_pylist()), dtype)
+            if section == "face":
+                face = mine
+        faces = table.take(pa.array(face))
+        got = (faces.column("level").to_numpy(), *levels) if levels else None
+        data = encode(tables, faces.column("edge_ids").to_pylist(), epsg=epsg, blocks=faces.column("block").fill_null(1).to_numpy(), levels=got)
+        return pa.table({"mesh": table.column("mesh").slice(0, 1), "bytes": pa.array([data], pa.binary())})
+
+    return every.groupBy("mesh").applyInArrow(run, "mesh long, bytes binary")
+
+
+def write(files: DataFrame, folder: str, name: str = "mesh.bin") -> None:
+    """One file for each container (mesh, bytes): <folder>/block_<mesh>/<name>, written by its task and renamed when whole."""
+    spark = files.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for r in files.toLocalIterator():  # one container at a time passes the driver
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/block_{int(r.mesh):03d}/{name}")
+        part = jvm.org.apache.hadoop.fs.Path(f"{folder}/block_{int(r.mesh):03d}/_{name}.part")
+        fs = path.getFileSystem(conf)
+        out = fs.create(part, True)
+        out.write(bytes(r.bytes))
+        out.close()
+        fs.delete(path, False)
+        if not fs.rename(part, path):
+            raise ContainerError(f"can't write {path}")
+
+
+def sections(files: DataFrame) -> DataFrame:
+    """mesh, section, bytes, hash: the nine work files of containers (mesh, bytes)."""
+    ship(files.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for mesh, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                index = [struct.unpack_from("<QQ", data, 32 + HASH_BYTES * len(SECTIONS) + 16 * i) for i in range(len(SECTIONS))]
+                parts = [data[at : at + n] for at, n in index]
+                yield pa.RecordBatch.from_arrays([pa.array([mesh] * len(parts), pa.int64()), pa.array(SECTIONS), pa.array(parts, pa.binary()), pa.array([digest(p) for p in parts], pa.binary())], names=["mesh", "section", "bytes", "hash"])
 
-    def rows(df: DataFrame, part: str, names: tuple[str, ...], extra: dict) -> DataFrame:
-        fields = F.to_json(F.struct(*[F.col(c) for c in names]))
-        return df.select("mesh", F.lit(part).alias("part"), F.col("id").alias("seq"), fields.alias("row"), *[v.alias(k) for k, v in extra.items()])
+    return files.select(F.col("mesh").cast("long"), "bytes").mapInArrow(run, "mesh long, section string, bytes binary, hash binary")
 
-    none = {"edge_ids": F.lit(None).cast("array<int>"), "block": F.lit(None).cast("int")}
-    every = rows(nodes, "node", NODE.names, none).unionByName(rows(edges, "edge", EDGE.names, none)).unionByName(rows(faces, "face", FACE.names, {"edge_ids": F.col("edge_ids").cast("array<int>"), "block": F.col("block").cast("int")}))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        import json
+def joined(work: DataFrame, epsg: int = 0) -> DataFrame:
+    """mesh, bytes: containers put together again from work files (mesh, section, bytes), with their hashes."""
+    ship(work.sparkSession)
 
-        tables, face = {}, None
-        for part, dtype in (("node", NODE), ("edge", EDGE), ("face", FACE)):
-            mine = pdf[pdf["part"] == part].sort_values("seq")
-            got = [json.loads(r) for r in mine["row"]]
-            tables[part] = records({c: np.array([g[c] for g in got]) for c in dtype.names}, dtype) if got else np.zeros(0, dtype)
-            face = mine
-        data = encode(tables, [list(x) for x in face["edge_ids"]], blocks=face["block"].to_numpy(np.int64))
-        return pd.DataFrame({"mesh": [pdf["mesh"].iloc[0]], "bytes": [data]})
+    def run(table: pa.Table) -> pa.Table:
+        raw = dict(zip(table.column("section").to_pylist(), table.column("bytes").to_pylist(), strict=True))
+        n_face, at, face = 0, 0, raw.get("face", b"")
+        while at < len(face):
+            at += FACE.itemsize + 4 * int(np.frombuffer(face, FACE, 1, at)["n_sides"][0])
+            n_face += 1
+        faces, ids = decode_faces(face, n_face)
+        edge = raw.get("edge", b"")
+        size = EDGE.itemsize if len(edge) % EDGE.itemsize == 0 else EDGE_OLD.itemsize
+        tables = {"node": np.frombuffer(raw.get("node", b""), NODE), "edge": decode_edges(edge, len(edge) // size), "face": faces}
+        tables |= {s: decode_counted(raw.get(s, b""), forms) for s, forms in COUNTED.items()}
+        return pa.table({"mesh": table.column("mesh").slice(0, 1), "bytes": pa.array([encode(tables, ids, epsg=epsg)], pa.binary())})
 
-    return every.groupBy("mesh").applyInPandas(run, "mesh long, bytes binary")
+    return work.groupBy("mesh").applyInArrow(run, "mesh long, bytes binary")
 
 
 def read(spark: SparkSession, path: str, section: str) -> DataFrame:
@@ -222,15 +306,18 @@ def unpacked(files: DataFrame, section: str, key: str) -> DataFrame:
     extra = ", edge_ids array<int>, block int, level int" if section == "face" else ""
     fields = ", ".join(f"{n} {kind[dtype[n].str]}" for n in dtype.names)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for k, data in zip(pdf["key"], pdf["bytes"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, data in enumerate(batch.column(1).to_pylist()):
                 got = decode(bytes(data))
-                out = pd.DataFrame(got[section]).assign(key=k)
+                rows = got[section]
+                columns = {n: pa.array(np.ascontiguousarray(rows[n])) for n in dtype.names}
+                columns["key"] = pa.array([batch.column(0)[i].as_py()] * len(rows), batch.column(0).type)
                 if section == "face":
-                    levels = got["levels"][0] if got["levels"] else [None] * len(out)
-                    out = out.assign(edge_ids=got["edge_ids"], block=got["blocks"] if got["blocks"] is not None else 1, level=pd.array(levels, dtype="Int32"))
-                yield out
+                    columns["edge_ids"] = pa.array([list(map(int, x)) for x in got["edge_ids"]], pa.list_(pa.int32()))
+                    columns["block"] = pa.array(np.ones(len(rows), np.int32) if got["blocks"] is None else got["blocks"].astype(np.int32))
+                    columns["level"] = pa.nulls(len(rows), pa.int32()) if got["levels"] is None else pa.array(got["levels"][0].astype(np.int32))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     key_type = files.schema[key].dataType.simpleString()
-    return files.select(F.col(key).alias("key"), "bytes").mapInPandas(run, f"{fields}, key {key_type}{extra}").withColumnRenamed("key", key)
+    return files.select(F.col(key).alias("key"), "bytes").mapInArrow(run, f"{fields}, key {key_type}{extra}").withColumnRenamed("key", key)

@@ -56,3 +56,32 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size field: iy, ix, value, floor, attempts, one cell for each mesh cell."""
     f = F.col("f")
     return cells(spark, sf_dir).select(F.col("r").alias("iy"), F.col("c").alias("ix"), (20 + f * 31 % 97).cast("double").alias("value"), (5 + f * 13 % 11).cast("double").alias("floor"), (f % 4).cast("int").alias("attempts"))
+
+
+def vertices(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
+    """Polylines: line, i, x, y of ``n`` vertices for each supplier."""
+    k, i = F.col("line"), F.col("i")
+    t = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("line"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    return t.select("line", "i", (k * 97 % 2000 + i * 45 + k * (i + 3) % 23).cast("double").alias("x"), (k * 61 % 3000 + k * (i * i + 1) % 57).cast("double").alias("y"))
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as line, layer, strict, pts."""
+    pts = F.transform(F.array_sort(F.collect_list(F.struct("i", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    t = vertices(spark, sf_dir).groupBy("line").agg(pts.alias("pts"))
+    return t.select("line", F.when(F.col("line") % 3 == 0, "levees").otherwise("roads").alias("layer"), (F.col("line") % 7 == 0).alias("strict"), "pts")
+
+
+def rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six-cornered rings, counter-clockwise: ring, i, x, y."""
+    corners = ((60, 0), (30, 50), (-25, 45), (-60, 5), (-35, -50), (28, -55))
+    at = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(x).alias("dx"), F.lit(y).alias("dy")) for i, (x, y) in enumerate(corners)])
+    k = F.col("ring")
+    t = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("ring"), F.explode(at).alias("p")).select("ring", "p.*")
+    return t.select("ring", "i", (k * 89 % 2000 + F.col("dx") * (1 + k % 4) + k * (F.col("i") + 1) % 13).cast("double").alias("x"), (k * 71 % 3000 + F.col("dy") * (1 + k % 4) + k * (F.col("i") + 2) % 11).cast("double").alias("y"))
+
+
+def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as polygon, ring, holes."""
+    pts = F.transform(F.array_sort(F.collect_list(F.struct("i", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    return rings(spark, sf_dir).groupBy(F.col("ring").alias("polygon")).agg(pts.alias("ring")).withColumn("holes", F.array().cast("array<array<struct<x:double,y:double>>>"))

@@ -1,10 +1,13 @@
+import math
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera import catalog_repair
-from tessera.operators import levels, ordering, quality, raster, repair, spatial, special, tables, terrain, topology
-from tessera.sources import container
+from tessera import catalog_repair, settings
+from tessera.operators import band, embankment, levels, ordering, patch, quality, raster, spatial, special, tables, terrain, topology
+from tessera.sources import container, layers
 
 
 @pytest.fixture(scope="module")
@@ -70,11 +73,27 @@ def test_three_cells_on_an_edge_are_an_error(spark):
         tables.merged_blocks(faces, rows)[1].collect()
 
 
-def test_union_counts_overlaps_once():
-    poly = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
-    assert spatial.union_measure([(0.0, 0.0, 5.0, 10.0)], poly) == pytest.approx((50, 30))
-    assert spatial.union_measure([(1.0, 1.0, 4.0, 4.0), (2.0, 2.0, 5.0, 5.0)], poly) == pytest.approx((14, 16))
-    assert spatial.union_measure([(-5.0, -5.0, 20.0, 20.0)], poly) == pytest.approx((100, 40))
+def box(x0, y0, x1, y1):
+    return np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1)], float)
+
+
+def test_union_counts_overlaps_once(spark):
+    geom = spark.createDataFrame([(1, 4, 0.0, 0.0, 10.0, 0.0, 10.0, 10.0, 0.0, 10.0)], "eid long, kind int, x0 double, y0 double, x1 double, y1 double, x2 double, y2 double, x3 double, y3 double")
+    area = spark.createDataFrame([(1, 100.0)], "eid long, area double")
+    for boxes, want in (([(0.0, 0.0, 5.0, 10.0)], (50, 30)), ([(1.0, 1.0, 4.0, 4.0), (2.0, 2.0, 5.0, 5.0)], (14, 16)), ([(-5.0, -5.0, 20.0, 20.0)], (100, 40)), ([(0.0, 0.0, 5.0, 10.0), (5.0, 0.0, 7.0, 10.0)], (70, 34))):
+        feet = spark.createDataFrame([(i, *b) for i, b in enumerate(boxes)], "pid long, bx0 double, by0 double, bx1 double, by1 double")
+        got = spatial.building_cover(geom, area, feet, 8.0, 1.0).collect()[0]
+        assert (got.ratio * 100, got.perimeter) == pytest.approx(want)
+    house = spark.createDataFrame([(7, 2.0, 2.0, 8.0, 8.0, [(2.0, 2.0), (8.0, 2.0), (8.0, 8.0), (5.0, 4.0), (2.0, 8.0)])], "pid long, bx0 double, by0 double, bx1 double, by1 double, pts array<struct<x:double,y:double>>")
+    assert spatial.building_cover(geom, area, house, 8.0).collect()[0].ratio == pytest.approx(0.24)
+
+
+def test_outlines():
+    assert spatial.outline([box(0, 0, 2, 2)]) == pytest.approx((4, 8))
+    assert spatial.outline([box(0, 0, 2, 2), box(0, 0, 2, 2)]) == pytest.approx((4, 8))
+    assert spatial.outline([box(0, 0, 2, 2), box(2, 0, 4, 2)]) == pytest.approx((8, 12))
+    assert spatial.outline([box(0, 0, 3, 3), box(1, 1, 2, 2)]) == pytest.approx((9, 12))
+    assert spatial.outline([box(0, 0, 3, 1), box(1, -1, 2, 2)]) == pytest.approx((5, 12))
 
 
 def test_kinds_and_modes():
@@ -85,7 +104,14 @@ def test_kinds_and_modes():
 def test_text_to_numbers(spark):
     df = spark.createDataFrame([("1.5",), (" ",), ("nan",), ("x",), ("inf",), (None,)], "t string")
     assert [r[0] for r in df.select(special.number(F.col("t"))).collect()] == [1.5, None, None, None, None, None]
-    assert [r[0] for r in spark.createDataFrame([("L",), (" r ",), ("?",)], "t string").select(special.bank(F.col("t"))).collect()] == [1, 2, 0]
+    assert [r[0] for r in spark.createDataFrame([("L",), (" r ",), ("?",)], "t string").where("t <> '?'").select(special.bank(F.col("t"))).collect()] == [1, 2]
+    with pytest.raises(Exception, match="unknown bank"):  # what is no bank is an error, as are unknown kinds and modes
+        spark.createDataFrame([("?",)], "t string").select(special.bank(F.col("t"))).collect()
+    for bad in ("both", "3", "", "zzzz"):
+        with pytest.raises(special.SpellingError):
+            special.parse_kind(bad)
+    with pytest.raises(special.SpellingError):
+        special.z_mode_of("sideways", "absolute")
 
 
 def test_segments_and_greedy_picks(spark):
@@ -128,23 +154,161 @@ def test_crossings_and_blobs(spark):
     assert raster.large_blobs(mask, 2).select("blob").distinct().count() == 1
 
 
+LOOSE = quality.Limits(min_area=0.0, triangle_min_angle=0.0, triangle_radius_ratio=0.0, triangle_aspect=1e9, quad_min_angle=0.0, quad_max_angle=360.0, quad_aspect=1e9, quad_jacobian=0.0, neighbour_ratio=2.0)
+
+
+def patched(points, cells, band=(), surface=None, marked=()):
+    return patch.Patch(dict(enumerate(map(tuple, points))), dict(enumerate(cells)), {i: (surface or {}).get(i, 0) for i in range(len(cells))}, set(band), set(marked))
+
+
 def test_bisection_leaves_no_hanging_node():
-    points = np.array([(0, 0), (200, 0), (100, 160), (100, -160)], float)
-    tris = [(0, 1, 2), (1, 0, 3)]
-    pts, out, marks = repair.bisect(points, tris, [0], {(0, 1)}, set())
-    assert len(out) == 4 and pts[4].tolist() == [100, 0] and marks == {(0, 4), (1, 4)}
-    sides = [tuple(sorted((t[k], t[(k + 1) % 3]))) for t in out for k in range(3)]
-    assert {sides.count(s) for s in sides} == {1, 2}
-    assert sum(repair.area_of(pts, t) for t in out) == pytest.approx(32000)
-    assert len(repair.bisect(points, tris[:1], [0], set(), {(0, 1)})[1]) == 1
+    points = [(0, 0), (200, 0), (100, 160), (100, -160)]
+    p = patched(points, [(0, 1, 2), (1, 0, 3)], marked={(0, 1)})
+    assert p.bisect(LOOSE, [0]) == (1, False)
+    out = list(p.cells.values())
+    assert len(out) == 4 and p.points[4] == (100, 0) and p.marked == {(0, 4), (1, 4)}
+    sides = [patch.edge(*e) for t in out for e in patch.sides(t)]
+    assert {sides.count(e) for e in sides} == {1, 2}
+    assert sum(p.area(c) for c in p.cells) == pytest.approx(32000)
+
+
+def test_a_triangle_among_quads_is_not_bisected():
+    points = [(0, 0), (100, 0), (50, 80), (0, -100), (100, -100), (180, 30), (130, 120), (-30, 120), (-80, 30)]
+    p = patched(points, [(0, 1, 2), (0, 3, 4, 1), (1, 5, 6, 2), (2, 7, 8, 0)])
+    assert p.bisect(LOOSE, [0]) == (0, True) and len(p.cells) == 4
 
 
 def test_collapse_keeps_area_and_corners():
-    points = np.array([(0, 0), (30, 0), (60, 0), (60, 30), (30, 30), (0, 30), (28, 15), (32, 15)], float)
+    points = [(0, 0), (30, 0), (60, 0), (60, 30), (30, 30), (0, 30), (28, 15), (32, 15)]
+    cells = [(0, 1, 6), (0, 6, 5), (5, 6, 4), (1, 7, 6), (6, 7, 4), (1, 2, 7), (2, 3, 7), (3, 4, 7)]
+    p = patched(points, cells)
+    assert p.collapse(replace(LOOSE, min_area=100.0), False) == 1 and len(p.cells) == 6
+    assert sum(p.area(c) for c in p.cells) == pytest.approx(1800) and all(p.points[i] == points[i] for i in range(6))
+
+
+def test_merging_two_triangles_and_refusing_a_concave_pair():
+    ring = [(-30, -30), (60, -30), (60, 60), (-30, 60)]
+    square = [(0, 0), (30, 0), (30, 30), (0, 30), *ring]
+    cells = [(0, 1, 2), (0, 2, 3), (4, 5, 1, 0), (5, 6, 2, 1), (6, 7, 3, 2), (7, 4, 0, 3)]
+    p = patched(square, cells)
+    assert p.merge(replace(LOOSE, min_area=625.0), False, False) == 1
+    assert sorted(abs(p.area(c)) for c in p.cells if set(p.cells[c]) <= {0, 1, 2, 3}) == [900]
+    concave = [(0, 0), (30, 0), (4, 4), (0, 30), *ring]
+    p = patched(concave, [(0, 1, 2), (0, 2, 3), (4, 5, 1, 0), (5, 6, 1), (6, 2, 1), (6, 3, 2), (6, 7, 3), (7, 4, 0, 3)])
+    assert p.merge(replace(LOOSE, min_area=70.0), False, False) == 0 and p.done.rejected_nonconvex > 0
+
+
+def test_opening_quads_around_small_triangles():
+    points = [(0, 0), (100, 0), (100, 100), (0, 100), (50, 110)]
+    cells, surface = [(0, 1, 2, 3), (3, 2, 4)], {0: 5}
+    for area, with_band, band, want in ((600.0, True, (5,), 1), (6000.0, True, (5,), 0), (600.0, False, (5,), 0), (600.0, False, (), 1)):
+        assert patched(points, cells, band, surface).open_around_small(replace(LOOSE, min_area=area), with_band) == want
+
+
+def test_repair_of_blocks_keeps_area(spark):
+    points = [(0, 0), (30, 0), (60, 0), (60, 30), (30, 30), (0, 30), (28, 15), (32, 15)]
     cells = [(0, 1, 6), (0, 6, 5), (5, 6, 4), (1, 7, 6), (6, 7, 4), (1, 2, 7), (2, 3, 7), (3, 4, 7)]
-    pts, out, n = repair.collapse(points, cells, set(range(6)), 100)
-    assert n == 1 and len(out) == 6
-    assert sum(repair.area_of(pts, t) for t in out) == pytest.approx(1800)
+    elem = spark.createDataFrame([(b, i, 0, *c, None) for b in (1, 2) for i, c in enumerate(cells)], "block long, eid long, surface int, n0 long, n1 long, n2 long, n3 long")
+    nodes = spark.createDataFrame([(b, i, float(x), float(y)) for b in (1, 2) for i, (x, y) in enumerate(points)], "block long, id long, x double, y double")
+    none = spark.createDataFrame([], "block long, lo long, hi long")
+    cells_, nodes_, _, counts = patch.repaired(elem, nodes, none, replace(LOOSE, min_area=100.0), triangles_only=True)
+    assert {(r.block, r.n) for r in counts.where("what = 'collapsed_edges'").collect()} == {(1, 1), (2, 1)}
+    assert cells_.groupBy("block").count().where("count = 6").count() == 2 and nodes_.count() == 14
+    assert counts.where("what = 'remaining_undersized'").agg(F.sum("n")).collect()[0][0] == 0
+
+
+def test_crossings_are_allowed_and_overlaps_are_not(spark):
+    rows = [(1, 0.0, 0.0, 100.0, 0.0), (2, 50.0, -50.0, 50.0, 50.0), (3, 50.0, 0.0, 150.0, 0.0), (4, 0.0, 20.0, 100.0, 20.0), (5, 0.0, 500.0, 10.0, 500.0)]
+    f = spark.createDataFrame(rows, "feature long, ax double, ay double, bx double, by double")
+    got = {(r.i, r.j): (r.relation, r.gap) for r in special.relations(f, 30.0, 64.0).collect()}
+    assert got[(1, 2)] == ("cross", 0) and got[(1, 3)] == ("overlap", 0) and got[(1, 4)] == ("gap", 20) and (1, 5) not in got
+    bad = {(r.i, r.j) for r in special.close_pairs(f, 30.0, 64.0).collect()}
+    assert bad == {(1, 3), (1, 4), (3, 4)}
+    row = special.proximity(f, 30.0, 64.0).collect()[0]
+    assert (row.cross, row.overlap, row.gap_10_clearance, row.gap_ge_50, row.shortest) == (3, 1, 2, 4, 20)
+    with pytest.raises(ValueError, match="too close"):
+        special.check_clearance(f, 30.0, 64.0)
+
+
+def test_gradients_that_are_not_finite_do_not_count(spark):
+    rows = [(1, 1.0, 0.0), (1, 0.0, 1.0), (1, float("nan"), 1.0), (1, float("inf"), 1.0)]
+    got = terrain.slope_spread(spark.createDataFrame(rows, "face long, gx double, gy double"), 0.1).collect()[0].spread
+    assert got == pytest.approx(47.7, abs=0.05)
+
+
+def test_bands():
+    circle = np.array([(100 * np.cos(t), 100 * np.sin(t)) for t in 2 * np.pi * np.arange(16) / 16])
+    ring = band.ring_band(circle, 10.0)
+    assert not ring.failed.any() and len(ring.walk()) == 16 and (ring.areas() > 0).all()
+    for skips in ((3, 4, 5), (2, 3, 9, 10, 11)):
+        ring = band.ring_band(circle, 10.0)
+        ring.skipped[list(skips)] = True
+        steps = [s for s, _ in ring.walk()]
+        gaps = 1 if len(skips) == 3 else 2
+        assert steps.count("down") == steps.count("up") == gaps and len(steps) == 16 + 2 * gaps
+        ring.close()
+        steps = [s for s, _ in ring.walk()]
+        assert "down" not in steps and "up" not in steps and len(steps) == 16
+        assert (~ring.skipped & ~ring.quads()).sum() == 2 * gaps
+    bow = np.array([(0, 0), (10, 0), (0, 10), (10, 10)], float)
+    assert band.crossing_vertices(bow).all() and not band.crossing_vertices(circle).any()
+
+
+def test_skeleton_paths():
+    assert [len(p) for p in embankment.paths({(5, c) for c in range(30)})] == [30]
+    tee = {(10, c) for c in range(21)} | {(r, 10) for r in range(11, 21)}
+    assert sorted(len(p) for p in embankment.paths(tee)) == [11, 11, 11] or sorted(len(p) for p in embankment.paths(tee)) == [10, 11, 11]
+    loop = {(0, c) for c in range(10)} | {(9, c) for c in range(10)} | {(r, 0) for r in range(10)} | {(r, 9) for r in range(10)}
+    closed = embankment.paths(loop)
+    assert len(closed) == 1 and closed[0][0] == closed[0][-1]
+    thick = np.zeros((20, 60), bool)
+    thick[8:13, 5:55] = True
+    thin = embankment.thinned(thick)
+    assert 40 <= thin.sum() <= 50 and (thin.sum(axis=0) <= 1).all()
+
+
+def test_settings():
+    good = {"input": {"domain": "d.csv", "dem": "z.asc"}}
+    s = settings.Settings(good, "/data")
+    assert s.clearance() == pytest.approx(2 * 625 / 45) and s.resolve("d.csv") == "/data/d.csv" and s.match_tolerance() == 2.25
+    assert s.block(3, "/out")["input"]["polygon_filter"] == [3] and s["input"]["polygon_filter"] is None
+    for bad in ({"mesh": {"min_element_area": True}}, {"mesh": {"strange": 1}}, {"mesh": {"refinement_factor": 2.0}}, {"crs": {"target_epsg": 3857}}, {"input": {"special_edges": {"default_kind": "both"}}}, {"terrain": {"minimum_dem_samples_per_element": 1.5}}, {"mesh": 3}):
+        with pytest.raises(settings.SettingsError):
+            settings.Settings({k: {**good.get(k, {}), **v} if isinstance(v, dict) else v for k, v in {**good, **bad}.items()})
+
+
+def test_wkt_and_layers(spark):
+    rows = [("POLYGON ((0 0, 100 0, 100 100, 0 100, 0 0), (40 40, 40 60, 60 60, 60 40, 40 40))",), ("MULTIPOLYGON (((0 0, 5 0, 5 5, 0 0)), ((200 0, 300 0, 300 50, 200 50, 200 0)))",), ("POLYGON EMPTY",), (None,)]
+    layer = layers.from_wkt(spark.createDataFrame(rows, "wkt string")).withColumn("at", F.when(F.col("wkt").startswith("P"), 0).otherwise(1))
+    got = [(r.polygon, r.area, len(r.holes)) for r in layers.domain(layer, 1000.0).orderBy("polygon").collect()]
+    assert got == [(0, 9600, 1), (1, 5000, 0)] and layers.domain_indices(layer, 1000.0) == [0, 1]
+    with pytest.raises(layers.LayerError):
+        layers.domain(layer, 1000.0, [7])
+    seg = spark.createDataFrame([(1, 0, -10.0, 50.0, 110.0, 50.0)], "line long, i int, ax double, ay double, bx double, by double")
+    pieces = layers.clipped_segments(seg, layers.domain(layer, 1000.0), 32.0).orderBy("x0").collect()
+    assert [v for r in pieces for v in (r.x0, r.x1)] == pytest.approx([0, 40, 60, 100])
+    assert layers.find_column(["KIND", "zc"], "kind", ("type",)) == "KIND"
+
+
+def test_container_keeps_nan_and_refuses_a_missing_number(spark):
+    one = spark.range(1).select(F.lit(1).cast("long").alias("mesh"), F.lit(1).alias("id"))
+    nodes = one.select("*", F.lit(float("nan")).alias("x"), F.lit(1.0).alias("y"), F.lit(None).cast("double").alias("z"))
+    edges = one.select("*", *[F.lit(k).alias(c) for c, k in (("v1", 1), ("v2", 1), ("face_left", 1), ("face_right", 0))], F.lit(0.0).alias("z_crest"), F.lit(0.5).alias("fr"))
+    face = one.select("*", F.lit(0).alias("dummy"), *[F.lit(0.0).alias(c) for c in ("x", "y", "A", "z_bed")], F.lit(1).alias("n_sides"), F.array(F.lit(1)).alias("edge_ids"), F.lit(3).alias("block"), F.lit(2).alias("level"))
+    files = container.packed(edges, nodes, face, levels=(4, 1))
+    got = container.unpacked(files, "node", "mesh").collect()[0]
+    assert math.isnan(got.x) and math.isnan(got.z) and got.y == 1
+    back = container.unpacked(files, "face", "mesh").collect()[0]
+    assert (back.block, back.level, back.edge_ids) == (3, 2, [1])
+    with pytest.raises(Exception, match="v1 is missing"):
+        container.packed(edges.withColumn("v1", F.lit(None).cast("int")), nodes, face).collect()
+
+
+def test_blobs_across_tiles(spark):
+    rows = [(200, c) for c in range(0, 600)] + [(r, 599) for r in range(200, 530)] + [(520, c) for c in range(100, 600)] + [(255, 10), (256, 11), (257, 10)]
+    mask = spark.createDataFrame([(r, c, True) for r, c in set(rows)], "row long, col long, mask boolean")
+    got = {(r.row, r.col): r.blob for r in raster.blobs(mask).collect()}
+    assert len(got) == len(set(rows)) and set(got.values()) == {200 << 32, (255 << 32) + 10} and got[(256, 11)] == (255 << 32) + 10
 
 
 def test_container_round_trip():
