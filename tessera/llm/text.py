@@ -32,6 +32,22 @@ def chunks(off: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def sized(batches: Iterator[pa.RecordBatch], size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of about ``size`` bytes, whatever rows they have; a larger row is a part of its own."""
+    for batch in batches:
+        if batch.nbytes <= size:
+            yield batch
+            continue
+        rows = max(1, int(batch.num_rows * size // batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            if part.nbytes <= 4 * size:
+                yield part
+            else:
+                for i in range(part.num_rows):
+                    yield part.slice(i, 1)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x.astype(np.uint64, copy=True)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import repeats
-from tessera.llm.components import connected_components
+from tessera.components import connected_components
 from tessera.llm.lines import dedup_lines
 from tessera.llm.repeats import longest_previous_factor, remove_repeats, repeated_windows, suffix_array
 from tessera.llm.shingles import jaccard_join, overlap_bound, prefix_length
@@ -176,3 +176,30 @@ def test_line_dedup_equals_brute_force(spark, threshold):
         assert r.removed == want and r.n_removed == len(want)
         assert r.text == (lines if not want else "\n".join(x for n, x in enumerate(lines.split("\n")) if n not in want))
     assert dedup_lines(corpus.empty(spark)).count() == 0
+
+
+def test_lines_of_one_id_with_two_texts(spark):
+    """Each row keeps its own lines; short lines may differ by one edit from 20 bytes on."""
+    rows = [(1, "A\nB"), (1, "C\nA"), (2, "a line of 23 bytes here\nPage 3 of 12"), (3, "a line of 23 bytes hare\nPage 4 of 12\na line of 23 bxxes here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.text for r in dedup_lines(docs, least_bytes=20).collect()}
+    texts = {t for _, t in rows}
+    first, second = ("A\nB", "C") if "A\nB" in out else ("B", "C\nA")
+    assert out == {first, second, rows[2][1], "Page 4 of 12\na line of 23 bxxes here"}
+    assert {r.text for r in dedup_lines(docs).collect()} == {first, second} | texts - {rows[0][1], rows[1][1]}
+
+
+def test_jaccard_join_of_large_and_shared_ids(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    big = 5 * 10**18
+    rows = [(1, a), (1, b), (big, a), (big + 1, a), (7, b), (3, "a b c")]
+    out = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), percent=80, width=4).collect()
+    assert sorted((r.id, r.component_id) for r in out) == sorted([(1, 1), (1, 1), (big, 1), (big + 1, 1), (7, 1), (3, 3)])
+
+
+def test_smaller_neighbours():
+    rng = np.random.default_rng(2)
+    for x in (rng.integers(0, 9, 50), np.arange(40), np.arange(40)[::-1], np.zeros(5, np.int64), np.zeros(0, np.int64)):
+        prev, nxt = repeats.smaller_neighbours(x)
+        assert prev.tolist() == [max((j for j in range(i) if x[j] <= x[i]), default=-1) for i in range(len(x))]
+        assert nxt.tolist() == [min((j for j in range(i + 1, len(x)) if x[j] <= x[i]), default=len(x)) for i in range(len(x))]
