@@ -1,11 +1,15 @@
 """Embedding near-dedup (operator 8): inverted lists with product-quantised residuals, and exact reranking.
 
 Vectors are normalised, so cosine >= c means a distance of at most d = sqrt(2 - 2c). Each vector belongs to the list of
-its nearest coarse centre. A vector x is compared with a list if some vector that belongs there can be within d of it:
-for lists a (its own) and b that is so only if x is within d of the plane half way between their centres. Those are
-sufficient probes. In a list the asymmetric distance from x to a member's code, less the member's own coding error, is
-a lower bound of the true distance; members within d by that bound get an exact cosine in double precision. So nothing
-is lost by lists or codes, whatever sample they were fitted on.
+its nearest coarse centre. If x of list a and y of list b are within d, the plane half way between the two centres is
+crossed on the way: x's distance to it and y's add up to d at most, so one of them is within d / 2 of it. Each vector
+therefore probes its own list and those whose plane is within d / 2, and every pair is met from at least one side: those
+are sufficient probes. In a list the asymmetric distance from x to a member's code, less the member's own coding error,
+is a lower bound of the true distance; members within d by that bound get an exact cosine in double precision. So
+nothing is lost by lists or codes, whatever sample they were fitted on.
+
+Lists are put together into groups of about ``block_rows`` members, lists larger than that are split into blocks. A vector
+goes once to each group that holds a list it probes, in slices of about ``block_rows``, so neither side of a task grows.
 """
 
 from __future__ import annotations
@@ -13,15 +17,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.cluster import cut, ship
-from tessera.llm.components import connected_components, local_labels
+from tessera.components import connected_components, local_labels
 from tessera.llm.memory import tidied
 from tessera.llm.search import vector_matrix
+from tessera.llm.text import mix64, ragged
 
 
 def k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 3) -> np.ndarray:
@@ -63,7 +67,7 @@ class Quantiser:
         return home, codes.astype(np.uint8), np.sqrt(((rest - back) ** 2).sum(1))
 
     def probes(self, x: np.ndarray, reach: float) -> np.ndarray:
-        """Which lists may hold a vector within reach: a row per vector."""
+        """Which lists may hold a vector within reach, as their planes are: a row per vector."""
         d2 = squared(x, self.centres)
         home = d2.argmin(1)
         apart = np.sqrt(squared(self.centres, self.centres))[home]
@@ -75,41 +79,67 @@ class Quantiser:
         return sum(squared(rest[:, c], b)[:, codes[:, s]] for s, (c, b) in enumerate(zip(self.cuts, self.books, strict=True)))
 
 
-def compare(model: Quantiser, at: int, least: float, x: np.ndarray, x_id: np.ndarray, y: np.ndarray, y_id: np.ndarray, weight: np.ndarray, codes: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of x, row of y, ...) of the pairs with an exact cosine of at least ``least``, and each x's linked weight."""
+class Side:
+    """One side of a comparison: vectors with their ids, weights, lists, codes, coding errors and probed lists."""
+
+    def __init__(self, table: pa.Table, dim: int):
+        self.ids, self.weight, self.home = (table.column(c).to_numpy() for c in ("rep", "weight", "list"))
+        self.v = np.frombuffer(ragged(table.column("v"))[0].tobytes(), np.float64).reshape(-1, dim)
+        probes = table.column("probes").combine_chunks()
+        size = probes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.row, self.probed = np.repeat(np.arange(len(size)), size), probes.flatten().to_numpy()
+        codes = ragged(table.column("codes"))[0]
+        self.codes = codes.reshape(len(size), -1) if len(size) and len(codes) else None
+        self.error = table.column("error").to_numpy()
+
+
+def compare(model: Quantiser, least: float, x: Side, y: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(nodes, labels, x's linked weight, y's linked weight) of the pairs of cosine >= least that x's probes find.
+
+    nodes are rows of x and, from len(x.ids) on, of y; equal labels are linked. A pair counts for x; it counts for y
+    too if y's probes don't find it.
+    """
     reach = np.sqrt(2 - 2 * least)
-    rows, cols, n = [], [], np.zeros(len(x), np.int64)
-    for i in range(0, len(x), 256):
-        part = x[i : i + 256]
-        near = model.asymmetric(part, at, codes) <= ((reach + error + 1e-7) ** 2)[None, :]
-        if near.mean() > 0.05:
-            linked = near & (part @ y.T >= least)
-            r, c = np.nonzero(linked)
-        else:
-            r, c = np.nonzero(near)
-            ok = np.einsum("ij,ij->i", part[r], y[c]) >= least
-            r, c = r[ok], c[ok]
-        other = x_id[i + r] != y_id[c]
-        r, c = r[other] + i, c[other]
-        np.add.at(n, r, weight[c])
-        if len(r) > 4 * (len(part) + len(y)):  # a spanning set of these links will do
-            nodes, label = local_labels(r, c + len(x))
-            rows.append(nodes)
-            cols.append(label)
-        else:
-            rows.append(r)
-            cols.append(c + len(x))
-    return np.concatenate(rows), np.concatenate(cols), n
+    heads, tails, n, m = [], [], np.zeros(len(x.ids), np.int64), np.zeros(len(y.ids), np.int64)
+    lists = np.int64(len(model.centres))
+    asked = np.sort(y.row * lists + y.probed)
+    members, probing = np.argsort(y.home, kind="stable"), np.argsort(x.probed, kind="stable")
+    for at in np.unique(y.home):
+        mine = members[slice(*np.searchsorted(y.home[members], [at, at + 1]))]
+        rows = x.row[probing[slice(*np.searchsorted(x.probed[probing], [at, at + 1]))]]
+        for i in range(0, len(rows), 256):
+            part = rows[i : i + 256]
+            near = model.asymmetric(x.v[part], at, y.codes[mine]) <= ((reach + y.error[mine] + 1e-7) ** 2)[None, :]
+            if near.mean() > 0.05:
+                r, c = np.nonzero(near & (x.v[part] @ y.v[mine].T >= least))
+            else:
+                r, c = np.nonzero(near)
+                ok = np.einsum("ij,ij->i", x.v[part[r]], y.v[mine[c]]) >= least
+                r, c = r[ok], c[ok]
+            r, c = part[r], mine[c]
+            other = x.ids[r] != y.ids[c]
+            r, c = r[other], c[other]
+            if not len(r):
+                continue
+            np.add.at(n, r, y.weight[c])
+            key = c * lists + x.home[r]
+            unasked = asked[np.minimum(np.searchsorted(asked, key), len(asked) - 1)] != key
+            np.add.at(m, c[unasked], x.weight[r[unasked]])
+            nodes, label = local_labels(r, c + len(x.ids))
+            heads.append(nodes)
+            tails.append(label)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(heads or none), np.concatenate(tails or none), n, m
 
 
-def near_duplicates(vectors: DataFrame, *, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", list_rows: int = 512, most_lists: int = 4096, sample_rows: int = 20_000, block_rows: int = 4096) -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", list_rows: int = 256, most_lists: int = 16_384, sample_rows: int = 20_000, block_rows: int = 8192) -> DataFrame:
     """One row per vector: (id, n_links, component_id, kept).
 
     n_links counts the other rows with cosine >= least; component_id is the smallest id that such links reach, itself
     included. A vector that is null, empty, all zero or holds a null or non-finite component links with nothing; nor do
     vectors of different lengths. A null id has a null component and is kept. Equal vectors are compared once and count
     as often as they occur. Lists and codes are fitted on at most about ``sample_rows`` distinct vectors drawn by hash;
-    all rows are indexed. A list of more than ``block_rows`` members is split into blocks by hash.
+    all rows are indexed. Beyond list_rows * most_lists vectors the lists grow, and with them the work for each vector.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -157,48 +187,88 @@ def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists
     model = Quantiser(matrix, int(max(1, min(most_lists, count // list_rows))))
     shared = spark.sparkContext.broadcast(model)
     reach = float(np.sqrt(2 - 2 * least))
+    lists = len(model.centres)
 
     @tidied
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(-1, dim)
-            if not len(x):
-                continue
-            home, codes, error = model.encode(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)], names=["rep", "weight", "v", "list", "codes", "error"])
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                x = np.frombuffer(ragged(part.column(2))[0].tobytes(), np.float64).reshape(-1, dim)
+                home, codes, error = model.encode(x)
+                row, probed = np.nonzero(model.probes(x, reach / 2))  # the other half is the other vector's
+                off = np.searchsorted(row, np.arange(len(x) + 1)).astype(np.int32)
+                probes = pa.ListArray.from_arrays(pa.array(off), pa.array(probed.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), probes], names=["rep", "weight", "v", "list", "codes", "error", "probes"])
 
     @tidied
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many vectors of a partition probe each list."""
+        n = np.zeros(lists, np.int64)
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float64).reshape(-1, dim)
-            for at in range(0, len(x), 2048):
-                hit = model.probes(x[at : at + 2048], reach)
-                lists = np.flatnonzero(hit.any(axis=0))
-                mine = [np.flatnonzero(hit[:, c]) + at for c in lists]
-                yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), pa.array([ids[m].tobytes() for m in mine], pa.binary()), pa.array([x[m].tobytes() for m in mine], pa.binary())], names=["list", "ids", "vs"])
-
-    indexed = cut(groups.select("rep", "weight", "v").mapInArrow(index, "rep long, weight long, v binary, list int, codes binary, error double"))
-    sizes = indexed.groupBy("list").count().select("list", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks"))
-    sizes = F.broadcast(cut(sizes))  # one row per list, most_lists at most
-    data = indexed.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks")
-    asked = groups.select("rep", "weight", "v").mapInArrow(probe, "list int, ids binary, vs binary").join(sizes, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+            n += np.bincount(batch.column(0).flatten().to_numpy(), minlength=lists)
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], names=["list", "n"])
+
+    fields = "rep long, weight long, v binary, list int, codes binary, error double, probes array<int>"
+    indexed = cut(groups.select("rep", "weight", "v").mapInArrow(index, fields))
+    # a row per list, most_lists at most
+    held = {r.list: r.n for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    asking = {r.list: r.n for r in indexed.select("probes").mapInArrow(asked, "list int, n long").groupBy("list").agg(F.sum("n").alias("n")).collect()}
+    first, blocks, slices, room = np.zeros(lists, np.int64), np.ones(lists, np.int64), [0], block_rows
+    for at in range(lists):
+        size = held.get(at, 0)
+        blocks[at] = max(1, -(-size // block_rows))
+        if size > room and room < block_rows:
+            slices.append(0)
+            room = block_rows
+        first[at] = len(slices) - 1
+        slices[-1] += asking.get(at, 0)
+        slices += [asking.get(at, 0)] * int(blocks[at] - 1)
+        room = room - size if blocks[at] == 1 else 0
+    layout = spark.sparkContext.broadcast((first, blocks, np.array([max(1, -(-min(count, s) // block_rows)) for s in slices], np.int64)))
 
     @tidied
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        model = shared.value
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
-        x_id = np.frombuffer(b"".join(left["ids"]), np.int64)
-        x = np.frombuffer(b"".join(left["vs"]), np.float64).reshape(-1, dim)
-        y_id, weight = right["rep"].to_numpy(np.int64), right["weight"].to_numpy(np.int64)
-        y = np.frombuffer(b"".join(right["v"]), np.float64).reshape(-1, dim)
-        codes = np.frombuffer(b"".join(right["codes"]), np.uint8).reshape(len(y), -1)
-        r, c, n = compare(model, int(key[0]), least, x, x_id, y, y_id, weight, codes, right["error"].to_numpy())
-        every = np.concatenate([x_id, y_id])
-        nodes, label = local_labels(every[r], every[c])
-        return pd.DataFrame({"a": np.concatenate([x_id[n > 0], nodes]), "b": np.concatenate([x_id[n > 0], label]), "n": np.concatenate([n[n > 0], np.zeros(len(nodes), np.int64)])})
-
-    return asked.groupBy("list", "block").cogroup(data.groupBy("list", "block")).applyInPandas(run, "a long, b long, n long")
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, blocks, slices = layout.value
+
+        def sent(side: int, part: pa.RecordBatch, row: np.ndarray, group: np.ndarray, cut_no: np.ndarray) -> pa.RecordBatch:
+            out = part.take(pa.array(row))
+            columns = list(out.columns)
+            if not side:  # a probing vector's code isn't looked at
+                columns[4], columns[5] = pa.nulls(len(row), pa.binary()), pa.nulls(len(row), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), side, np.int32)), pa.array(group.astype(np.int32)), pa.array(cut_no.astype(np.int32)), *columns], names=["side", "grp", "cut_no", *part.schema.names])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                ids, home = mix64(part.column(0).to_numpy().view(np.uint64)).astype(np.int64) & 0x7FFFFFFFFFFFFFFF, part.column(3).to_numpy()
+                group = first[home] + ids % blocks[home]
+                times = slices[group]
+                row = np.repeat(np.arange(len(ids)), times)
+                yield sent(1, part, row, group[row], np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times))
+                size = part.column(6).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                row, probed = np.repeat(np.arange(len(ids)), size), part.column(6).flatten().to_numpy()
+                times = blocks[probed]
+                row, low = np.repeat(row, times), np.repeat(first[probed], times)
+                group = low + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                pair = np.unique(row * len(slices) + group)
+                row, group = pair // len(slices), pair % len(slices)
+                yield sent(0, part, row, group, (ids[row] >> 20) % slices[group])
+
+    @tidied
+    def run(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        x, y = (Side(table.take(pa.array(np.flatnonzero(side == k))), dim) for k in (0, 1))
+        if len(x.ids) and len(y.ids):
+            nodes, label, n, m = compare(shared.value, least, x, y)
+        else:
+            nodes, label, n, m = (np.zeros(k, np.int64) for k in (0, 0, len(x.ids), len(y.ids)))
+        every = np.concatenate([x.ids, y.ids])
+        counted = np.concatenate([n, m])
+        some = counted > 0
+        nodes, label = local_labels(every[nodes], every[label])
+        return pa.table({"a": np.concatenate([every[some], nodes]), "b": np.concatenate([every[some], label]), "n": np.concatenate([counted[some], np.zeros(len(nodes), np.int64)])})
+
+    return indexed.mapInArrow(deal, "side int, grp int, cut_no int, " + fields).groupBy("grp", "cut_no").applyInArrow(run, "a long, b long, n long")
