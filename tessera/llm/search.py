@@ -36,10 +36,32 @@ def vector_matrix(col: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(rows, np.int64), out
 
 
+def precise(x: np.ndarray) -> np.ndarray:
+    """x as it is if inner products of such vectors are exact in doubles, else in the extended precision of 64 bits.
+
+    Wide values take the slower arithmetic, whose exponents don't overflow on products of doubles.
+    """
+    top = float(np.abs(x).max(initial=0.0))
+    narrow = top < 2.0**26 and top * top * max(1, x.shape[1]) < 2.0**53
+    return x if narrow else x.astype(np.longdouble)
+
+
+def as_long(score: np.ndarray) -> np.ndarray:
+    """Scores as longs; those beyond a long become its ends."""
+    if score.dtype == np.float64:
+        return score.astype(np.int64)
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    out = np.where(score > 0, high, low)
+    inside = np.abs(score) < 2.0**63
+    out[inside] = score[inside].astype(np.int64)
+    return out
+
+
 class BallTree:
     """Nodes in preorder; a leaf's vectors are rows lo..hi of points, which are sorted by node."""
 
     def __init__(self, ids: np.ndarray, points: np.ndarray):
+        points = precise(points)
         order = np.lexsort((ids,))
         self.ids, self.points = ids[order], points[order]
         self.lo: list[int] = []
@@ -78,18 +100,25 @@ class TopK:
     """The k best (score, id) of each query so far; ties go to the smaller id."""
 
     def __init__(self, queries: np.ndarray, own: np.ndarray, k: int, least: np.ndarray | None = None):
+        queries = precise(queries)
         self.q, self.own, self.k = queries, own, k
         self.norm = np.sqrt((queries**2).sum(axis=1))
         n = len(queries)
-        self.score = np.full((n, k), -np.inf)
+        self.score = np.full((n, k), -np.inf, queries.dtype)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
-        self.least = np.full(n, -np.inf) if least is None else least.copy()
+        self.least = np.full(n, -np.inf, queries.dtype) if least is None else least.astype(queries.dtype)
 
     def bound(self, rows: np.ndarray, tree: BallTree, node: int) -> np.ndarray:
         dots = self.q[rows] @ tree.centres[node]
         return dots + self.norm[rows] * tree.radii[node] + 1e-9 * (np.abs(dots) + self.norm[rows] * np.sqrt((tree.centres[node] ** 2).sum())) + 1e-6
 
+    def widen(self, dtype: np.dtype) -> None:
+        """Goes on in the tree's precision if that is the wider one."""
+        if dtype != self.score.dtype and dtype == np.longdouble:
+            self.q, self.norm, self.score, self.least = (x.astype(dtype) for x in (self.q, self.norm, self.score, self.least))
+
     def visit(self, rows: np.ndarray, tree: BallTree, node: int = 0) -> None:
+        self.widen(tree.points.dtype)
         rows = rows[self.bound(rows, tree, node) >= self.least[rows]]
         if not len(rows):
             return
@@ -108,6 +137,8 @@ class TopK:
         for at in range(lo, hi, 4096):  # a leaf of equal vectors may be large
             ids = tree.ids[at : min(hi, at + 4096)]
             s = self.q[rows] @ tree.points[at : min(hi, at + 4096)].T
+            if s.dtype != np.float64:
+                s = np.clip(s, -np.longdouble(2**63), np.longdouble(2**63 - 1))
             s[ids[None, :] == self.own[rows][:, None]] = -np.inf
             score = np.concatenate([self.score[rows], s], axis=1)
             both = np.concatenate([self.id[rows], np.broadcast_to(ids, s.shape)], axis=1)
@@ -126,7 +157,8 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
     Components become floor(scale * x), x as double. Rows for which query_where holds are the queries. Rows with a null
     id or whose vector is null, empty or holds a null or non-finite component take no part; vectors of different lengths
     don't meet. Rows of the same id are one vector's copies: none of them is a candidate for that id's query, and equal
-    (id, vector) rows count once. Scores are exact while they stay below 2**53.
+    (id, vector) rows count once. Scores are exact as long as products' absolute values sum up to less than 2**63; a
+    score beyond a long is given as the nearer end of a long, and such scores tie.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -135,7 +167,8 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, vs = vector_matrix(batch.column(1))
-            ints = [np.floor(scale * v) for v in vs]
+            largest = np.finfo(np.float64).max
+            ints = [np.clip(np.floor(scale * v), -largest, largest) for v in vs]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array([x.tobytes() for x in ints], pa.binary()), batch.column(2).take(pa.array(rows))], names=["id", "v", "is_query"])
 
     plain = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.expr(query_where).alias("is_query")).where("id is not null")
@@ -155,7 +188,7 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
 
     trees = cut(packed(usable, shards))
     asked = cut(packed(usable.where("is_query"), blocks))
-    found = "block int, dim int, query_id long, vec_id long, score double"
+    found = "block int, dim int, query_id long, vec_id long, score long"
 
     def search(start: bool):
         @tidied
@@ -172,9 +205,9 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
                 for part, tree in grown:
                     if start or part != r.home:
                         best.visit(np.arange(len(ids)), tree)
-                n, j = np.nonzero(np.isfinite(best.score))
-                out.append(pd.DataFrame({"block": r.part, "dim": r.dim, "query_id": ids[n], "vec_id": best.id[n, j], "score": best.score[n, j]}))
-            return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in found.split(", ")}).astype({"block": "int32", "dim": "int32", "query_id": "int64", "vec_id": "int64", "score": "float64"})
+                n, j = np.nonzero(best.score > -np.inf)
+                out.append(pd.DataFrame({"block": r.part, "dim": r.dim, "query_id": ids[n], "vec_id": best.id[n, j], "score": as_long(best.score[n, j])}))
+            return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in found.split(", ")}).astype({"block": "int32", "dim": "int32", "query_id": "int64", "vec_id": "int64", "score": "int64"})
 
         return run
 
@@ -193,7 +226,8 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
             known = dict(zip(right["query_id"], right["s"], strict=True))
             for r in left.itertuples():
                 s = np.array([known.get(i, np.nan) for i in np.frombuffer(r.ids, np.int64).tolist()], np.float64)
-                out.append((r.part, r.dim, r.ids, r.vs, np.where(np.isnan(s), -np.inf, s).tobytes()))
+                least = np.nextafter(np.where(np.isnan(s), -np.inf, s), -np.inf)  # a long's double may lie above it
+                out.append((r.part, r.dim, r.ids, r.vs, least.tobytes()))
             return pd.DataFrame(out, columns=["part", "dim", "ids", "vs", "least"])
 
         ready = asked.groupBy("part", "dim").cogroup(kth.groupBy("block", "dim")).applyInPandas(bounds, "part int, dim int, ids binary, vs binary, least binary")
@@ -202,7 +236,7 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, query_where: str, id_col: str
         copies = trees.withColumn("grp", (F.col("part") / shards_per_task).cast("int")).withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(min(blocks, max(1, 64 // groups)) - 1))))
         rest = spread.groupBy("grp", "dim", "blk").cogroup(copies.groupBy("grp", "dim", "blk")).applyInPandas(search(False), found)
         every = first.unionByName(rest)
-    best = every.select("query_id", "vec_id", F.col("score").cast("long").alias("score")).dropDuplicates(["query_id", "vec_id", "score"])
+    best = every.select("query_id", "vec_id", "score").dropDuplicates(["query_id", "vec_id", "score"])
     from pyspark.sql import Window
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

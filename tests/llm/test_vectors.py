@@ -35,6 +35,28 @@ def test_top_k_equals_brute_force(spark, shard_rows):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == sorted(want)
 
 
+@pytest.mark.parametrize("shard_rows", [1000, 30])
+def test_top_k_of_large_values_is_exact(spark, shard_rows):
+    rng = np.random.default_rng(9)
+    v = [[float(x) for x in np.floor(rng.normal(0, 1, 4) * 10.0 ** rng.integers(0, 7))] for _ in range(100)]
+    v[7], v[8], v[50], v[51] = [1e200, 0.0, 0.0, 0.0], [1e10, 1e10, 0.0, 1.0], [1e308, 1.0, -1e308, 0.0], [1e10, 1.0, 0.0, 0.0]
+    data = [(i, x) for i, x in enumerate(v)]
+    out = exact_top_k(spark.createDataFrame(data, "vec_id long, embedding array<double>"), k=5, query_where="vec_id % 5 = 0", shard_rows=shard_rows, block_rows=8, shards_per_task=2).collect()
+    whole = [(i, [int(np.floor(256 * c)) if abs(256 * c) < np.inf else int(np.copysign(np.finfo(float).max, c)) for c in x]) for i, x in data]
+    want = []
+    for i, q in whole:
+        if i % 5 == 0:
+            scores = sorted((-min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(q, p, strict=True)))), j) for j, p in whole if j != i)[:5]
+            want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(scores)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in out) == sorted(want)
+
+
+def test_near_duplicates_of_large_ids(spark):
+    data = [(5 * 10**18 + i, [1.0, i / 100]) for i in range(6)] + [(-(5 * 10**18), [0.0, 1.0])]
+    out = {r.id: r.component_id for r in near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()}
+    assert out == {i: min(i, 5 * 10**18) for i, _ in data}
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_top_k(empty, query_where="vec_id % 2 = 0").count() == near_duplicates(empty).count() == 0
