@@ -152,17 +152,20 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str], *, bits: i
     return model
 
 
-def train_language_model(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1200, languages: int = 200, bits: int = 15, reject_rate: float = 0.001) -> Model:
-    """Fits on about per_language texts of each of the most frequent ``languages`` among rows where ``learn`` holds.
+def train_language_model(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1200, texts: int = 240_000, languages: int = 10_000, bits: int = 15, reject_rate: float = 0.001) -> Model:
+    """Fits on about per_language texts of each language among rows where ``learn`` holds, about ``texts`` in all.
 
-    The sample is drawn by a hash of the id at a rate set from each language's count, so it is bounded by
-    1.5 * per_language * languages texts, whole ones, of which only bucket shares reach the driver.
+    With more than texts / per_language languages each has an even share of ``texts``, 16 at least. Labels beyond the
+    most frequent ``languages``, more than there are codes for, can't be predicted. The sample is drawn by a hash of the
+    id at a rate set from each language's count, so it is bounded by 1.5 * max(texts, 16 * languages) texts, whole ones,
+    of which only bucket shares reach the driver.
     """
     ship(docs.sparkSession)
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), learn.alias("learn")).where("learn and lang is not null and text is not null")
     counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return fit([], [], bits=bits)
+    per_language = min(per_language, max(16, texts // len(counts)))
     rates = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))])
     sample = usable.where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 20)) < rates[F.col("lang")] * (1 << 20))
 

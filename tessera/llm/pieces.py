@@ -18,6 +18,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -72,7 +73,7 @@ class Forward:
     def fits(self, left: str, piece: str) -> bool:
         key = (left, piece)
         if (ok := self.joins.get(key)) is None:
-            if len(self.joins) > 2_000_000:
+            if len(self.joins) > 500_000:
                 self.joins.clear()
             ok = self.joins[key] = self.merged(left + piece) == ([left, piece] if left else [piece])
         return ok
@@ -163,15 +164,24 @@ class WordIds(dict):
         pieces, ranks, byte_ids, _ = tables(path)
         ranks = {p: r for p, r in ranks.items() if len(p) > 1}
         self.forward, self.cap = Forward(pieces, ranks=ranks, byte_ids=byte_ids), cap
+        self.passing: list[str] = []
 
     def learn(self, split: list[list[str]]) -> None:
         """Encodes the words that are new here in trie order."""
         if len(self) > self.cap:
             self.clear()
         encode = self.forward.encode
-        for w in sorted({w for words in split for w in words if w not in self}):
+        for w in sorted(set(chain.from_iterable(split)).difference(self)):
             ids = encode(MARK + w.replace(" ", MARK) if " " in w else MARK + w)
             self[w] = array("I", ids).tobytes()
+            if len(w) > KEEP_CHARS:
+                self.passing.append(w)
+
+    def forget(self) -> None:
+        """Drops the long words of the texts just encoded."""
+        for w in self.passing:
+            del self[w]
+        self.passing.clear()
 
 
 @lru_cache(2)
@@ -198,6 +208,7 @@ def encode_pieces(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_c
                 split = [marked_words(t) for t in texts]
                 cache.learn(split)
                 ids = [b"".join(map(cache.__getitem__, words)) for words in split]
+                cache.forget()
                 back = [x == t.encode() for x, t in zip(decode_ids(ids, decoded), texts, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array(back)], names=["id", "ids", "decodes"])
 
@@ -264,22 +275,22 @@ def word_lengths(path: str, packed: tuple[bytes, bytes], cap: int) -> WordLength
 def frequent_lengths(docs: DataFrame, model: str, *, id_col: str, text_col: str, size: int, sample_docs: int) -> tuple[bytes, bytes]:
     """The compact table: at most ``size`` frequent words of at most ``sample_docs`` documents, with their lengths.
 
-    It is a cache: what it holds changes how fast a count comes, never the count. Its bound is size * (KEEP_CHARS * 4 + 3)
+    It is a cache: what it holds changes how fast a count comes, never the count. The sampled texts meet in one task,
+    which counts their words, so no word is shuffled. The table's bound is size * (KEEP_CHARS * 4 + 3)
     bytes, 6 MB at the default.
     """
 
     @tidied
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
         for batch in batches:
-            seen: Counter[str] = Counter()
             for t in batch.column(0).to_pylist():
                 seen.update(w for w in marked_words(t or "") if len(w) <= KEEP_CHARS and "\0" not in w)
-            top = seen.most_common(size)
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["w", "n"])
+        top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:size]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top if w], pa.string())], names=["w"])
 
     sample = docs.where(fold(F.col(id_col), 61) == 17).select(F.col(text_col).cast("string").alias("text")).limit(sample_docs)
-    rows = sample.mapInArrow(words, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(size).collect()
-    names = [r.w for r in rows if r.w]
+    names = [r.w for r in sample.coalesce(1).mapInArrow(words, "w string").collect()]
     lens = [len(x) for x in load(model).encode(names, num_threads=1)]
     return "\0".join(names).encode(), np.array(lens, np.uint16).tobytes()
 

@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 
 from tessera.cluster import cut, drop_cut, partitions, release, ship
 from tessera.llm.memory import tidied
-from tessera.llm.text import Rolling, chunks, mix64, ragged, signed
+from tessera.llm.text import Rolling, chunks, mix64, ragged, signed, sized
 
-CHUNK_BYTES = 2_000_000
+#: Bytes of text that are hashed at once; some 150 bytes of working memory each.
+CHUNK_BYTES = 500_000
 ANCHOR = np.dtype([("a", "u8"), ("c", "u8"), ("id", "i8"), ("pos", "u4"), ("dlo", "u1"), ("dhi", "u1"), ("multi", "u1"), ("hot", "u1")])
 #: A mark says that windows lo..hi of a document repeat, and whether as later copies.
 MARK = np.dtype([("id", "i8"), ("lo", "u4"), ("hi", "u4"), ("any", "u1"), ("later", "u1")])
@@ -59,15 +60,18 @@ def suffix_array(data: bytes) -> np.ndarray:
 
 def smaller_neighbours(position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(previous, next) index with a smaller position for each place of a suffix order; -1 and n where there is none."""
-    n = len(position)
-    prev, nxt = np.full(n, -1, np.int64), np.full(n, n, np.int64)
-    stack: list[int] = []
-    for i, p in enumerate(position.tolist()):
-        while stack and position[stack[-1]] > p:
-            nxt[stack.pop()] = i
-        prev[i] = stack[-1] if stack else -1
-        stack.append(i)
-    return prev, nxt
+
+    def before(x: np.ndarray) -> np.ndarray:
+        # what lies between a place and its candidate is larger, so the candidate's own candidate may take its place
+        held, at = np.append(x, np.iinfo(np.int64).min), np.arange(-1, len(x) - 1)
+        todo = np.flatnonzero(held[at] > x)
+        while len(todo):
+            at[todo] = at[at[todo]]
+            todo = todo[held[at[todo]] > x[todo]]
+        return at
+
+    n, position = len(position), np.asarray(position, np.int64)
+    return before(position), n - 1 - before(position[::-1])[::-1]
 
 
 def longest_previous_factor(data: bytes) -> np.ndarray:
@@ -89,12 +93,20 @@ def longest_previous_factor(data: bytes) -> np.ndarray:
 def earlier_in_run(run: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(shared, later) for suffixes in order: run numbers those with a common prefix, position is their place in the text.
 
-    A suffix has a previous or next smaller position within its run exactly if it isn't the run's smallest.
+    A suffix's longest previous factor reaches as far as the run's common prefix exactly if its previous or its next
+    smaller position in suffix order lies in its run: all others have a shorter prefix in common with it.
     """
+    n = len(run)
     edge = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    size = np.diff(np.append(edge, len(run)))
-    low = np.minimum.reduceat(position, edge)
-    return np.repeat(size > 1, size), position > np.repeat(low, size)
+    size = np.diff(np.append(edge, n))
+    step = np.int64(position.max(initial=0)) + 1
+    number = np.repeat(np.arange(len(edge)), size)
+    prev, _ = smaller_neighbours(number * step + position)  # runs are walls: the one before is smaller, the one after too
+    _, nxt = smaller_neighbours((len(edge) - number) * step + position)
+    inside = (prev >= 0) & (number[prev] == number)
+    ahead = np.minimum(nxt, n - 1)
+    inside |= (nxt < n) & (number[ahead] == number)
+    return np.repeat(size > 1, size), inside
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -268,19 +280,20 @@ def match_contexts(rows: np.ndarray, left: np.ndarray, right: np.ndarray, length
     return np.concatenate(out) if out else np.zeros(0, MARK)
 
 
-def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col: str = "id", text_col: str = "text", heavy_share: int = 1000, docs_per_bucket: int = 500) -> tuple[DataFrame, int]:
+def repeated_windows(docs: DataFrame, *, length: int = 200, k: int = 64, id_col: str = "id", text_col: str = "text", heavy_share: int = 1000, bucket_bytes: int = 2_000_000) -> tuple[DataFrame, int]:
     """(packed marks by document bucket, number of buckets) of the windows that repeat."""
     if not 8 <= k <= length <= k + 255:
         raise ValueError("needs 8 <= k <= length <= k + 255")
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    n_docs, least = max(1, plain.count()), HEAVY_LEAST
-    groups = max(partitions(spark), -(-n_docs // docs_per_bucket))
-    buckets = max(partitions(spark), n_docs // 2000)
+    size = plain.agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).collect()[0]
+    n_docs, least = max(1, size.n), HEAVY_LEAST
+    groups = max(partitions(spark), -(-(size.bytes or 0) // bucket_bytes))
+    buckets = max(partitions(spark), (size.bytes or 0) // (4 * bucket_bytes))
 
     @tidied
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in sized(batches):
             data, off = ragged(part.column(1))
             ids = part.column(0).to_numpy()
             every, again = [np.zeros(0, ANCHOR)], []
