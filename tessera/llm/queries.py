@@ -36,7 +36,8 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.shingles import jaccard_join
 
-    return jaccard_join(read(spark, sf_dir, "documents"), percent=85, width=4).withColumnRenamed("id", "doc_id")
+    out = jaccard_join(read(spark, sf_dir, "documents"), percent=85, width=4)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +67,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: n_lines, n_removed, n_near (near copies at their first place), removed (their numbers from 0, after commas)."""
     from tessera.llm.lines import dedup_lines
 
-    out = dedup_lines(read(spark, sf_dir, "documents"), threshold=2, least_bytes=40, with_text=False)
+    out = dedup_lines(read(spark, sf_dir, "documents"), threshold=2, least_bytes=20, bytes_per_edit=20, with_text=False)
     numbers = F.array_join(F.col("removed").cast("array<string>"), ",")
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_removed", "n_near", numbers.alias("removed"))
 

@@ -147,7 +147,7 @@ class Cells:
 
 
 def profile(docs: DataFrame, width: int, heavy_share: int) -> DataFrame:
-    """Rows that aren't heavy: (id, n, set, cells), a set's size, identity and cell counts; heavy ones: (set = shingle, n = its count in a batch).
+    """Rows that aren't heavy: (id, n, set, cells, t), a set's size, identity and cell counts, and its text's hash; heavy ones: (set = shingle, n = its count in a batch).
 
     A shingle that more than one in ``heavy_share`` documents hold is reported by some batch, since it is that frequent
     in at least one.
@@ -178,11 +178,12 @@ def profile(docs: DataFrame, width: int, heavy_share: int) -> DataFrame:
                     pa.array(signed(np.concatenate([names, flat[edge[often]]]))),
                     pa.array([False] * len(sizes) + [True] * k),
                     pa.array(cells + [None] * k, pa.binary()),
+                    pa.concat_arrays([batch.column(2), pa.nulls(k, pa.int64())]),
                 ],
-                names=["id", "n", "set", "heavy", "cells"],
+                names=["id", "n", "set", "heavy", "cells", "t"],
             )
 
-    return docs.mapInArrow(run, "id long, n long, set long, heavy boolean, cells binary")
+    return docs.select("id", "text", F.xxhash64("text").alias("t")).mapInArrow(run, "id long, n long, set long, heavy boolean, cells binary, t long")
 
 
 def set_names(sets: list[np.ndarray]) -> np.ndarray:
@@ -258,18 +259,20 @@ def list_pairs(token: np.ndarray, rep: np.ndarray, size: np.ndarray, pos: np.nda
 
 
 def jaccard_join(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text", longest_list: int = 32, leaders: int = 4, heavy_share: int = 1000, most_heavy: int = 1_000_000) -> DataFrame:
-    """One row per document: (id, n_shingles, component_id), linking sets of Jaccard >= percent / 100.
+    """One row per document: (id, n_shingles, component_id, component, text_hash), linking sets of Jaccard >= percent / 100.
 
     Words are [^ \\t-\\r]+ of the whole text with A-Z in lower case. A document of fewer words than ``width`` is one
     shingle; one without words, or of null text, has no shingles and links with nothing. component_id is the smallest id
-    that links reach, itself included. Ids are long. Rows keep their number: a repeated row repeats its result, rows of
-    one id with several texts are told apart by their sets, a null id has a null component. Other columns are ignored.
+    that links reach, itself included; component is another name of what links reach, which documents of one id and
+    unlinked texts don't share (null without shingles), and text_hash is xxhash64 of the text. Ids are long. Rows keep
+    their number: a repeated row repeats its result, rows of one id with several texts are told apart by their sets, a
+    null id has a null component. Other columns are ignored.
     """
     spark = docs.sparkSession
     ship(spark)
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = cut(profile(plain, width, heavy_share))
-    sets = found.where("not heavy and n > 0 and id is not null").select("id", "n", "set")
+    sets = found.where("not heavy and n > 0 and id is not null").select("id", "n", "set", "t")
     n_docs = found.where("not heavy").count()
     # any subset of the frequent shingles gives a valid order, so the table sent out has a fixed bound: 16 bytes each
     heavy = found.where("heavy").groupBy("set").agg(F.sum("n").alias("n")).where(F.col("n") >= max(8, n_docs // heavy_share)).orderBy(F.desc("n"), "set").limit(most_heavy).toPandas()
@@ -282,10 +285,10 @@ def jaccard_join(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col:
     edges = _links(plain, chosen, cells, shared, percent, width, longest_list, leaders, partitions(spark))
     joined = cut(connected_components(edges).withColumnRenamed("id", "set").join(classes.select("set", "id"), "set"))
     smallest = joined.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = joined.join(smallest, "component").select("set", "component_id")
-    named = classes.join(named, "set", "left").select("set", "n", F.coalesce("component_id", "id").alias("component_id"))
-    linked = sets.join(named, ["set", "n"]).select("id", F.col("n").alias("n_shingles"), "component_id")
-    alone = found.where("not heavy and (n = 0 or id is null)").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    named = joined.join(smallest, "component").select("set", "component", "component_id")
+    named = classes.join(named, "set", "left").select("set", "n", F.coalesce("component", "set").alias("component"), F.coalesce("component_id", "id").alias("component_id"))
+    linked = sets.join(named, ["set", "n"]).select("id", F.col("n").alias("n_shingles"), "component_id", "component", F.col("t").alias("text_hash"))
+    alone = found.where("not heavy and (n = 0 or id is null)").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(None).cast("long").alias("component"), F.col("t").alias("text_hash"))
     return linked.unionByName(alone)
 
 

@@ -21,6 +21,15 @@ def staged(spark, docs, sf_dir, n):
     return docs
 
 
+def test_copies_and_rows_of_one_id(spark):
+    """Of linked rows the smallest stays; a repeated row is one document, another text of its id another."""
+    a, b = "one two three four five six seven", "red green blue white black brown grey"
+    rows = [(2, a), (1, a), (1, a), (1, b), (5, b), (None, a), (7, ""), (8, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    got = corpus_pipeline.ngram_jaccard_join(spark, docs.selectExpr("*", "1 as id", "2 as text_hash", "3 as component"), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, a), (1, b), (None, a), (7, ""), (8, None)], key=str)
+
+
 def test_stages_equal_brute_force(spark):
     """Stages 2 to 5 on what stage 1 keeps, each against a plain version."""
     sf = "/root/testdata/sf0.001"
@@ -37,7 +46,9 @@ def test_stages_equal_brute_force(spark):
     by_size: dict[int, list] = {}
     for x in first:
         by_size.setdefault(len(x.encode()), []).append(x)
-    near = {x for x in first if len(x.encode()) >= 40 for d in range(-2, 3) for y in by_size.get(len(x.encode()) + d, []) if min(len(y.encode()), 40) == 40 and first[y] < first[x] and sum(abs(x.count(c) - y.count(c)) for c in "etaoin") <= 4 and within(x.encode(), y.encode(), 2)}
+    # an edit for each 20 bytes of the shorter line, two at most
+    edits = lambda x, y: min(2, min(len(x.encode()), len(y.encode())) // 20)
+    near = {x for x in first if len(x.encode()) >= 20 for d in range(-2, 3) for y in by_size.get(len(x.encode()) + d, []) if edits(x, y) and first[y] < first[x] and sum(abs(x.count(c) - y.count(c)) for c in "etaoin") <= 4 and within(x.encode(), y.encode(), edits(x, y))}
     after = {}
     for i, t in now.items():
         lines = t.split("\n")
