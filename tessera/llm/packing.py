@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,13 +26,17 @@ KEEP_CHARS = 40
 
 
 class WordTokens(dict):
-    """Worker cache of a word-level BPE tokenizer: word -> its ids as little-endian uint32 bytes."""
+    """Worker cache of a word-level BPE tokenizer: word -> its ids as little-endian uint32 bytes.
+
+    Two generations of at most ``cap`` words each: when the younger is full it becomes the older, and words met again
+    move over, so frequent words are never encoded twice.
+    """
 
     def __init__(self, path: str, cap: int):
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cap = Tokenizer.from_file(path), cap
+        self.tokenizer, self.cap, self.older = Tokenizer.from_file(path), cap, {}
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^ \p{L}\p{N}]+").findall
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
@@ -64,11 +69,17 @@ class WordTokens(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(s in t for s in self.special) else self.split(t) for t in texts]
         if len(self) > self.cap:
+            self.older = dict(self)
             self.clear()
-        self.learn(list({w for x in split if x for w in x if w not in self}))
+        new = set(chain.from_iterable(x for x in split if x)).difference(self)
+        known = new.intersection(self.older)
+        self.update({w: self.older[w] for w in known})
+        new -= known
+        self.learn(list(new))
         out = [self.whole(t) if x is None else b"".join(map(self.__getitem__, x)) for x, t in zip(split, texts, strict=True)]
-        for w in [w for x in split if x for w in x if len(w) > KEEP_CHARS]:
-            self.pop(w, None)
+        for w in new:
+            if len(w) > KEEP_CHARS:
+                del self[w]
         return out
 
 
@@ -80,7 +91,7 @@ def word_tokens(path: str, cap: int) -> WordTokens:
     return WordTokens(path, cap)
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, cache_words: int = 250_000) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, end_id: int = 1, cache_words: int = 150_000) -> DataFrame:
     """Pieces of at most ``capacity`` ids: (id, piece, start, length, ids_crc32). A document's ids end with end_id.
 
     Null and empty texts are one piece of end_id alone. The tokenizer is one that lower-cases and splits into words
@@ -153,10 +164,12 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = 4096, per_task: int = 60_0
     """Adds (sequence_id, offset) to pieces with a ``length`` of at most ``capacity``.
 
     Pieces are dealt by a hash of their columns to tasks of about ``per_task``; each packs its own in hash order, which
-    is as good as random and the same in every attempt, and the smallest tenth last. The sequences a task leaves less than ``loose`` full are few
-    (bounded by the number of gaps); their pieces go on to the next round, where ``fan_in`` tasks' rests meet in one,
-    until one task holds the last rests and keeps the best of three orders. A null or zero length counts as 1, the end
-    mark; repeated rows are pieces of their own; no pieces give no sequences.
+    is as good as random and the same in every attempt, and the smallest tenth last. Of the sequences that a task leaves
+    less than ``loose`` full, the emptiest go on to the next round, where ``fan_in`` tasks' rests meet in one, until one
+    task holds the last rests and keeps the best of three orders. A task passes on at most per_task / fan_in pieces, so
+    every task of every round is bounded; where lengths leave more gaps than that (say all are 2,500 of 4,096), the
+    fuller sequences stay as they are. A null or zero length counts as 1, the end mark; repeated rows are pieces of
+    their own; no pieces give no sequences.
     """
     spark = pieces.sparkSession
     ship(spark)
@@ -171,6 +184,10 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = 4096, per_task: int = 60_0
             tried = [(order, sum_of_squares(length[order], capacity)) for order in (small_last(length, q) for q in ((0.1, 0.25, 1.0) if last else (0.1,)))]
             order, (where, offset, fill) = min(tried, key=lambda t: len(t[1][2]))
             done = (fill >= loose * capacity) | last
+            if not last:
+                emptiest = np.argsort(fill, kind="stable")
+                held = np.cumsum(np.bincount(where, minlength=len(fill))[emptiest])
+                done[emptiest[held > max(1, per_task // fan_in)]] = True
             return rows.iloc[order].assign(sequence_id=(np.int64(level) << 58) + (np.int64(key[0]) << 32) + where, offset=offset, done=done[where])
 
         return run

@@ -148,3 +148,17 @@ def test_round_trip_is_tried_on_whole_documents(spark, monkeypatch):
     monkeypatch.setattr("tessera.llm.pieces.marked_words", lossy)
     docs = spark.createDataFrame([(1, "a whole text"), (2, "short of a word"), (3, ""), (4, None), (5, "naïve 🎉  two ")], "doc_id long, text string")
     assert {r.id: r.decodes for r in encode_pieces(docs, MODEL).collect()} == {1: True, 2: False, 3: True, 4: True, 5: True}
+
+
+def test_packing_of_equal_lengths_bounds_every_task(spark):
+    """Pieces that no two of fit in a sequence aren't carried on beyond a task's share."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm.packing import pack_pieces
+
+    pieces = spark.range(6000).select(F.col("id"), F.lit(0).alias("piece"), (2500 + F.col("id") % 7).alias("length"))
+    out = pack_pieces(pieces, per_task=500, fan_in=4)
+    got = out.toPandas()
+    assert len(got) == 6000 and got["sequence_id"].nunique() == 6000 and (got["offset"] == 0).all()
+    rounds = (got["sequence_id"] // (1 << 58)).value_counts().to_dict()
+    assert rounds[0] >= 6000 - 12 * 125 and max(v for k, v in rounds.items() if k) <= 12 * 125
