@@ -17,24 +17,25 @@ class Limits:
 
 
 def plane_fit(samples: DataFrame, key: str = "face") -> DataFrame:
-    """key, n, a, b, c, rmse, slope, solvable, mean_z of z = a dx + b dy + c, from one aggregation of moments.
+    """key, n, a, b, c, rmse, slope, solvable, mean_z of z = a dx + b dy + c, from one aggregation of central moments.
 
-    Fewer than three samples, or samples on a line, give the level plane of their mean.
+    Central moments keep their digits at any height. Fewer than three samples, or samples on a line, give the level plane
+    of their mean.
     """
-    x, y, z = F.col("dx"), F.col("dy"), F.col("z")
-    moments = {"sz": z, "sx": x, "sy": y, "sxx": x * x, "syy": y * y, "sxy": x * y, "sxz": x * z, "syz": y * z, "szz": z * z}
-    m = samples.where("z is not null and not isnan(z)").groupBy(key).agg(F.count("*").alias("n"), *[F.sum(v).alias(k) for k, v in moments.items()])
-    n, sz, sx, sy, sxx, syy, sxy, sxz, syz, szz = (F.col(k) for k in ("n", *moments))
-    det = sxx * (syy * n - sy * sy) - sxy * (sxy * n - sy * sx) + sx * (sxy * sy - syy * sx)
-    ok = (n >= 3) & (F.abs(det) > 1e-9 * F.greatest(sxx * syy, F.lit(1e-12)) * n)
-    da = sxz * (syy * n - sy * sy) - sxy * (syz * n - sy * sz) + sx * (syz * sy - syy * sz)
-    db = sxx * (syz * n - sz * sy) - sxz * (sxy * n - sy * sx) + sx * (sxy * sz - syz * sx)
-    dc = sxx * (syy * sz - sy * syz) - sxy * (sxy * sz - syz * sx) + sxz * (sxy * sy - syy * sx)
-    m = m.withColumn("solvable", ok).withColumn("det", det)
-    fit = m.withColumn("a", F.when(ok, da / F.col("det")).otherwise(0.0)).withColumn("b", F.when(ok, db / F.col("det")).otherwise(0.0)).withColumn("c", F.when(ok, dc / F.col("det")).otherwise(sz / n))
-    a, b, c = F.col("a"), F.col("b"), F.col("c")
-    rest = szz - 2 * (a * sxz + b * syz + c * sz) + a * a * sxx + b * b * syy + n * c * c + 2 * (a * b * sxy + a * c * sx + b * c * sy)
-    return fit.select(key, "n", "a", "b", "c", F.sqrt(F.greatest(rest, F.lit(0.0)) / n).alias("rmse"), F.when(F.col("solvable"), F.hypot(a, b)).otherwise(0.0).alias("slope"), "solvable", (sz / n).alias("mean_z"))
+    known = samples.where("z is not null and not isnan(z)")
+    pairs = {"xy": ("dx", "dy"), "xz": ("dx", "z"), "yz": ("dy", "z")}
+    m = known.groupBy(key).agg(
+        F.count("*").alias("n"), *[F.avg(c).alias(f"m_{c}") for c in ("dx", "dy", "z")], *[F.var_pop(c).alias(f"v_{c}") for c in ("dx", "dy", "z")], *[F.covar_pop(*p).alias(f"c_{k}") for k, p in pairs.items()]
+    )
+    n, x, y, xy, xz, yz = (F.col(c) for c in ("n", "v_dx", "v_dy", "c_xy", "c_xz", "c_yz"))
+    spread = x * y - xy * xy
+    size = n * (x + F.pow("m_dx", F.lit(2))) * n * (y + F.pow("m_dy", F.lit(2)))  # of the plain second moments, for scale
+    ok = (n >= 3) & (F.pow(n, F.lit(2)) * spread > 1e-9 * F.greatest(size, F.lit(1e-12)))
+    slope = lambda one, other, own: F.when(F.col("solvable"), (one * own - other * xy) / F.col("spread")).otherwise(0.0)
+    fit = m.withColumns({"solvable": ok, "spread": spread}).withColumns({"a": slope(xz, yz, y), "b": slope(yz, xz, x)})
+    left = F.greatest(F.col("v_z") - F.col("a") * xz - F.col("b") * yz, F.lit(0.0))
+    level = F.col("m_z") - F.col("a") * F.col("m_dx") - F.col("b") * F.col("m_dy")
+    return fit.select(key, "n", "a", "b", level.alias("c"), F.sqrt(left).alias("rmse"), F.hypot("a", "b").alias("slope"), "solvable", F.col("m_z").alias("mean_z"))
 
 
 def elevation(samples: DataFrame, fit: DataFrame, method: str, key: str = "face") -> DataFrame:
