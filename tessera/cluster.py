@@ -32,7 +32,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees. A session without one (tests) gets one under /tmp."""
+    """The folder every executor sees. A local session without one (tests) gets one under /tmp; on a cluster it is an error."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir", None)
     if folder is None:
@@ -40,28 +40,39 @@ def shared_dir(spark: SparkSession) -> str:
         if current.isDefined():
             folder = current.get()
     if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         folder = "file:///tmp/checkpoints/tessera"
         sc.setCheckpointDir(folder)
     return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder as Parquet and reads it back: short lineage, no lost blocks."""
+    """Writes df to the shared folder as Parquet and reads it back: short lineage, no lost blocks.
+
+    What a failed write leaves behind is removed; a whole one stays until drop_cut, as its readers are lazy.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    except Exception:
+        _remove(spark, path)
+        raise
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Removes a table made by cut() once nothing reads it any more."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/tessera-" in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _remove(spark, folder)
 
 
 def release(spark: SparkSession) -> None:
