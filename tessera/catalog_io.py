@@ -277,7 +277,7 @@ def raster_code_areas(spark, sf_dir):
     return dem.code_areas(pixels(spark, sf_dir), RASTER, spatial.geometry(spark, sf_dir), [1, 2, 3, 4, 5], 40.0)
 
 
-@query(chain(PIX) + "SELECT \"row\", col, z, code FROM pix WHERE \"row\" BETWEEN 689 AND 751 AND col BETWEEN 10 AND 71")
+@query(chain(PIX) + "SELECT \"row\", col, z, code FROM pix WHERE \"row\" BETWEEN 689 AND 751 AND col BETWEEN 10 AND 70")
 def raster_window(spark, sf_dir):
     return dem.windowed(pixels(spark, sf_dir), RASTER, (150.0, 4540.0, 650.0, 5060.0), 50.0)
 
