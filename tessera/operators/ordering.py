@@ -119,7 +119,8 @@ def permuted_arrays(rows: DataFrame, new_to_old: list[int]) -> DataFrame:
 
     A row of another width is an error.
     """
-    n = len(new_to_old)
-    order = F.array(*[F.lit(i) for i in new_to_old])
-    moved = F.transform(order, lambda i: F.element_at("vals", (i + 1).cast("int")))
-    return rows.withColumn("vals", F.when(F.size("vals") == n, moved).otherwise(F.raise_error(F.lit("a row of another width"))))
+    # the order is one row of data that is sent out whole, not a literal for each face in the plan
+    order = F.broadcast(rows.sparkSession.createDataFrame([(list(new_to_old),)], "order__ array<int>"))
+    moved = F.transform("order__", lambda i: F.element_at("vals", i + 1))
+    t = rows.crossJoin(order)
+    return t.withColumn("vals", F.when(F.size("vals") == len(new_to_old), moved).otherwise(F.raise_error(F.lit("a row of another width")))).drop("order__")

@@ -122,9 +122,18 @@ def segments(lines: DataFrame) -> DataFrame:
 
 
 def near_cells(df: DataFrame, cell: float, reach: float) -> DataFrame:
-    """A row for each grid cell within ``reach`` of a segment's box."""
-    span = lambda a, b: g.grid_cells(F.least(a, b) - reach, F.greatest(a, b) + reach, cell)
-    return df.withColumn("gx", F.explode(span("ax", "bx"))).withColumn("gy", F.explode(span("ay", "by")))
+    """A row for each grid cell that may hold a point within ``reach`` of a segment.
+
+    For each column of cells only the rows beside the segment's part in that column count, so a long slanting segment
+    meets as many cells as it is long, not its whole box.
+    """
+    wide = reach + 1e-9 * cell
+    t = df.withColumn("gx", F.explode(g.grid_cells(F.least("ax", "bx") - wide, F.greatest("ax", "bx") + wide, cell)))
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    at = [F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.when(dx != 0, (edge - F.col("ax")) / dx))) for edge in (F.col("gx") * cell - wide, (F.col("gx") + 1) * cell + wide)]
+    lo, hi = F.when(dx != 0, F.least(*at)).otherwise(0.0), F.when(dx != 0, F.greatest(*at)).otherwise(1.0)
+    ends = [F.col("ay") + k * dy for k in (lo, hi)]
+    return t.withColumn("gy", F.explode(g.grid_cells(F.least(*ends) - wide, F.greatest(*ends) + wide, cell)))
 
 
 def match(edges: DataFrame, features: DataFrame, tolerance: float, cell: float) -> DataFrame:
