@@ -38,9 +38,15 @@ def r6(c: str | Column) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def _rounded(c: str, places: int) -> Column:
+    """The double itself rounded, as SQL does, not its shortest decimal text, which may be a tie that the double isn't."""
+    scaled = F.round(F.col(c) * 10.0**places, 0) / 10.0**places
+    return F.when(F.abs(scaled) < float("inf"), scaled).otherwise(F.col(c)).alias(c)
+
+
 def rounded(df: DataFrame, places: int = 6, four: tuple[str, ...] = ("area", "rmse")) -> DataFrame:
     """All doubles rounded; infinities stay."""
-    return df.select(*[F.round(c, 4 if c in four else places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[_rounded(c, 4 if c in four else places) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def chain(*parts: str) -> str:
