@@ -109,6 +109,18 @@ def usual_froude(special_default: float | None, output_default: float | None) ->
     return within[0] if within[0] > 0 else within[1]
 
 
+def _offsets(faces: DataFrame) -> DataFrame:
+    """block, off: the largest cn of the blocks before, added up."""
+    most = faces.groupBy("block").agg(F.max("cn").alias("most"))
+    before = F.sum("most").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))  # a row for each block
+    return F.broadcast(most.withColumn("off", F.coalesce(before, F.lit(0))).select("block", "off"))
+
+
+def merged_faces(faces: DataFrame) -> DataFrame:
+    """The faces of merged_blocks, which need no edge rows."""
+    return faces.join(_offsets(faces), "block").select("block", (F.col("cn") + F.col("off")).alias("cn"))
+
+
 def merged_blocks(faces: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One mesh of several blocks' exports: (faces, edge rows).
 
@@ -119,9 +131,7 @@ def merged_blocks(faces: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFra
     """
     missing = F.greatest(*[(F.col(c).isNull() | (F.isnan(c) if c in ("x", "y") else F.lit(False))).cast("int") for c in ("cn", "ln", "node", "start", "end", "x", "y")]) == 1
     rows = rows.withColumn("cn", F.when(missing, F.raise_error(F.lit("an edge row without a number")).cast(rows.schema["cn"].dataType)).otherwise(F.col("cn")))
-    most = faces.groupBy("block").agg(F.max("cn").alias("most"))
-    offset = F.broadcast(most.withColumn("off", F.coalesce(F.sum("most").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("block", "off"))
-    out_faces = faces.join(offset, "block").select("block", (F.col("cn") + F.col("off")).alias("cn"))
+    offset, out_faces = _offsets(faces), merged_faces(faces)
     seq = F.struct("block", "cn", "ln", "node")
     placed = rows.withColumn("px", F.rint(F.col("x") * 1e4).cast("long")).withColumn("py", F.rint(F.col("y") * 1e4).cast("long"))
     where = topology.dense_ids(placed.groupBy("px", "py").agg(F.min(seq).alias("seq")), ["seq"], "nid").select("px", "py", "nid")
