@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.cluster import ship
+from tessera.cluster import cut, partitions, ship
+from tessera.components import connected_components
 from tessera.operators.topology import dense_ids
 
+#: Faces that a kernel of bandwidth_order holds, as long as components are smaller.
+FACES_PER_TASK = 100_000
+
 
 def vertex_order(edges: DataFrame) -> DataFrame:
     """vertex, new (from 1): by the first face that touches it, then by number. edges: v1, v2, face_left, face_right."""
@@ -47,41 +52,37 @@ def locality(edges: DataFrame) -> DataFrame:
 
 
 def components(pairs: DataFrame, faces: DataFrame) -> DataFrame:
-    """face, component: the smallest face that pairs (e0, e1) reach. Rounds of smallest neighbours and pointer jumps."""
-    from tessera.cluster import cut
-
-    both = cut(pairs.select(F.col("e0").alias("face"), F.col("e1").alias("other")).unionByName(pairs.select(F.col("e1").alias("face"), F.col("e0").alias("other"))))
-    now = cut(faces.select("face", F.col("face").alias("component")))
-    while True:
-        low = both.join(now.select(F.col("face").alias("other"), F.col("component").alias("c")), "other").groupBy("face").agg(F.min("c").alias("c"))
-        t = now.join(low, "face", "left").select("face", F.col("component").alias("old"), F.least("component", F.coalesce("c", "component")).alias("low"))
-        # what a face's old name was lowered to holds for all of that name
-        pull = t.groupBy(F.col("old").alias("name")).agg(F.min("low").alias("pull"))
-        named = t.join(pull, F.col("old") == F.col("name")).select("face", "old", F.least("low", "pull").alias("low"))
-        nxt = cut(named.join(pull.select(F.col("name").alias("low"), F.col("pull").alias("jump")), "low", "left").select("face", "old", F.least("low", F.coalesce("jump", "low")).alias("component")))
-        changed = nxt.where("old <> component").limit(1).count()
-        now = nxt.drop("old")
-        if not changed:
-            return now
+    """face, component: the smallest face that pairs (e0, e1) reach, itself included."""
+    linked = connected_components(pairs, "e0", "e1").withColumnRenamed("id", "face")
+    return faces.select("face").join(linked, "face", "left").select("face", F.coalesce("component", "face").alias("component"))
 
 
 def bandwidth_order(pairs: DataFrame, faces: DataFrame, by: str = "component") -> DataFrame:
     """face, new (from 1): reverse Cuthill-McKee inside each component of face pairs (e0, e1).
 
-    Breadth-first orders are sequential, so each component is one kernel; faces has face and ``by``. Components follow
-    one another by their smallest face, the whole order is then reversed.
+    Breadth-first orders are sequential, so each component is ordered as a whole; a kernel holds many components, dealt
+    by hash, and takes them one after another. faces has face and ``by``. Components follow one another by their smallest
+    face, the whole order is then reversed.
     """
     ship(pairs.sparkSession)
-    named = pairs.join(faces.select(F.col("face").alias("e0"), by), "e0").select(by, "e0", "e1")
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        order = cuthill_mckee(left["face"].tolist(), list(zip(right["e0"], right["e1"], strict=True)))
-        return pd.DataFrame({"first": min(order), "face": order, "pos": range(len(order))})
-
-    named = named.select(F.col(by).alias("part"), "e0", "e1")
-    placed = faces.groupBy(by).cogroup(named.groupBy("part")).applyInPandas(run, "first long, face long, pos long")
-    from tessera.cluster import cut
-
+    faces = cut(faces.select("face", F.col(by).alias("part")))
+    named = pairs.join(faces.select(F.col("face").alias("e0"), "part"), "e0").select(F.col("part").alias("of"), "e0", "e1")
+    tasks = max(partitions(pairs.sparkSession), faces.count() // FACES_PER_TASK)
+    task = lambda c: F.pmod(F.xxhash64(c), F.lit(tasks))
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        left, right = left.sort_values(["part", "face"]), right.sort_values("of")
+        face, e0, e1 = left["face"].to_numpy(), right["e0"].to_numpy(), right["e1"].to_numpy()
+        parts, start = np.unique(left["part"].to_numpy(), return_index=True)
+        ends = np.append(start[1:], len(face))
+        lo, hi = np.searchsorted(right["of"].to_numpy(), parts), np.searchsorted(right["of"].to_numpy(), parts, "right")
+        order = np.empty_like(face)
+        for a, b, p, q in zip(start.tolist(), ends.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            order[a:b] = cuthill_mckee(face[a:b].tolist(), list(zip(e0[p:q].tolist(), e1[p:q].tolist(), strict=True)))
+        size = ends - start
+        return pd.DataFrame({"first": np.repeat(face[start], size), "face": order, "pos": np.arange(len(face)) - np.repeat(start, size)})
+
+    placed = faces.withColumn("task", task("part")).groupBy("task").cogroup(named.withColumn("task", task("of")).groupBy("task")).applyInPandas(run, "first long, face long, pos long")
     numbered = dense_ids(cut(placed), ["first", "pos"], "fwd", first=0)
     n = numbered.agg(F.count("*").alias("n"))
     return numbered.crossJoin(F.broadcast(n)).select("face", (F.col("n") - F.col("fwd")).alias("new"))
