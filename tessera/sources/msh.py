@@ -16,16 +16,21 @@ class MeshFileError(ValueError):
 def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(elements, nodes) of .msh files: eid from 0, triangles first, kind, n0..n3 and surface; id from 0, x, y, z.
 
-    Lines are told apart by the section that they lie in, found as the last $ line before them in the file.
+    Lines are told apart by the section that they lie in: the last $ line before them in their file. Only the $ lines, a
+    few, meet in one place; a file is read in splits, and a line's place is its split's start and its number there.
     """
-    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
-    w = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)  # one file's lines are in order
-    rows = raw.withColumn("section", F.last(F.when(F.col("line").startswith("$"), F.trim("line")), ignorenulls=True).over(w)).where("not startswith(line, '$') and trim(line) <> ''")
-    parts = rows.withColumn("p", F.split(F.trim("line"), r"\s+"))
+    raw = spark.read.text(path).select("_metadata.file_path", F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("number")).alias("at"), F.regexp_replace("value", r"\r$", "").alias("line"))
+    marks = raw.where("startswith(line, '$')").select("file_path", "at", F.trim("line").alias("section"))
+    w = Window.partitionBy("file_path").orderBy("at")  # a row for each $ line
+    spans = marks.withColumn("until", F.lead("at").over(w))
+    inside = (F.col("at") > F.col("from")) & (F.col("until").isNull() | (F.col("at") < F.col("until")))
+    rows = raw.where("not startswith(line, '$') and trim(line) <> ''").join(F.broadcast(spans.withColumnsRenamed({"at": "from", "file_path": "of"})), (F.col("file_path") == F.col("of")) & inside)
+    # words hang on the span too: the planner may test them on pairs of a line and another section
+    words = lambda section: rows.withColumn("p", F.when((F.col("section") == section) & inside, F.split(F.trim("line"), r"\s+")))
     num = lambda i, t="long": F.get("p", F.lit(i)).cast(t)
-    nodes = parts.where("section = '$Nodes' and size(p) = 4").select(num(0).alias("tag"), num(1, "double").alias("x"), num(2, "double").alias("y"), num(3, "double").alias("z"))
+    nodes = words("$Nodes").where("size(p) = 4").select(num(0).alias("tag"), num(1, "double").alias("x"), num(2, "double").alias("y"), num(3, "double").alias("z"))
     head = num(2).cast("int")
-    cells = parts.where("section = '$Elements' and size(p) > 3").select(num(0).alias("tag"), num(1).alias("kind"), F.when(head > 1, num(4)).otherwise(F.lit(0)).cast("int").alias("surface"), F.expr("slice(p, int(p[2]) + 4, size(p))").alias("c")).where("kind in (2, 3)")
+    cells = words("$Elements").where("size(p) > 3").select(num(0).alias("tag"), num(1).alias("kind"), F.when(head > 1, num(4)).otherwise(F.lit(0)).cast("int").alias("surface"), F.expr("slice(p, int(p[2]) + 4, size(p))").alias("c")).where("kind in (2, 3)")
     return numbered(cells.select("tag", F.when(F.col("kind") == 2, 3).otherwise(4).alias("kind"), "surface", *[F.get("c", F.lit(i)).cast("long").alias(f"t{i}") for i in range(4)]), nodes)
 
 

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tessera import catalog
-from tessera.operators import special, terrain
+from tessera.operators import ordering, special, tables, terrain
+from tessera.sources import msh
 
 
 def test_whole_numbers_give_planes_rounded_once(spark):
@@ -45,3 +46,38 @@ def test_picks_are_the_same_in_rounds_and_in_one_task(spark):
             kept.append(i)
     for in_task in (0, 10, 1000):
         assert sorted(r.feature for r in special.clear_subset(items, conflicts, in_task=in_task).collect()) == sorted(kept)
+
+
+def test_many_components_are_ordered_in_few_tasks(spark):
+    parts = [[(10 * p + a, 10 * p + b) for a, b in ((0, 3), (3, 1), (1, 4), (4, 0), (4, 2))[: p % 6]] for p in range(12)]
+    pairs, faces = [x for p in parts for x in p], sorted({10 * p + i for p in range(12) for i in range(5)})
+    links = spark.createDataFrame(pairs, "e0 long, e1 long")
+    part = ordering.components(links, spark.createDataFrame([(f,) for f in faces], "face long"))
+    low = {r.face: r.component for r in part.collect()}
+    groups = {c: [f for f in faces if low[f] == c] for c in sorted(set(low.values()))}
+    assert sorted(low) == faces and all(low[a] == low[b] for a, b in pairs) and all(min(g) == c for c, g in groups.items())
+    order = [f for g in groups.values() for f in ordering.cuthill_mckee(g, [x for x in pairs if x[0] in g])]
+    got = {r.face: r.new for r in ordering.bandwidth_order(links, part).collect()}
+    assert got == {f: len(order) - k for k, f in enumerate(order)}
+
+
+def test_mesh_files_are_read_in_splits(spark, tmp_path):
+    n = 3000
+    nodes = spark.createDataFrame([(i, float(i), float(i % 7)) for i in range(n + 2)], "id long, x double, y double")
+    elem = spark.createDataFrame([(i, 3, i, i + 1, i + 2, None, 1) for i in range(n)], "eid long, kind int, n0 long, n1 long, n2 long, n3 long, surface int")
+    msh.write(elem, nodes, str(tmp_path / "m"))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        assert spark.read.text(str(tmp_path / "m")).rdd.getNumPartitions() > 5  # a file isn't one row of one task
+        cells, places = msh.read(spark, str(tmp_path / "m"))
+        assert sorted((r.eid, r.n0, r.n1, r.n2) for r in cells.collect()) == [(i, i, i + 1, i + 2) for i in range(n)]
+        assert sorted((r.id, r.x) for r in places.collect()) == [(i, float(i)) for i in range(n + 2)]
+        assert "wholetext" not in cells._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_merged_faces_need_no_rows(spark):
+    faces = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (3, 1)], "block long, cn long")
+    assert sorted((r.block, r.cn) for r in tables.merged_faces(faces).collect()) == [(1, 1), (1, 2), (2, 3), (3, 4)]
