@@ -258,6 +258,33 @@ def list_pairs(token: np.ndarray, rep: np.ndarray, size: np.ndarray, pos: np.nda
     return (cat(xs, np.int64), cat(ys, np.int64), cat(ts, np.uint64)), in_long
 
 
+def window_most(v: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The largest of v[a:b] for each window, -1 for empty ones."""
+    out = np.full(len(a), -1, np.int64)
+    width, most = np.maximum(b - a, 0), 1
+    while (width >= most).any():
+        mine = np.flatnonzero((width >= most) & (width < 2 * most))
+        out[mine] = np.maximum(v[a[mine]], v[b[mine] - most])
+        v = np.maximum(v[:-most], v[most:])
+        most *= 2
+    return out
+
+
+def partnered(token: np.ndarray, size: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Which postings have another in their list with which sizes and positions leave enough overlap.
+
+    Postings are whole lists sorted by (token, size, pos). One of size n at place k reaches sizes up to the largest m
+    with percent * (n + m) <= (100 + percent) * (n - k), and two may link if each reaches the other's size.
+    """
+    if not len(token):
+        return np.zeros(0, bool)
+    reach = (size - pos) * (100 + percent) // percent - size
+    group = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) << 32
+    key, at = group + size, np.arange(len(token))
+    lo, hi = np.searchsorted(key, group - (-percent * size // 100)), np.searchsorted(key, group + np.maximum(reach, -1) + 1)
+    return np.maximum(window_most(reach, lo, np.minimum(at, hi)), window_most(reach, np.maximum(lo, at + 1), hi)) >= size
+
+
 def jaccard_join(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text", longest_list: int = 32, leaders: int = 4, heavy_share: int = 1000, most_heavy: int = 1_000_000) -> DataFrame:
     """One row per document: (id, n_shingles, component_id, component, text_hash), linking sets of Jaccard >= percent / 100.
 
@@ -347,6 +374,8 @@ def _links(plain: DataFrame, chosen: DataFrame, cells: DataFrame, shared, percen
         pairs = pd.DataFrame({"x": np.minimum(x, y), "y": np.maximum(x, y), "token": signed(t), "size": np.zeros(len(x), np.int64)})
         pairs = pairs.drop_duplicates(["x", "y"])
         # postings of long lists go on as they are: their size is positive, and y is their position
+        if key[0] < buckets:  # whole lists
+            in_long[in_long] = partnered(token[in_long], size[in_long], pos[in_long], percent)
         rest = pd.DataFrame({"x": rep[in_long], "y": pos[in_long], "token": signed(token[in_long]), "size": size[in_long]})
         return pd.concat([pairs, rest])
 
