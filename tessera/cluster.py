@@ -75,6 +75,11 @@ def drop_cut(df: DataFrame) -> None:
             _remove(spark, folder)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the mesh: it is met by sort and merge, never by a table built in the driver."""
+    return df.hint("merge")
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished steps now rather than at the next full collection."""
     import gc

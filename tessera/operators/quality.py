@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.cluster import spread
 from tessera.functions import geometry as g
 from tessera.operators import topology
 
@@ -28,7 +29,7 @@ class Limits:
 def corners(elem: DataFrame, nodes: DataFrame) -> DataFrame:
     """Elements with x0, y0 .. x3, y3 beside their node ids. One shuffle by node, one by element."""
     long = elem.select("eid", "kind", F.posexplode(F.array("n0", "n1", "n2", "n3")).alias("k", "id")).where("id is not null")
-    placed = long.join(nodes.select("id", "x", "y"), "id")
+    placed = long.join(spread(nodes.select("id", "x", "y")), "id")
     pick = [F.max(F.when(F.col("k") == i, F.col(a))).alias(f"{a}{i}") for i in range(4) for a in ("x", "y")]
     return placed.groupBy("eid", "kind").agg(*pick)
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.cluster import cut, partitions, ship
+from tessera.cluster import cut, partitions, ship, spread
 from tessera.functions import geometry as g
 from tessera.components import connected_components
 from tessera.operators import topology
@@ -39,19 +39,19 @@ def merge_candidates(elem: DataFrame, half: DataFrame, geom: DataFrame, constrai
     """
     tri = geom.where("kind = 3").withColumn("area", F.abs(g.signed_area([(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(3)]))).select("eid", "area")
     ids = elem.where("kind = 3").select("eid", "n0", "n1", "n2")
-    sides = topology.neighbours(half).where("neighbour >= 0").withColumns({"lo": F.least("na", "nb"), "hi": F.greatest("na", "nb")}).join(constrained.select("lo", "hi"), ["lo", "hi"], "left_anti")
-    inner = tri.where(F.col("area") < rules.min_area).join(topology.boundary_touching(half).select("eid"), "eid", "left_anti")
-    small = sides.join(inner, "eid").join(ids, "eid")
+    sides = topology.neighbours(half).where("neighbour >= 0").withColumns({"lo": F.least("na", "nb"), "hi": F.greatest("na", "nb")}).join(spread(constrained.select("lo", "hi")), ["lo", "hi"], "left_anti")
+    inner = tri.where(F.col("area") < rules.min_area).join(spread(topology.boundary_touching(half).select("eid")), "eid", "left_anti")
+    small = sides.join(spread(inner), "eid").join(spread(ids), "eid")
     off = lambda c: (F.col(c) != F.col("na")) & (F.col(c) != F.col("nb"))
     apex = F.when(off("m0"), F.col("m0")).when(off("m1"), F.col("m1")).otherwise(F.col("m2"))
     across = ids.select(F.col("eid").alias("neighbour"), F.col("n0").alias("m0"), F.col("n1").alias("m1"), F.col("n2").alias("m2"))
     mine = F.when(F.col("k") == 0, F.col("n2")).when(F.col("k") == 1, F.col("n0")).otherwise(F.col("n1"))
-    quads = small.join(across, "neighbour").select(F.col("eid").alias("small"), F.col("neighbour").alias("other"), F.col("area").alias("small_area"), mine.alias("q0"), F.col("na").alias("q1"), apex.alias("q2"), F.col("nb").alias("q3"))
-    at = elem.select("eid", F.posexplode(F.array("n0", "n1", "n2")).alias("i", "id")).join(geom, "eid")
+    quads = small.join(spread(across), "neighbour").select(F.col("eid").alias("small"), F.col("neighbour").alias("other"), F.col("area").alias("small_area"), mine.alias("q0"), F.col("na").alias("q1"), apex.alias("q2"), F.col("nb").alias("q3"))
+    at = elem.select("eid", F.posexplode(F.array("n0", "n1", "n2")).alias("i", "id")).join(spread(geom), "eid")
     pick = lambda a: F.when(F.col("i") == 0, F.col(f"{a}0")).when(F.col("i") == 1, F.col(f"{a}1")).otherwise(F.col(f"{a}2")).alias(a)
     place = at.select("id", pick("x"), pick("y")).dropDuplicates(["id"])
     for i in range(4):
-        quads = quads.join(place.select(F.col("id").alias(f"q{i}"), F.col("x").alias(f"x{i}"), F.col("y").alias(f"y{i}")), f"q{i}")
+        quads = quads.join(spread(place.select(F.col("id").alias(f"q{i}"), F.col("x").alias(f"x{i}"), F.col("y").alias(f"y{i}"))), f"q{i}")
     ring = [(F.col(f"x{i}"), F.col(f"y{i}")) for i in range(4)]
     sizes, angles = g.side_lengths(ring), g.interior_angles(ring)
     t = quads.withColumns({"jacobian": F.least(*g.corner_jacobians(ring)), "area": g.signed_area(ring), "aspect": F.greatest(*sizes) / F.least(*sizes), "low": F.least(*angles), "high": F.greatest(*angles)})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.cluster import cut, spread
+
 
 def half_edges(elem: DataFrame) -> DataFrame:
     """eid, k, na, nb for each side of each element, in its order."""
@@ -32,7 +34,7 @@ def neighbours(half: DataFrame) -> DataFrame:
     """half with neighbour: the other element of an edge of two sides and two elements, -1 for any other edge."""
     ends = keyed(half).groupBy("lo", "hi").agg(F.count("*").alias("n"), F.min("eid").alias("e0"), F.max("eid").alias("e1"))
     other = F.when((F.col("n") == 2) & (F.col("e0") != F.col("e1")), F.when(F.col("eid") == F.col("e0"), F.col("e1")).otherwise(F.col("e0"))).otherwise(F.lit(-1))
-    return keyed(half).join(ends, ["lo", "hi"]).select("eid", "k", "na", "nb", other.cast("long").alias("neighbour"))
+    return keyed(half).join(spread(ends), ["lo", "hi"]).select("eid", "k", "na", "nb", other.cast("long").alias("neighbour"))
 
 
 def boundary_nodes(half: DataFrame) -> DataFrame:
@@ -42,7 +44,7 @@ def boundary_nodes(half: DataFrame) -> DataFrame:
 
 def boundary_touching(half: DataFrame, band: DataFrame | None = None) -> DataFrame:
     """eid of elements with a side whose both ends are boundary nodes, or in the band (eid)."""
-    nodes = boundary_nodes(half)
+    nodes = spread(boundary_nodes(half))
     found = half.join(nodes.withColumnRenamed("id", "na"), "na", "left_semi").join(nodes.withColumnRenamed("id", "nb"), "nb", "left_semi").select("eid")
     return (found if band is None else found.unionByName(band.select("eid"))).distinct()
 
@@ -60,8 +62,6 @@ def dense_ids(df: DataFrame, keys: list[str], name: str, first: int = 1) -> Data
     only one count a partition meets in one place.
     """
     placed = df.repartitionByRange(*[F.col(k) for k in keys]).withColumn("part__", F.spark_partition_id())
-    from tessera.cluster import cut
-
     placed = cut(placed)  # the ranges come from a sample: they must not be drawn again
     counts = placed.groupBy("part__").agg(F.count("*").alias("n__"))
     before = F.sum("n__").over(Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1))
