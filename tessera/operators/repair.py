@@ -69,7 +69,7 @@ def greedy_merges(candidates: DataFrame, *, per_task: int = 20_000) -> DataFrame
     """
     ship(candidates.sparkSession)
     held = cut(candidates)
-    both = held.join(connected_components(held, "small", "other").select(F.col("id").alias("small"), F.col("component").alias("block")), "small")
+    both = held.join(spread(connected_components(held, "small", "other").select(F.col("id").alias("small"), F.col("component").alias("block"))), "small")
     tasks = max(partitions(held.sparkSession), held.count() // per_task)
     both = both.select("other", "small", *[c for c in both.columns if c not in ("other", "small")])
 
