@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.cluster import spread
 from tessera.operators import topology
 
 # Kinds of special edges, their priority where lines compete, and those that stay closed.
@@ -135,16 +136,16 @@ def merged_blocks(faces: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFra
     seq = F.struct("block", "cn", "ln", "node")
     placed = rows.withColumn("px", F.rint(F.col("x") * 1e4).cast("long")).withColumn("py", F.rint(F.col("y") * 1e4).cast("long"))
     where = topology.dense_ids(placed.groupBy("px", "py").agg(F.min(seq).alias("seq")), ["seq"], "nid").select("px", "py", "nid")
-    local = placed.select("block", "node", "px", "py").distinct().join(where, ["px", "py"]).groupBy("block", "node").agg(F.min("nid").alias("nid"))
+    local = placed.select("block", "node", "px", "py").distinct().join(spread(where), ["px", "py"]).groupBy("block", "node").agg(F.min("nid").alias("nid"))
     t = rows.join(offset, "block").withColumn("gcn", F.col("cn") + F.col("off"))
     for name in ("node", "start", "end"):
-        t = t.join(local.select("block", F.col("node").alias(name), F.col("nid").alias(f"g_{name}")), ["block", name])
+        t = t.join(spread(local.select("block", F.col("node").alias(name), F.col("nid").alias(f"g_{name}"))), ["block", name])
     t = t.withColumn("lo", F.least("g_start", "g_end")).withColumn("hi", F.greatest("g_start", "g_end"))
     pairs = t.groupBy("lo", "hi", "gcn").agg(F.min(seq).alias("seq"), F.count("*").alias("n"))
     twos = F.when(F.col("n") != 2, F.raise_error(F.lit("an edge of a cell without exactly two rows")).cast("long")).otherwise(F.col("gcn"))
     lines = topology.dense_ids(pairs.groupBy("lo", "hi").agg(F.min("seq").alias("seq"), F.count(twos).alias("cells")), ["seq"], "gln").select("lo", "hi", "gln", "cells")
     cells = F.when(F.col("cells") > 2, F.raise_error(F.lit("an edge of more than two cells"))).otherwise(F.when(F.col("cells") == 2, 0).otherwise(1))
-    return out_faces, t.join(lines, ["lo", "hi"]).select(F.col("gcn").alias("cn"), F.col("gln").alias("ln"), F.col("g_node").alias("node"), F.col("g_start").alias("start"), F.col("g_end").alias("end"), "x", "y", cells.cast("int").alias("id"))
+    return out_faces, t.join(spread(lines), ["lo", "hi"]).select(F.col("gcn").alias("cn"), F.col("gln").alias("ln"), F.col("g_node").alias("node"), F.col("g_start").alias("start"), F.col("g_end").alias("end"), "x", "y", cells.cast("int").alias("id"))
 
 
 def block_summary(t: DataFrame) -> DataFrame:
