@@ -197,7 +197,7 @@ def clipped_segments(segments: DataFrame, domain: DataFrame, cell: float) -> Dat
     """The pieces of segments (line, i, ax, ay, bx, by) inside polygons (polygon, ring, holes): line, i, polygon, t0, t1 and ends.
 
     A segment is cut where it meets a ring's sides; a piece is inside if its middle is, by crossings counted to its right.
-    Segments and sides meet through grid cells, so neither side of the join is a cross product.
+    Segments and sides meet through strips, so neither side of the join is a cross product.
     """
     rings = domain.select("polygon", F.explode(F.concat(F.array("ring"), F.col("holes"))).alias("r"))
     n = F.size("r")
@@ -216,8 +216,12 @@ def clipped_segments(segments: DataFrame, domain: DataFrame, cell: float) -> Dat
     piece = with_cuts.select("line", "i", "ax", "ay", "bx", "by", F.explode(F.zip_with(F.slice("ts", 1, m - 1), F.slice("ts", 2, m - 1), lambda a, b: F.struct(a.alias("t0"), b.alias("t1")))).alias("w")).select("line", "i", "ax", "ay", "bx", "by", "w.t0", "w.t1").where("t1 > t0")
     mid = (c("t0") + c("t1")) / 2
     at = piece.withColumns({"mx": c("ax") + mid * (c("bx") - c("ax")), "my": c("ay") + mid * (c("by") - c("ay"))}).withColumn("gy", F.floor(c("my") / cell))
-    over = at.join(rows(side, "py", "qy"), "gy").where(((c("py") > c("my")) != (c("qy") > c("my"))) & (c("mx") < (c("qx") - c("px")) * (c("my") - c("py")) / (c("qy") - c("py")) + c("px")))
-    inside = over.groupBy("line", "i", "polygon", "t0", "t1", "ax", "ay", "bx", "by").count().where("count % 2 = 1")
+    # a polygon's sides of a strip are one row, so crossings are counted where the two meet and only pieces inside go on
+    x = F.struct(F.min(F.least("px", "qx")).alias("lo"), F.max(F.greatest("px", "qx")).alias("hi"))
+    strips = rows(side, "py", "qy").groupBy("gy", "polygon").agg(x.alias("x"), F.collect_list(F.struct("px", "py", "qx", "qy")).alias("sides"))
+    right = lambda s: ((s["py"] > c("my")) != (s["qy"] > c("my"))) & (c("mx") < (s["qx"] - s["px"]) * (c("my") - s["py"]) / (s["qy"] - s["py"]) + s["px"])
+    near = at.join(strips, "gy").where((c("mx") >= c("x.lo")) & (c("mx") <= c("x.hi")))  # rings are closed: to their left crossings are even
+    inside = near.where(F.size(F.filter("sides", right)) % 2 == 1)
     end = lambda k, z: (c(f"a{z}") + c(k) * (c(f"b{z}") - c(f"a{z}"))).alias
     return inside.select("line", "i", "polygon", "t0", "t1", end("t0", "x")("x0"), end("t0", "y")("y0"), end("t1", "x")("x1"), end("t1", "y")("y1"))
 

@@ -7,6 +7,7 @@ import pytest
 
 from tessera import catalog_more, catalog_repair
 from tessera.llm.shingles import partnered
+from tessera.sources import layers
 
 
 def test_postings_without_a_possible_partner_stay_at_home():
@@ -28,3 +29,14 @@ def test_what_grows_with_the_mesh_is_not_broadcast(spark, sf_dir, query):
     plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     small = re.compile(r"\[(block|part__)#")  # a row for each block or partition
     assert [line for line in plan.split("\n") if "BroadcastHashJoin" in line and not small.search(line)] == []
+
+
+def test_crossings_are_counted_where_pieces_meet_sides(spark):
+    square = [(0.0, 0.0), (90.0, 0.0), (90.0, 90.0), (0.0, 90.0)]
+    hole = [(30.0, 30.0), (30.0, 60.0), (60.0, 60.0), (60.0, 30.0)]
+    domain = spark.createDataFrame([(1, square, [hole])], "polygon long, ring array<struct<x:double,y:double>>, holes array<array<struct<x:double,y:double>>>")
+    seg = spark.createDataFrame([(1, 0, -9.0, 45.0, 99.0, 45.0), (2, 0, 10.0, -50.0, 10.0, -5.0)], "line long, i int, ax double, ay double, bx double, by double")
+    got = layers.clipped_segments(seg, domain, 32.0)
+    assert sorted((r.line, r.x0, r.x1) for r in got.collect()) == [(1, pytest.approx(0), pytest.approx(30)), (1, pytest.approx(60), pytest.approx(90))]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Aggregate [" in line and "t0#" in line]  # a row for each side met would be shuffled
