@@ -47,15 +47,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     """Writes df to the shared folder as Parquet and reads it back: short lineage, no lost blocks.
 
-    What a failed write leaves behind is removed; a whole one stays until drop_cut, as its readers are lazy.
+    What a failed write leaves behind is removed; a whole one stays until drop_cut, as its readers are lazy. Tables of
+    one path (of cut_path) are put together.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
+    path = path or cut_path(spark)
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
     except Exception:
         _remove(spark, path)
         raise

@@ -10,6 +10,8 @@ nothing is lost by lists or codes, whatever sample they were fitted on.
 
 Lists are put together into groups of about ``block_rows`` members, lists larger than that are split into blocks. A vector
 goes once to each group that holds a list it probes, in slices of about ``block_rows``, so neither side of a task grows.
+Groups are dealt in rounds, and a round's rows leave the disk before the next: how often a vector is sent then costs
+time, not disk.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.cluster import cut, ship
+from tessera.cluster import cut, cut_path, drop_cut, release, ship
 from tessera.components import connected_components, local_labels
 from tessera.llm.memory import tidied
 from tessera.llm.search import vector_matrix
@@ -132,7 +134,7 @@ def compare(model: Quantiser, least: float, x: Side, y: Side) -> tuple[np.ndarra
     return np.concatenate(heads or none), np.concatenate(tails or none), n, m
 
 
-def near_duplicates(vectors: DataFrame, *, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", list_rows: int = 256, most_lists: int = 16_384, sample_rows: int = 20_000, block_rows: int = 8192) -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", list_rows: int = 256, most_lists: int = 16_384, sample_rows: int = 20_000, block_rows: int = 8192, round_rows: int = 1_000_000) -> DataFrame:
     """One row per vector: (id, n_links, component_id, kept).
 
     n_links counts the other rows with cosine >= least; component_id is the smallest id that such links reach, itself
@@ -140,6 +142,7 @@ def near_duplicates(vectors: DataFrame, *, least: float = 0.95, id_col: str = "v
     vectors of different lengths. A null id has a null component and is kept. Equal vectors are compared once and count
     as often as they occur. Lists and codes are fitted on at most about ``sample_rows`` distinct vectors drawn by hash;
     all rows are indexed. Beyond list_rows * most_lists vectors the lists grow, and with them the work for each vector.
+    A round deals ``round_rows`` rows, half the number of vectors if that is more, or one group.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -158,25 +161,27 @@ def near_duplicates(vectors: DataFrame, *, least: float = 0.95, id_col: str = "v
 
     rows = cut(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).mapInArrow(clean, "id long, v binary"))
     groups = cut(rows.where("v is not null and id is not null").groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("weight")))
-    members = rows.where("v is not null and id is not null").join(groups, "v").select("id", "rep", "weight")
+    members = cut(rows.where("v is not null and id is not null").join(groups, "v").select("id", "rep", "weight"))
+    alone = cut(rows.where("v is null or id is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
+    drop_cut(rows)
+    release(spark)
     results = []
-    for dim in sorted(r.d for r in groups.select(F.length("v").alias("d")).distinct().collect()):
-        results.append(_links(groups.where(F.length("v") == dim), dim // 8, least, list_rows, most_lists, sample_rows, block_rows))
+    dims = sorted(r.d for r in groups.select(F.length("v").alias("d")).distinct().collect())
+    for dim in dims:
+        results.append(_links(groups.where(F.length("v") == dim), dim // 8, least, list_rows, most_lists, sample_rows, block_rows, round_rows, groups if dim == dims[-1] else None))
     found = None
     for r in results:
-        found = r if found is None else found.unionByName(r)
+        found = r if found is None else cut(found.unionByName(r))
     if found is None:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    found = cut(found)
+        return alone.withColumn("kept", F.lit(True))
     total = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     joined = connected_components(found).withColumnRenamed("id", "rep")
     linked = members.join(total, "rep", "left").join(joined, "rep", "left").select("id", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    alone = rows.where("v is null or id is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
-def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists: int, sample_rows: int, block_rows: int) -> DataFrame:
-    """(a, b, n): a's component is b's, as far as one comparison shows, and a links n more rows."""
+def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists: int, sample_rows: int, block_rows: int, round_rows: int, last: DataFrame | None) -> DataFrame:
+    """(a, b, n): a's component is b's, as far as one comparison shows, and a links n more rows. last is dropped once read."""
     spark = groups.sparkSession
     count = groups.count()
     rate = min(1.0, sample_rows / max(count, 1))
@@ -213,31 +218,45 @@ def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists
 
     fields = "rep long, weight long, v binary, list int, codes binary, error double, probes array<int>"
     indexed = cut(groups.select("rep", "weight", "v").mapInArrow(index, fields))
+    if last is not None:
+        drop_cut(last)
     # a row per list, most_lists at most
     held = {r.list: r.n for r in indexed.groupBy("list").agg(F.count("*").alias("n")).collect()}
     asking = {r.list: r.n for r in indexed.select("probes").mapInArrow(asked, "list int, n long").groupBy("list").agg(F.sum("n").alias("n")).collect()}
-    first, blocks, slices, room = np.zeros(lists, np.int64), np.ones(lists, np.int64), [0], block_rows
+    first, blocks, slices, room, sizes = np.zeros(lists, np.int64), np.ones(lists, np.int64), [0], block_rows, [0]
     for at in range(lists):
         size = held.get(at, 0)
         blocks[at] = max(1, -(-size // block_rows))
         if size > room and room < block_rows:
             slices.append(0)
+            sizes.append(0)
             room = block_rows
         first[at] = len(slices) - 1
         slices[-1] += asking.get(at, 0)
+        sizes[-1] += -(-size // int(blocks[at]))
         slices += [asking.get(at, 0)] * int(blocks[at] - 1)
+        sizes += [-(-size // int(blocks[at]))] * int(blocks[at] - 1)
         room = room - size if blocks[at] == 1 else 0
-    layout = spark.sparkContext.broadcast((first, blocks, np.array([max(1, -(-min(count, s) // block_rows)) for s in slices], np.int64)))
-
-    @tidied
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    asked_rows = np.minimum(count, np.array(slices, np.int64))
+    parts = np.maximum(1, -(-asked_rows // block_rows))
+    layout = spark.sparkContext.broadcast((first, blocks, parts))
+    # rounds of groups: [starts[i], starts[i + 1])
+    starts, dealt = [0], 0
+    for at, n in enumerate((asked_rows + np.array(sizes, np.int64) * parts).tolist()):
+        if dealt and dealt + n > max(round_rows, count // 2):
+            starts.append(at)
+            dealt = 0
+        dealt += n
+    starts.append(len(slices))
+
+    def deal(batches: Iterator[pa.RecordBatch], start: int, stop: int) -> Iterator[pa.RecordBatch]:
         first, blocks, slices = layout.value
 
-        def sent(side: int, part: pa.RecordBatch, row: np.ndarray, group: np.ndarray, cut_no: np.ndarray) -> pa.RecordBatch:
+        def sent(side: int, part: pa.RecordBatch, row: np.ndarray, group: np.ndarray, cut_no: np.ndarray, probes: pa.Array | None = None) -> pa.RecordBatch:
             out = part.take(pa.array(row))
             columns = list(out.columns)
-            if not side:  # a probing vector's code isn't looked at
-                columns[4], columns[5] = pa.nulls(len(row), pa.binary()), pa.nulls(len(row), pa.float64())
+            if not side:  # a probing vector's code isn't looked at, nor what it probes elsewhere
+                columns[4:] = pa.nulls(len(row), pa.binary()), pa.nulls(len(row), pa.float64()), probes
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), side, np.int32)), pa.array(group.astype(np.int32)), pa.array(cut_no.astype(np.int32)), *columns], names=["side", "grp", "cut_no", *part.schema.names])
 
         for batch in batches:
@@ -245,17 +264,21 @@ def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists
                 part = batch.slice(at, 1000)
                 ids, home = mix64(part.column(0).to_numpy().view(np.uint64)).astype(np.int64) & 0x7FFFFFFFFFFFFFFF, part.column(3).to_numpy()
                 group = first[home] + ids % blocks[home]
-                times = slices[group]
+                times = np.where((group >= start) & (group < stop), slices[group], 0)
                 row = np.repeat(np.arange(len(ids)), times)
                 yield sent(1, part, row, group[row], np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times))
                 size = part.column(6).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 row, probed = np.repeat(np.arange(len(ids)), size), part.column(6).flatten().to_numpy()
                 times = blocks[probed]
-                row, low = np.repeat(row, times), np.repeat(first[probed], times)
+                row, low, probed = np.repeat(row, times), np.repeat(first[probed], times), np.repeat(probed, times)
                 group = low + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                pair = np.unique(row * len(slices) + group)
+                here = np.flatnonzero((group >= start) & (group < stop))
+                pair = (row * len(slices) + group)[here]
+                order = np.argsort(pair, kind="stable")
+                pair, off = np.unique(pair[order], return_index=True)
                 row, group = pair // len(slices), pair % len(slices)
-                yield sent(0, part, row, group, (ids[row] >> 20) % slices[group])
+                lists_here = pa.ListArray.from_arrays(pa.array(np.append(off, len(here)).astype(np.int32)), pa.array(probed[here][order].astype(np.int32)))
+                yield sent(0, part, row, group, (ids[row] >> 20) % slices[group], lists_here)
 
     @tidied
     def run(table: pa.Table) -> pa.Table:
@@ -271,4 +294,14 @@ def _links(groups: DataFrame, dim: int, least: float, list_rows: int, most_lists
         nodes, label = local_labels(every[nodes], every[label])
         return pa.table({"a": np.concatenate([every[some], nodes]), "b": np.concatenate([every[some], label]), "n": np.concatenate([counted[some], np.zeros(len(nodes), np.int64)])})
 
-    return indexed.mapInArrow(deal, "side int, grp int, cut_no int, " + fields).groupBy("grp", "cut_no").applyInArrow(run, "a long, b long, n long")
+    path = cut_path(spark)
+    for low, high in zip(starts[:-1], starts[1:], strict=True):
+
+        @tidied
+        def one(batches: Iterator[pa.RecordBatch], start: int = low, stop: int = high) -> Iterator[pa.RecordBatch]:
+            yield from deal(batches, start, stop)
+
+        found = cut(indexed.mapInArrow(one, "side int, grp int, cut_no int, " + fields).groupBy("grp", "cut_no").applyInArrow(run, "a long, b long, n long"), path)
+        release(spark)
+    drop_cut(indexed)
+    return found

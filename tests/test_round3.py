@@ -7,7 +7,9 @@ import pytest
 
 from tessera import catalog_more, catalog_repair
 from tessera.llm.shingles import partnered
+from tessera.llm.vectors import near_duplicates
 from tessera.sources import layers
+from tests.llm import test_vectors
 
 
 def test_postings_without_a_possible_partner_stay_at_home():
@@ -40,3 +42,9 @@ def test_crossings_are_counted_where_pieces_meet_sides(spark):
     assert sorted((r.line, r.x0, r.x1) for r in got.collect()) == [(1, pytest.approx(0), pytest.approx(30)), (1, pytest.approx(60), pytest.approx(90))]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.split("\n") if "Aggregate [" in line and "t0#" in line]  # a row for each side met would be shuffled
+
+
+def test_near_duplicates_are_the_same_in_many_rounds(spark):
+    t = spark.createDataFrame(test_vectors.rows(), test_vectors.SCHEMA)
+    one, many = ({tuple(r) for r in near_duplicates(t, list_rows=20, block_rows=32, sample_rows=100, round_rows=n).collect()} for n in (1_000_000, 1))
+    assert one == many and len({r[2] for r in one}) < len(one)
