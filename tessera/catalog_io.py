@@ -11,7 +11,7 @@ from tessera import catalog as base
 from tessera import catalog_more as more
 from tessera import catalog_spatial as spatial
 from tessera.catalog import BAD, CELL, GEOM, MESH, SHAPE, TOUCH, chain, query, rounded
-from tessera.cluster import shared_dir
+from tessera.cluster import drop_cut, shared_dir
 from tessera.operators import band, dem, embankment, export, lines, quality, refine, remap, topology
 from tessera.sources import cellbin, container, csvs, layers, msh
 from tessera.sources import fixtures as fx
@@ -161,15 +161,22 @@ def cell_file(spark, sf_dir) -> DataFrame:
     return cellbin.packed(face, side.withColumn("mesh", F.lit(0).cast("long")))
 
 
+def cell_container(spark, sf_dir) -> DataFrame:
+    files = cell_file(spark, sf_dir)
+    made = cellbin.converted(files)
+    drop_cut(files)
+    return made
+
+
 @query(chain(*MESH, LINES, more._NORMAL) + "SELECT ln::INT id, v1::INT v1, v2::INT v2, face_left::INT face_left, face_right::INT face_right, z_crest::DOUBLE z_crest FROM normal")
 def cell_file_edges(spark, sf_dir):
     """The cell file written, converted to a container and read again."""
-    return container.unpacked(cellbin.converted(cell_file(spark, sf_dir)), "edge", "mesh").select("id", "v1", "v2", "face_left", "face_right", "z_crest")
+    return container.unpacked(cell_container(spark, sf_dir), "edge", "mesh").select("id", "v1", "v2", "face_left", "face_right", "z_crest")
 
 
 @query(chain(*SHAPE) + "SELECT (eid + 1)::INT face_id, (eid % 5 / 10.0)::DOUBLE chi, 0::DOUBLE perimeter FROM quality WHERE eid % 5 > 0")
 def cell_file_buildings(spark, sf_dir):
-    return container.unpacked(cellbin.converted(cell_file(spark, sf_dir)), "building", "mesh").select("face_id", "chi", "perimeter")
+    return container.unpacked(cell_container(spark, sf_dir), "building", "mesh").select("face_id", "chi", "perimeter")
 
 
 @query("SELECT p_partkey::INT edge_id, (p_partkey % 8)::INT kind, CASE WHEN p_size % 4 > 0 THEN p_size END::DOUBLE zc, p_size / 2.0::DOUBLE \"H\", 1.5::DOUBLE z_road, 0 qgroup, 0.25::DOUBLE \"B\" FROM part")

@@ -2,6 +2,9 @@
 
 Records are numpy structured types, so a section is one buffer. Spark reads containers with the binaryFile source and
 decodes each file in one task; it writes one container for each group of rows.
+
+A container of any size is a table of parts (mesh, section, part, bytes), which are the container in the order of section
+and part: section 0 is the header, 1 to 9 are the sections, 10 and 11 the trailers. A task holds a part, not a container.
 """
 
 from __future__ import annotations
@@ -9,13 +12,14 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.cluster import ship
+from tessera.cluster import cut, ship
 
 # Fixed values of the format.
 MAGIC, BLOCK_MAGIC, LEVEL_MAGIC = b"AQWAMESH", b"AQWABLK1", b"AQWALTS1"
@@ -33,6 +37,9 @@ SPECIAL_OLD = np.dtype(SPECIAL.descr[:-1])
 COUPLE = np.dtype([("edge_id", "<i4"), ("river_link", "<i4"), ("kp", "<f8"), ("bank", "<i4")])
 SECTIONS = ("node", "edge", "face", "landuse", "soil", "building", "vegetation", "special", "couple")
 COUNTED = {"landuse": (SPARSE,), "soil": (SPARSE,), "building": (BUILDING,), "vegetation": (VEGETATION, VEGETATION_OLD), "special": (SPECIAL, SPECIAL_OLD), "couple": (COUPLE,)}
+BLOCKS, LEVELS = len(SECTIONS) + 1, len(SECTIONS) + 2
+PART_ROWS = 4096  # numbers in a part
+LEAD = -(1 << 62)  # the part of a count or trailer's head, before the parts of rows
 
 
 class ContainerError(ValueError):
@@ -141,29 +148,39 @@ def decode_levels(data: bytes, n_faces: int) -> tuple[np.ndarray, int, int] | No
     return ids, most, binning
 
 
+def encode_header(counts: list[int], hashes: list[bytes], sizes: list[int], epsg: int) -> bytes:
+    """counts: nodes, edges, faces; hashes and sizes by section."""
+    ends = np.cumsum([HEADER_BYTES, *sizes])
+    head = struct.pack("<8sHHiIIII", MAGIC, VERSION, 0, epsg, *counts, 0)
+    index = b"".join(struct.pack("<QQ", int(at), n) for at, n in zip(ends[:-1], sizes, strict=True))
+    return head + b"".join(h[:HASH_BYTES].ljust(HASH_BYTES, b"\0") for h in hashes) + index
+
+
+def decode_header(data: bytes) -> tuple[int, list[int], list[bytes], list[tuple[int, int]]]:
+    """(epsg, counts of nodes, edges and faces, hashes, places and sizes of the sections)."""
+    if len(data) < HEADER_BYTES:
+        raise ContainerError("too short")
+    magic, version, _, epsg, *counts, _ = struct.unpack_from("<8sHHiIIII", data)
+    if magic != MAGIC or version != VERSION:
+        raise ContainerError(f"not a container of version {VERSION}")
+    hashes = [data[32 + HASH_BYTES * i : 32 + HASH_BYTES * (i + 1)] for i in range(len(SECTIONS))]
+    return epsg, counts, hashes, [struct.unpack_from("<QQ", data, 32 + HASH_BYTES * len(SECTIONS) + 16 * i) for i in range(len(SECTIONS))]
+
+
 def encode(tables: dict[str, np.ndarray], edge_ids: list[list[int]], *, epsg: int = 0, blocks: np.ndarray | None = None, levels: tuple[np.ndarray, int, int] | None = None, hashes: list[bytes] | None = None) -> bytes:
     """A container of record arrays by section; missing sections are empty, blocks default to 1."""
     face = tables["face"]
     parts = [tables["node"].tobytes(), tables["edge"].tobytes(), encode_faces(face, edge_ids)]
     parts += [encode_counted(tables.get(s, np.zeros(0, forms[0]))) for s, forms in COUNTED.items()]
     sums = hashes or [digest(p) for p in parts]
-    ends = np.cumsum([HEADER_BYTES] + [len(p) for p in parts])
-    head = struct.pack("<8sHHiIIII", MAGIC, VERSION, 0, epsg, len(tables["node"]), len(tables["edge"]), len(face), 0)
-    index = b"".join(struct.pack("<QQ", int(at), len(p)) for at, p in zip(ends[:-1], parts, strict=True))
-    out = head + b"".join(h[:HASH_BYTES].ljust(HASH_BYTES, b"\0") for h in sums) + index + b"".join(parts)
+    out = encode_header([len(tables[s]) for s in SECTIONS[:3]], sums, [len(p) for p in parts], epsg) + b"".join(parts)
     out += encode_blocks(np.ones(len(face)) if blocks is None else blocks)
     return out if levels is None else out + encode_levels(*levels)
 
 
 def decode(data: bytes) -> dict:
     """Record arrays by section, with edge_ids, blocks, levels (None without them), hashes and epsg."""
-    if len(data) < HEADER_BYTES:
-        raise ContainerError("too short")
-    magic, version, _, epsg, n_node, n_edge, n_face, _ = struct.unpack_from("<8sHHiIIII", data)
-    if magic != MAGIC or version != VERSION:
-        raise ContainerError(f"not a container of version {VERSION}")
-    hashes = [data[32 + HASH_BYTES * i : 32 + HASH_BYTES * (i + 1)] for i in range(len(SECTIONS))]
-    index = [struct.unpack_from("<QQ", data, 32 + HASH_BYTES * len(SECTIONS) + 16 * i) for i in range(len(SECTIONS))]
+    epsg, (n_node, n_edge, n_face), hashes, index = decode_header(data)
     if any(at + n > len(data) for at, n in index):
         raise ContainerError("a section ends beyond the file")
     raw = {s: data[at : at + n] for s, (at, n) in zip(SECTIONS, index, strict=True)}
@@ -179,7 +196,7 @@ def decode(data: bytes) -> dict:
     return out
 
 
-def _row_bytes(batch: pa.RecordBatch, dtype: np.dtype) -> list[bytes]:
+def _filled(batch: pa.RecordBatch, dtype: np.dtype) -> np.ndarray:
     """One record a row. A missing double is NaN; a missing whole number is an error."""
     out = np.zeros(batch.num_rows, dtype)
     for name in dtype.names:
@@ -190,7 +207,11 @@ def _row_bytes(batch: pa.RecordBatch, dtype: np.dtype) -> list[bytes]:
             raise ContainerError(f"{name} is missing in a record")
         else:
             out[name] = col.cast(pa.int64()).to_numpy(zero_copy_only=False)
-    data, size = out.tobytes(), dtype.itemsize
+    return out
+
+
+def _row_bytes(batch: pa.RecordBatch, dtype: np.dtype) -> list[bytes]:
+    data, size = _filled(batch, dtype).tobytes(), dtype.itemsize
     return [data[i : i + size] for i in range(0, len(data), size)]
 
 
@@ -242,17 +263,88 @@ def packed(edges: DataFrame, nodes: DataFrame, faces: DataFrame, attributes: dic
     return every.groupBy("mesh").applyInArrow(run, "mesh long, bytes binary")
 
 
+def parts(edges: DataFrame, nodes: DataFrame, faces: DataFrame, attributes: dict[str, DataFrame] | None = None, *, epsg: int = 0, levels: tuple[int, int] | None = None) -> DataFrame:
+    """mesh, section, part, bytes: what packed() gives, in parts of the shared folder.
+
+    Rows are dealt by number. A section's hash runs over its parts in their order, a few of which are held at a time.
+    """
+    spark = nodes.sparkSession
+    ship(spark)
+
+    def rows(df: DataFrame, section: str, dtype: np.dtype) -> DataFrame:
+        extra = ["edge_ids", "block", *(["level"] if levels else [])] if section == "face" else []
+
+        def run(table: pa.Table) -> pa.Table:
+            batch = table.take(pa.array(np.argsort(table.column(dtype.names[0]).to_numpy(), kind="stable"))).combine_chunks().to_batches()[0]
+            held, code = _filled(batch, dtype), SECTIONS.index(section) + 1
+            found = [(code, held.tobytes())]
+            if section == "face":
+                found = [(code, encode_faces(held, batch.column("edge_ids").to_pylist())), (BLOCKS, encode_blocks(batch.column("block").fill_null(1).to_numpy())[12:])]
+                if levels:
+                    found.append((LEVELS, encode_levels(batch.column("level").to_numpy(), *levels)[24:]))
+            same = lambda v: pa.array([v] * len(found), pa.int64())
+            return pa.table({"mesh": same(batch.column("mesh")[0].as_py()), "section": pa.array([c for c, _ in found], pa.int32()), "part": same(batch.column("part")[0].as_py()), "n": same(len(held)), "bytes": pa.array([b for _, b in found], pa.binary())})
+
+        dealt = df.select(F.col("mesh").cast("long"), F.floor(F.col(dtype.names[0]) / PART_ROWS).cast("long").alias("part"), *dtype.names, *extra)
+        return dealt.groupBy("mesh", "part").applyInArrow(run, "mesh long, section int, part long, n long, bytes binary")
+
+    body = rows(nodes, "node", NODE).unionByName(rows(edges, "edge", EDGE)).unionByName(rows(faces, "face", FACE))
+    for section, table in (attributes or {}).items():
+        body = body.unionByName(rows(table, section, COUNTED[section][0]))
+    body = cut(body)
+    codes = range(1, LEVELS + 1 if levels else LEVELS)
+    every = body.select("mesh").distinct().select("mesh", F.explode(F.array(*[F.lit(c) for c in codes])).alias("section"))
+    counts = every.join(body.groupBy("mesh", "section").agg(F.sum("n").alias("n")), ["mesh", "section"], "left").select("mesh", "section", F.coalesce("n", F.lit(0)).alias("n"))
+
+    def leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [struct.pack("<I", n) if c < BLOCKS else BLOCK_MAGIC + struct.pack("<I", n) if c == BLOCKS else LEVEL_MAGIC + struct.pack("<IIII", 1, *levels, n) for c, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([LEAD] * len(data), pa.int64()), pa.array(data, pa.binary())], names=["mesh", "section", "part", "bytes"])
+
+    fields = "mesh long, section int, part long, bytes binary"
+    lead = counts.where(F.col("section") > 3).mapInArrow(leads, fields)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, size, sha = None, 0, None
+        done = lambda: pa.RecordBatch.from_pydict({"mesh": [key[0]], "section": [key[1]], "size": [size], "hash": [sha.digest()[:HASH_BYTES]]}, pa.schema([("mesh", pa.int64()), ("section", pa.int32()), ("size", pa.int64()), ("hash", pa.binary())]))
+        for batch in batches:
+            for mesh, code, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
+                if (mesh, code) != key:
+                    if key is not None:
+                        yield done()
+                    key, size, sha = (mesh, code), 0, hashlib.sha256()
+                data = data.as_py()
+                sha.update(data)
+                size += len(data)
+        if key is not None:
+            yield done()
+
+    within = body.select("mesh", "section", "part", "bytes").unionByName(lead).where(F.col("section") < BLOCKS)
+    hashed = within.repartition("mesh", "section").sortWithinPartitions("mesh", "section", "part").mapInArrow(sums, "mesh long, section int, size long, hash binary")
+
+    def header(table: pa.Table) -> pa.Table:
+        at = {r["section"]: r for r in table.to_pylist()}
+        found = [at[i + 1] for i in range(len(SECTIONS))]
+        data = encode_header([r["n"] for r in found[:3]], [r["hash"] or bytes(HASH_BYTES) for r in found], [r["size"] or 0 for r in found], epsg)
+        return pa.table({"mesh": table.column("mesh").slice(0, 1), "section": pa.array([0], pa.int32()), "part": pa.array([LEAD], pa.int64()), "bytes": pa.array([data], pa.binary())})
+
+    heads = counts.join(hashed, ["mesh", "section"], "left").groupBy("mesh").applyInArrow(header, fields)
+    return body.select("mesh", "section", "part", "bytes").unionByName(cut(lead.unionByName(heads)))
+
+
 def write(files: DataFrame, folder: str, name: str = "mesh.bin") -> None:
-    """One file for each container (mesh, bytes): <folder>/block_<mesh>/<name>, written by its task and renamed when whole."""
+    """One file for each container (mesh, bytes, or its parts): <folder>/block_<mesh>/<name>, renamed when whole."""
     spark = files.sparkSession
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for r in files.toLocalIterator():  # one container at a time passes the driver
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/block_{int(r.mesh):03d}/{name}")
-        part = jvm.org.apache.hadoop.fs.Path(f"{folder}/block_{int(r.mesh):03d}/_{name}.part")
+    ordered = files.orderBy("mesh", "section", "part") if "section" in files.columns else files
+    for mesh, rows in groupby(ordered.toLocalIterator(), lambda r: int(r.mesh)):  # one partition at a time passes the driver
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/block_{mesh:03d}/{name}")
+        part = jvm.org.apache.hadoop.fs.Path(f"{folder}/block_{mesh:03d}/_{name}.part")
         fs = path.getFileSystem(conf)
         out = fs.create(part, True)
-        out.write(bytes(r.bytes))
+        for r in rows:
+            out.write(bytes(r.bytes))
         out.close()
         fs.delete(path, False)
         if not fs.rename(part, path):
@@ -298,26 +390,62 @@ def read(spark: SparkSession, path: str, section: str) -> DataFrame:
     return unpacked(spark.read.format("binaryFile").load(path).select("path", F.col("content").alias("bytes")), section, "path")
 
 
+def checked(files: DataFrame, section: str, key: str) -> None:
+    """An error if the parts of a section aren't as long as the header says."""
+    code = SECTIONS.index(section)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [decode_header(data.as_py())[3][code][1] for data in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], names=["key", "said"])
+
+    said = files.where("section = 0").select(F.col(key).alias("key"), "bytes").mapInArrow(run, f"key {files.schema[key].dataType.simpleString()}, said long")
+    held = files.where((F.col("section") == code + 1)).groupBy(F.col(key).alias("key")).agg(F.sum(F.length("bytes")).alias("held"))
+    bad = said.join(held, "key", "full").where("not (coalesce(held, 0) <=> said)").head()
+    if bad:
+        raise ContainerError(f"{section} of {bad.key}: {bad.held} bytes, not {bad.said}")
+
+
 def unpacked(files: DataFrame, section: str, key: str) -> DataFrame:
-    """Rows of one section of containers (key, bytes), with key. Faces also have edge_ids, block and level."""
+    """Rows of one section of containers (key, bytes, or their parts), with key. Faces also have edge_ids, block and level."""
     ship(files.sparkSession)
     dtype = {"node": NODE, "edge": EDGE, "face": FACE}.get(section) or COUNTED[section][0]
     kind = {"<i4": "int", "<f8": "double"}
     extra = ", edge_ids array<int>, block int, level int" if section == "face" else ""
     fields = ", ".join(f"{n} {kind[dtype[n].str]}" for n in dtype.names)
 
+    def columns(rows: np.ndarray, value: pa.Scalar, edge_ids: list, blocks: np.ndarray | None, levels: np.ndarray | None) -> dict[str, pa.Array]:
+        out = {n: pa.array(np.ascontiguousarray(rows[n])) for n in dtype.names}
+        out["key"] = pa.array([value.as_py()] * len(rows), value.type)
+        if section == "face":
+            out["edge_ids"] = pa.array([list(map(int, x)) for x in edge_ids], pa.list_(pa.int32()))
+            out["block"] = pa.array(np.ones(len(rows), np.int32) if blocks is None else blocks.astype(np.int32))
+            out["level"] = pa.nulls(len(rows), pa.int32()) if levels is None else pa.array(levels.astype(np.int32))
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, data in enumerate(batch.column(1).to_pylist()):
                 got = decode(bytes(data))
-                rows = got[section]
-                columns = {n: pa.array(np.ascontiguousarray(rows[n])) for n in dtype.names}
-                columns["key"] = pa.array([batch.column(0)[i].as_py()] * len(rows), batch.column(0).type)
-                if section == "face":
-                    columns["edge_ids"] = pa.array([list(map(int, x)) for x in got["edge_ids"]], pa.list_(pa.int32()))
-                    columns["block"] = pa.array(np.ones(len(rows), np.int32) if got["blocks"] is None else got["blocks"].astype(np.int32))
-                    columns["level"] = pa.nulls(len(rows), pa.int32()) if got["levels"] is None else pa.array(got["levels"][0].astype(np.int32))
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                yield pa.RecordBatch.from_pydict(columns(got[section], batch.column(0)[i], got["edge_ids"], got["blocks"], got["levels"] and got["levels"][0]))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value, data in zip(batch.column(0), batch.column(1), strict=True):
+                yield pa.RecordBatch.from_pydict(columns(np.frombuffer(data.as_py(), dtype), value, [], None, None))
+
+    def together(table: pa.Table) -> pa.Table:
+        raw = dict(zip(table.column("section").to_pylist(), table.column("bytes").to_pylist(), strict=True))
+        if BLOCKS not in raw:
+            raise ContainerError("blocks without faces, or faces without blocks")
+        heads, ids = decode_faces(raw[SECTIONS.index("face") + 1], len(raw[BLOCKS]) // 4)
+        return pa.table(columns(heads, table.column("key")[0], ids, np.frombuffer(raw[BLOCKS], "<i4"), np.frombuffer(raw[LEVELS], "<i4") if LEVELS in raw else None))
 
     key_type = files.schema[key].dataType.simpleString()
+    if "section" in files.columns:
+        checked(files, section, key)
+        code = SECTIONS.index(section) + 1
+        mine = files.where((F.col("part") > LEAD) & F.col("section").isin(code, *([BLOCKS, LEVELS] if section == "face" else []))).select(F.col(key).alias("key"), "section", "part", "bytes")
+        schema = f"{fields}, key {key_type}{extra}"
+        return (mine.groupBy("key", "part").applyInArrow(together, schema) if section == "face" else mine.select("key", "bytes").mapInArrow(some, schema)).withColumnRenamed("key", key)
     return files.select(F.col(key).alias("key"), "bytes").mapInArrow(run, f"{fields}, key {key_type}{extra}").withColumnRenamed("key", key)
