@@ -11,7 +11,7 @@ from tessera import catalog as base
 from tessera import catalog_more as more
 from tessera import catalog_spatial as spatial
 from tessera.catalog import BAD, CELL, GEOM, MESH, SHAPE, TOUCH, chain, query, rounded
-from tessera.cluster import drop_cut, shared_dir
+from tessera.cluster import drop_cut, shared_dir, spread
 from tessera.operators import band, dem, embankment, export, lines, quality, refine, remap, topology
 from tessera.sources import cellbin, container, csvs, layers, msh
 from tessera.sources import fixtures as fx
@@ -153,7 +153,7 @@ def mesh_file(spark, sf_dir):
 def cell_file(spark, sf_dir) -> DataFrame:
     half, nodes = base.mesh_half(spark, sf_dir), more.nodes_z(spark, sf_dir)
     q, centres = shapes(spark, sf_dir)
-    table = q.select("eid", "kind", F.col("area").alias("A")).join(centres, "eid")
+    table = q.select("eid", "kind", F.col("area").alias("A")).join(spread(centres), "eid")
     side = cellbin.side_rows(half, nodes, table.select("eid", F.col("cx").alias("x"), F.col("cy").alias("y"), "A"), topology.line_ids(half))
     none = lambda n: F.array(*[F.lit(0.0)] * n)
     e = F.col("eid")

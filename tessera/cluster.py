@@ -51,15 +51,16 @@ def cut_path(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tessera-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, path: str | None = None, group_bytes: int | None = None) -> DataFrame:
+def cut(df: DataFrame, path: str | None = None, group_rows: int | None = None) -> DataFrame:
     """Writes df to the shared folder as Parquet and reads it back: short lineage, no lost blocks.
 
     What a failed write leaves behind is removed; a whole one stays until drop_cut, as its readers are lazy. Tables of
-    one path (of cut_path) are put together. group_bytes: for long rows, as a reader holds a whole row group of them.
+    one path (of cut_path) are put together. group_rows: for long rows, as a reader holds up to 4096 rows of a row group;
+    the bytes of a group don't bound them, as they count after compression.
     """
     spark = df.sparkSession
     path = path or cut_path(spark)
-    options = {"compression": "zstd"} | ({"parquet.block.size": str(group_bytes)} if group_bytes else {})
+    options = {"compression": "zstd"} | ({"parquet.block.row.count.limit": str(group_rows)} if group_rows else {})
     try:
         df.write.mode("append").options(**options).parquet(path)
     except Exception:

@@ -29,7 +29,7 @@ SIDE = np.dtype(
     + [("v1", "<i4"), ("v2", "<i4")] + [(n, "<f8") for n in ("x1", "y1", "z1", "x2", "y2", "z2", "xc", "yc", "zc", "length")]
 )
 PART_FACES = 256  # numbers of faces in a part: a quarter of a megabyte
-GROUP_BYTES = 16 << 20
+GROUP_ROWS = 16  # parts that a reader holds
 TASK_PARTS = 64
 NODE_RUN = 1 << 16
 COUNT, FACES, LAND, SOIL, BUILDING, SIDES, NODES = range(7)  # what a row of tables() is
@@ -97,7 +97,7 @@ def packed(faces: DataFrame, sides: DataFrame, paths: tuple[str, str] = ("", "")
 
     part = (F.floor(F.col("eid") / PART_FACES) + 1).cast("long")
     dealt = faces.withColumn("part", part).groupBy("mesh", "part").cogroup(sides.withColumnRenamed("mesh", "m").withColumn("p", part).groupBy("m", "p"))
-    body = cut(dealt.applyInArrow(run, "mesh long, part long, faces long, sides long, bytes binary"), group_bytes=GROUP_BYTES)
+    body = cut(dealt.applyInArrow(run, "mesh long, part long, faces long, sides long, bytes binary"), group_rows=GROUP_ROWS)
     release(faces.sparkSession)
     counts = body.groupBy("mesh").agg(F.sum("faces").alias("faces"), F.sum("sides").alias("sides"))
     return body.select("mesh", "part", "bytes").unionByName(counts.mapInArrow(heads, "mesh long, part long, bytes binary"))

@@ -16,7 +16,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.cluster import cut, ship
@@ -39,6 +39,8 @@ SECTIONS = ("node", "edge", "face", "landuse", "soil", "building", "vegetation",
 COUNTED = {"landuse": (SPARSE,), "soil": (SPARSE,), "building": (BUILDING,), "vegetation": (VEGETATION, VEGETATION_OLD), "special": (SPECIAL, SPECIAL_OLD), "couple": (COUPLE,)}
 BLOCKS, LEVELS = len(SECTIONS) + 1, len(SECTIONS) + 2
 PART_ROWS = 4096  # numbers in a part
+GROUP_ROWS = 16  # parts that a reader holds
+TASK_PARTS = 64
 LEAD = -(1 << 62)  # the part of a count or trailer's head, before the parts of rows
 
 
@@ -291,7 +293,7 @@ def parts(edges: DataFrame, nodes: DataFrame, faces: DataFrame, attributes: dict
     body = rows(nodes, "node", NODE).unionByName(rows(edges, "edge", EDGE)).unionByName(rows(faces, "face", FACE))
     for section, table in (attributes or {}).items():
         body = body.unionByName(rows(table, section, COUNTED[section][0]))
-    body = cut(body)
+    body = cut(body, group_rows=GROUP_ROWS)
     codes = range(1, LEVELS + 1 if levels else LEVELS)
     every = body.select("mesh").distinct().select("mesh", F.explode(F.array(*[F.lit(c) for c in codes])).alias("section"))
     counts = every.join(body.groupBy("mesh", "section").agg(F.sum("n").alias("n")), ["mesh", "section"], "left").select("mesh", "section", F.coalesce("n", F.lit(0)).alias("n"))
@@ -304,23 +306,18 @@ def parts(edges: DataFrame, nodes: DataFrame, faces: DataFrame, attributes: dict
     fields = "mesh long, section int, part long, bytes binary"
     lead = counts.where(F.col("section") > 3).mapInArrow(leads, fields)
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, size, sha = None, 0, None
-        done = lambda: pa.RecordBatch.from_pydict({"mesh": [key[0]], "section": [key[1]], "size": [size], "hash": [sha.digest()[:HASH_BYTES]]}, pa.schema([("mesh", pa.int64()), ("section", pa.int32()), ("size", pa.int64()), ("hash", pa.binary())]))
-        for batch in batches:
-            for mesh, code, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True):
-                if (mesh, code) != key:
-                    if key is not None:
-                        yield done()
-                    key, size, sha = (mesh, code), 0, hashlib.sha256()
-                data = data.as_py()
-                sha.update(data)
-                size += len(data)
-        if key is not None:
-            yield done()
+    def sums(rows: Iterator[Row]) -> Iterator[tuple[int, int, int, bytes]]:
+        for key, own in groupby(rows, lambda r: (r.mesh, r.section)):
+            size, sha = 0, hashlib.sha256()
+            for r in own:
+                sha.update(r.bytes)
+                size += len(r.bytes)
+            yield *key, size, sha.digest()[:HASH_BYTES]
 
     within = body.select("mesh", "section", "part", "bytes").unionByName(lead).where(F.col("section") < BLOCKS)
-    hashed = within.repartition("mesh", "section").sortWithinPartitions("mesh", "section", "part").mapInArrow(sums, "mesh long, section int, size long, hash binary")
+    # a task has whole sections: as rows they come a few MB at a time, in an Arrow batch 64 MB
+    ordered = within.repartition("mesh", "section").sortWithinPartitions("mesh", "section", "part")
+    hashed = spark.createDataFrame(ordered.rdd.mapPartitions(sums), "mesh long, section int, size long, hash binary")
 
     def header(table: pa.Table) -> pa.Table:
         at = {r["section"]: r for r in table.to_pylist()}
@@ -447,5 +444,8 @@ def unpacked(files: DataFrame, section: str, key: str) -> DataFrame:
         code = SECTIONS.index(section) + 1
         mine = files.where((F.col("part") > LEAD) & F.col("section").isin(code, *([BLOCKS, LEVELS] if section == "face" else []))).select(F.col(key).alias("key"), "section", "part", "bytes")
         schema = f"{fields}, key {key_type}{extra}"
-        return (mine.groupBy("key", "part").applyInArrow(together, schema) if section == "face" else mine.select("key", "bytes").mapInArrow(some, schema)).withColumnRenamed("key", key)
+        if section == "face":
+            return mine.groupBy("key", "part").applyInArrow(together, schema).withColumnRenamed("key", key)
+        few = mine.repartition(mine.count() // TASK_PARTS + 1, "key", "part")  # a batch is what a task has, up to 64 MB
+        return few.select("key", "bytes").mapInArrow(some, schema).withColumnRenamed("key", key)
     return files.select(F.col(key).alias("key"), "bytes").mapInArrow(run, f"{fields}, key {key_type}{extra}").withColumnRenamed("key", key)

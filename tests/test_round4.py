@@ -2,6 +2,7 @@
 
 import struct
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +93,22 @@ def test_a_container_in_parts_has_the_same_bytes(spark, tmp_path, monkeypatch):
     for section in ("node", "edge", "face", "building", "couple"):
         a, b = (container.unpacked(f, section, "mesh") for f in (want, got))
         assert a.schema == b.schema and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_a_reader_holds_few_parts(spark, monkeypatch):
+    monkeypatch.setattr(cellbin, "PART_FACES", 4)
+    monkeypatch.setattr(container, "PART_ROWS", 8)
+    ids = spark.range(400).coalesce(1)
+    none = lambda n: F.array(*[F.lit(0.0)] * n)
+    zero = lambda *names: [F.lit(0.0).alias(n) for n in names]
+    e, m = F.col("id"), F.lit(0).cast("long").alias("mesh")
+    faces = ids.select(m, e.alias("eid"), (e + 1).cast("int").alias("cn"), F.lit(1).alias("n_edge"), *zero("x", "y", "A", "z_bed", "ratio", "perimeter"), none(len(LANDUSE_CODES)).alias("land"), none(len(SOIL_CODES)).alias("soil"), F.lit(0).alias("dummy"))
+    whole_numbers = {"en": e + 1, "bc": F.lit(1), "cn": e + 1, "cn_end": F.lit(0), "v1": e + 1, "v2": e + 2}
+    sides = ids.select(m, e.alias("eid"), F.lit(0).alias("k"), *[whole_numbers[n].cast("int").alias(n) if n in whole_numbers else F.lit(0.0).alias(n) for n in cellbin.SIDE.names])
+    files = cellbin.packed(faces, sides)
+    made = cellbin.converted(files)
+    assert files.count() == 101 and container.unpacked(made, "edge", "mesh").count() == 400
+    for df in (files, made):
+        held = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata for f in df.inputFiles()]
+        assert sum(x.num_rows for x in held) >= 100
+        assert max(x.row_group(i).num_rows for x in held for i in range(x.num_row_groups)) <= 16
