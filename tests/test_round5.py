@@ -32,6 +32,11 @@ def test_conflicts_of_touching_and_repeated_features(spark, parts):
     assert got == want and (13339, 57190, "gap", 0.0) in want and len(set(want)) > 100
 
 
+def test_report_of_touching_and_repeated_features(spark, parts):
+    got, want = both(spark, parts, "special_edge_report")
+    assert got == want and want[0][5] == 0
+
+
 def test_long_slanting_segments_meet_once(spark):
     rng = np.random.default_rng(5)
     a = rng.integers(-400, 400, (150, 2)).astype(float)
