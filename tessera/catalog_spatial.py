@@ -133,9 +133,7 @@ foe AS MATERIALIZED (SELECT r.k, list(q.k) foes FROM ranked r JOIN both_ ON i =
 pick AS (SELECT 0::BIGINT k, []::BIGINT[] kept UNION ALL SELECT p.k + 1, CASE WHEN list_has_any(p.kept, f.foes) THEN p.kept ELSE list_append(p.kept, f.k) END FROM pick p JOIN foe f ON f.k = p.k + 1)
 SELECT feature FROM seg WHERE feature NOT IN (SELECT i FROM both_) UNION ALL SELECT feature FROM ranked WHERE k IN (SELECT unnest(kept) FROM pick WHERE k = (SELECT max(k) FROM ranked))""")
 def special_edge_picks(spark, sf_dir):
-    f = crossing_features(spark, sf_dir)
-    items = f.select("feature", F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")).alias("length"))
-    return special.clear_subset(items, special.close_pairs(f, 30.0, 128.0))
+    return special.clear_features(crossing_features(spark, sf_dir), 30.0, 128.0)
 
 
 @query("SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 4 THEN 4 WHEN 5 THEN 5 WHEN 6 THEN 6 WHEN 7 THEN 7 END::INT kind FROM part")

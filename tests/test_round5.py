@@ -37,6 +37,39 @@ def test_report_of_touching_and_repeated_features(spark, parts):
     assert got == want and want[0][5] == 0
 
 
+def test_picks_of_touching_and_repeated_features(spark, parts):
+    got, want = both(spark, parts, "special_edge_picks")
+    assert got == want and len(set(want)) < len(want)
+
+
+def test_picks_of_dense_features_make_few_pairs(spark, monkeypatch):
+    n, made = 1500, []
+    rng = np.random.default_rng(7)
+    a, d = rng.integers(0, 150, (n, 2)).astype(float), rng.integers(-8, 9, (n, 2)).astype(float)
+    b = a + d
+    near = np.zeros((n, n), bool)
+    i, j = np.triu_indices(n, 1)
+    gap, kind = special._related(*a[i].T, *b[i].T, *a[j].T, *b[j].T)
+    near[i, j] = near[j, i] = (gap < 10) & (kind != 1)
+    open_, want = np.ones(n, bool), []
+    for k in np.lexsort((np.arange(n), -np.sqrt((d**2).sum(axis=1)))):
+        if open_[k]:
+            want.append(int(k))
+            open_ &= ~near[k]
+    subset = special.clear_subset
+    monkeypatch.setattr(special, "clear_subset", lambda items, pairs: made.append(pairs.count()) or subset(items, pairs))
+    f = spark.createDataFrame([(k, *map(float, (*a[k], *b[k]))) for k in range(n)], "feature long, ax double, ay double, bx double, by double")
+    assert sorted(r.feature for r in special.clear_features(f, 10.0, 40.0, at_once=100).collect()) == sorted(want)
+    assert len(made) > 1 and 20 * sum(made) < near.sum() / 2
+
+
+def test_picks_without_ends_or_number(spark):
+    rows = [(1, None, 0.0, 1.0, 1.0), (2, float("nan"), 0.0, 1.0, 1.0), (3, 0.0, 0.0, 5.0, 0.0), (4, 0.0, 1.0, 4.0, 1.0), (None, 90.0, 90.0, 99.0, 90.0)]
+    f = spark.createDataFrame(rows, "feature long, ax double, ay double, bx double, by double")
+    for at_once in (1, 100):
+        assert sorted(r.feature for r in special.clear_features(f, 2.0, 16.0, at_once=at_once).collect()) == [1, 2, 3]
+
+
 def test_long_slanting_segments_meet_once(spark):
     rng = np.random.default_rng(5)
     a = rng.integers(-400, 400, (150, 2)).astype(float)
